@@ -2,8 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Sequence
-from functools import reduce
+from collections.abc import Iterable, Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -11,16 +10,16 @@ from pyspark.sql import functions as F
 from tallyhouse.functions.fixed_values import CONTINENTS, UNKNOWN_CONTINENT
 
 
+def label_of(code: Column, labels: Mapping[str, str]) -> Column:
+    """``code`` looked up in a fixed map, NULL when it is not there."""
+    entries = [F.lit(text) for item in labels.items() for text in item]
+    return F.try_element_at(F.create_map(*entries), code)
+
+
 def continent_of(country_id: Column) -> Column:
     """Continent label of a country code, from its first two characters."""
-    prefix = F.substring(country_id, 1, 2)
-    known = list(CONTINENTS.items())
-    chain = reduce(
-        lambda acc, item: acc.when(prefix == item[0], item[1]),
-        known[1:],
-        F.when(prefix == known[0][0], known[0][1]),
-    )
-    return chain.otherwise(UNKNOWN_CONTINENT)
+    label = label_of(F.substring(country_id, 1, 2), CONTINENTS)
+    return F.coalesce(label, F.lit(UNKNOWN_CONTINENT))
 
 
 def split_geo(geo: Column) -> tuple[Column, Column]:

@@ -26,24 +26,58 @@ def group_baseline(
 ) -> DataFrame:
     """Median and sample standard deviation of ``value`` per group.
 
-    Whole-number values: the median is a map-side combined count per distinct
-    value, so a hot group shrinks to its distinct quantities before the shuffle.
-    Other values have no such bound; see :func:`_bracketed_median`.
-    ``exact=False`` uses ``percentile_approx`` with ``accuracy``.
+    Exact for whole numbers by counting each value first, for other numbers by
+    narrowing to the middle of each group first; both shrink a hot group before
+    its rows meet. ``exact=False`` uses ``percentile_approx`` with ``accuracy``.
     """
     if not exact:
-        median = F.percentile_approx(value, 0.5, accuracy).cast("double")
-    elif isinstance(df.schema[value].dataType, T.IntegralType):
-        median = F.median(value)
-    else:
-        return _bracketed_median(df, group, value)
-    return df.groupBy(group).agg(median.alias(MEDIAN), F.stddev(value).alias(STDDEV))
+        return df.groupBy(group).agg(
+            F.percentile_approx(value, 0.5, accuracy).cast("double").alias(MEDIAN),
+            F.stddev(value).alias(STDDEV),
+        )
+    if isinstance(df.schema[value].dataType, T.IntegralType):
+        return _counted_baseline(df, group, value)
+    return _bracketed_baseline(df, group, value)
 
 
-def _bracketed_median(
+def _in_the_middle() -> Column:
+    """Whether the sorted rows ``_upto - _count + 1 .. _upto`` of ``_n`` hold one of
+    the two middle ranks (the same one when ``_n`` is odd)."""
+    low, high = F.floor((F.col("_n") + 1) / 2), F.floor(F.col("_n") / 2) + 1
+    before, upto = F.col("_upto") - F.col("_count"), F.col("_upto")
+    return ((before < low) & (low <= upto)) | ((before < high) & (high <= upto))
+
+
+def _counted_baseline(df: DataFrame, group: str, value: str) -> DataFrame:
+    """Baseline from the count of each distinct value.
+
+    Counting is combined map-side and spread by (group, value), so the window
+    below sees the distinct values of a group, not its rows.
+    """
+    v = F.col(value).cast("double")
+    whole = Window.partitionBy(group)
+    counts = df.groupBy(group, value).agg(F.count(value).alias("_count"))
+    placed = counts.select(
+        group,
+        v.alias("_v"),
+        "_count",
+        F.sum("_count").over(whole).alias("_n"),
+        (F.sum(v * F.col("_count")).over(whole) / F.nullif(F.sum("_count").over(whole), F.lit(0)))
+        .alias("_mean"),
+        F.sum("_count").over(whole.orderBy(value)).alias("_upto"),
+    )
+    squares = F.sum(F.col("_count") * F.pow(F.col("_v") - F.col("_mean"), 2))
+    spare = F.nullif(F.max("_n") - 1, F.lit(0))
+    return placed.groupBy(group).agg(
+        F.avg(F.when(_in_the_middle(), F.col("_v"))).alias(MEDIAN),
+        F.sqrt(squares / spare).alias(STDDEV),
+    )
+
+
+def _bracketed_baseline(
     df: DataFrame, group: str, value: str, accuracy: int = 100_000
 ) -> DataFrame:
-    """Exact median of values with many distinct numbers, without holding a group.
+    """Baseline of values with any number of distinct numbers.
 
     Pass 1 brackets the middle of each group with approximate percentiles, five
     times wider than their error bound. Pass 2 counts rows below and above the
@@ -53,11 +87,15 @@ def _bracketed_median(
     """
     half = 5.0 / accuracy
     rows = df.select(group, F.col(value).cast("double").alias("_v"))
-    stats = rows.groupBy(group).agg(
-        F.percentile_approx("_v", [0.5 - half, 0.5 + half], accuracy).alias("_bracket"),
-        F.stddev("_v").alias(STDDEV),
-        F.count("_v").alias("_n"),
-    ).withColumnRenamed(group, "_g")
+    stats = (
+        rows.groupBy(group)
+        .agg(
+            F.percentile_approx("_v", [0.5 - half, 0.5 + half], accuracy).alias("_bracket"),
+            F.stddev("_v").alias(STDDEV),
+            F.count("_v").alias("_n"),
+        )
+        .withColumnRenamed(group, "_g")
+    )
     side = (
         F.when(F.col("_v") < F.col("_bracket")[0], -1)
         .when(F.col("_v") > F.col("_bracket")[1], 1)
@@ -66,27 +104,23 @@ def _bracketed_median(
     counts = (
         rows.filter(F.col("_v").isNotNull())
         .join(stats, F.col(group).eqNullSafe(F.col("_g")))
-        .select("_g", "_n", "_v", side.alias("_side"))
+        .select("_g", "_n", side.alias("_side"), "_v")
         .withColumn("_v", F.when(F.col("_side") == 0, F.col("_v")))
         .groupBy("_g", "_n", "_side", "_v")
-        .agg(F.count(F.lit(1)).alias("_c"))
+        .agg(F.count(F.lit(1)).alias("_count"))
     )
-    upto = Window.partitionBy("_g").orderBy("_side", "_v")
-    lower = F.floor((F.col("_n") + 1) / 2)
-    upper = F.floor(F.col("_n") / 2) + 1
-    holds = lambda rank: (F.col("_upto") - F.col("_c") < rank) & (rank <= F.col("_upto"))
     inside = F.when(F.col("_side") == 0, F.col("_v")).otherwise(
         F.raise_error(F.lit("median outside its bracket")).cast("double")
     )
+    ordered = Window.partitionBy("_g").orderBy("_side", "_v")
     medians = (
-        counts.withColumn("_upto", F.sum("_c").over(upto))
-        .filter(holds(lower) | holds(upper))
-        .groupBy("_g")
+        counts.withColumn("_upto", F.sum("_count").over(ordered))
+        .filter(_in_the_middle())
+        .groupBy(F.col("_g").alias("_median_of"))
         .agg(F.avg(inside).alias(MEDIAN))
-        .withColumnRenamed("_g", "_mg")
     )
     return stats.join(
-        medians, F.col("_g").eqNullSafe(F.col("_mg")), "left"
+        medians, F.col("_g").eqNullSafe(F.col("_median_of")), "left"
     ).select(F.col("_g").alias(group), MEDIAN, STDDEV)
 
 

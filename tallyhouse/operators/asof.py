@@ -32,6 +32,10 @@ def _bucket_of(time: Column, width: str) -> Column:
     raise ValueError(f"unknown bucket width: {width}")
 
 
+def _last_bucket(df: DataFrame, time: Column, width: str) -> Column:
+    return df.agg(_bucket_of(F.max(time), width)).scalar()
+
+
 def validity_join(
     left: DataFrame,
     intervals: DataFrame,
@@ -41,6 +45,7 @@ def validity_join(
     end: str = "effective_end_date",
     how: str = "inner",
     bucket: str = "month",
+    last_bucket: Column | None = None,
 ) -> DataFrame:
     """Join each left row to the interval rows of its key that hold at time ``at``:
     ``start <= at AND (end IS NULL OR at < end)``.
@@ -53,8 +58,8 @@ def validity_join(
         raise ValueError(f"unsupported join type: {how}")
     at = F.col(at) if isinstance(at, str) else at
 
-    bounds = intervals.select(_bucket_of(F.greatest(start, end), bucket).alias("b"))
-    last_bucket = bounds.agg(F.max("b")).scalar()
+    if last_bucket is None:
+        last_bucket = _last_bucket(intervals, F.greatest(start, end), bucket)
     first = _bucket_of(F.col(start), bucket)
     final = F.coalesce(_bucket_of(F.col(end), bucket), last_bucket)
 
@@ -79,7 +84,7 @@ def validity_join(
         & (F.col(_START) <= F.col("_at"))
         & (F.col(_END).isNull() | (F.col("_at") < F.col(_END)))
     )
-    joined = rows.join(versions, condition, how)
+    joined = rows.join(versions.hint("merge"), condition, how)
     if how == "left_anti":
         return joined.select(*left.columns)
     return joined.select(
@@ -111,7 +116,15 @@ def asof_join(
     if strategy == "interval":
         intervals = scd2_intervals(right, on, right_time, right_time, "_until")
         joined = validity_join(
-            left, intervals.drop("is_current"), on, left_time, right_time, "_until", how, bucket
+            left,
+            intervals.drop("is_current"),
+            on,
+            left_time,
+            right_time,
+            "_until",
+            how,
+            bucket,
+            last_bucket=_last_bucket(right, F.col(right_time), bucket),
         ).drop("_until")
     elif strategy == "points":
         joined = _asof_by_points(left, right, on, left_time, right_time, how)

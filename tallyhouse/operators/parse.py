@@ -15,8 +15,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tallyhouse import schemas
-from tallyhouse.functions.codes import continent_of, split_geo
-from tallyhouse.functions.dates import audit_time, parse_date_any
+from tallyhouse.functions.codes import continent_of, split_geo, version_key
+from tallyhouse.functions.dates import audit_time, parse_date_any, try_parse_date
 
 REASON = "reject_reason"
 
@@ -30,11 +30,15 @@ def parse_lines(lines: DataFrame, names: Sequence[str], sep: str = ",") -> DataF
     """Split ``value`` into trimmed string columns; missing fields are NULL.
 
     Blank lines are dropped. There is no quoting: every separator splits. The
-    original line stays in ``value``.
+    original line stays in ``value``. The split runs inside a one-element explode,
+    which the optimizer leaves in place; as a plain column it would be copied into
+    every later expression and filter that uses a field.
     """
+    fields = F.split("value", re.escape(sep))
+    has_text = (F.size("_fields") > 1) | F.col("_fields")[0].rlike(r"\S")
     return (
-        lines.filter(F.col("value").rlike(r"\S"))
-        .withColumn("_fields", F.split("value", re.escape(sep)))
+        lines.select("*", F.explode(F.array(fields)).alias("_fields"))
+        .filter(has_text)
         .withColumns({n: F.trim(F.get("_fields", F.lit(i))) for i, n in enumerate(names)})
         .drop("_fields")
     )
@@ -49,6 +53,12 @@ def _blank(name: str) -> Column:
     return F.coalesce(F.col(name), F.lit("")) == ""
 
 
+def _try_number(name: str, shape: str, kind: str) -> Column:
+    """Cast, NULL where it fails. Text of another shape is not tried: the cast
+    refuses it by an exception, which costs far more than the test."""
+    return F.when(F.col(name).rlike(shape), F.col(name).try_cast(kind))
+
+
 def split_tagged(tagged: DataFrame, columns: Sequence[str]) -> Parsed:
     """Usable rows and rejected lines of a tagged DataFrame."""
     return Parsed(
@@ -68,7 +78,7 @@ def tag_transactions(
         "value",
         "invoice_no",
         "stock_code",
-        F.col("_qty").try_cast("int").alias("quantity"),
+        _try_number("_qty", r"^[+-]?[0-9]+$", "int").alias("quantity"),
         date.alias("invoice_date"),
         "customer_id",
         country.alias("country_id"),
@@ -100,16 +110,20 @@ def parse_transactions(
 
 def tag_products(lines: DataFrame) -> DataFrame:
     raw = parse_lines(lines, ["stock_code", "description", "_price", "_date"])
-    price = F.col("_price").try_cast("double")
+    price = _try_number("_price", r"^[+-]?[0-9.]+([eE][+-]?[0-9]+)?$", "double")
     return raw.select(
         "value",
-        F.concat_ws("-", "stock_code", F.try_to_date("_date", "yyyy-MM-dd")).alias(
-            "product_id"
-        ),
         "stock_code",
         "description",
-        F.when(~F.isnan(price), price).alias("unit_price"),
-        F.try_to_date("_date", "yyyy-MM-dd").alias("price_date"),
+        price.alias("unit_price"),
+        try_parse_date(F.col("_date")).alias("price_date"),
+    ).select(
+        "value",
+        version_key("stock_code", "price_date").alias("product_id"),
+        "stock_code",
+        "description",
+        "unit_price",
+        "price_date",
     ).withColumn(
         REASON,
         _first_reason(

@@ -34,6 +34,9 @@ QUERIES: dict[str, Query] = {}
 
 TX_KEY = ("invoice_no", "stock_code", "customer_id")
 
+# The sample histories change a price about four times a year.
+PRICE_BUCKET = "year"
+
 
 def query(fn: Query) -> Query:
     QUERIES[fn.__name__] = fn
@@ -243,6 +246,7 @@ def _fact(spark, sf_dir, **options):
         samples.price_history(spark, sf_dir),
         samples.known_countries(spark, sf_dir),
         as_of=samples.audit_literal(),
+        bucket=PRICE_BUCKET,
         **options,
     )
 
@@ -288,6 +292,7 @@ def _asof(spark, sf_dir, **options):
         "stock_code",
         F.to_date("invoice_date"),
         "price_date",
+        bucket=PRICE_BUCKET,
         **options,
     )
 
@@ -322,7 +327,8 @@ def asof_one_per_key(spark, sf_dir):
 def price_validity_join(spark, sf_dir):
     tx = samples.transactions(spark, sf_dir)
     dim = dims.dim_products(samples.products(spark, sf_dir))
-    return validity_join(tx, dim, "stock_code", F.to_date("invoice_date"))
+    day = F.to_date("invoice_date")
+    return validity_join(tx, dim, "stock_code", day, bucket=PRICE_BUCKET)
 
 
 @query
@@ -349,6 +355,7 @@ def _recovery(spark, sf_dir):
         samples.countries(spark, sf_dir),
         samples.price_history(spark, sf_dir),
         as_of=samples.audit_literal(),
+        bucket=PRICE_BUCKET,
     )
 
 
@@ -537,6 +544,7 @@ def outcome_counts(spark, sf_dir):
         samples.price_history(spark, sf_dir),
         samples.known_countries(spark, sf_dir),
         as_of=samples.audit_literal(),
+        bucket=PRICE_BUCKET,
     )
     files.write_by_outcome(tagged, quality.ERROR, path)
     return (

@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyhouse.functions.codes import continent_of, version_key
+from tallyhouse.functions.codes import continent_of, label_of, version_key
 from tallyhouse.functions.fixed_values import UNKNOWN_CONTINENT
 
 # Region name -> country-code prefix; "99" has no continent.
@@ -33,9 +33,7 @@ def load(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 def nations(spark: SparkSession, sf_dir: str) -> DataFrame:
     """n_nationkey, country_id, country_name."""
-    prefix = F.coalesce(
-        *[F.when(F.col("r_name") == name, code) for name, code in REGION_PREFIX.items()]
-    )
+    prefix = label_of(F.col("r_name"), REGION_PREFIX)
     return (
         load(spark, sf_dir, "nation")
         .join(load(spark, sf_dir, "region"), F.col("n_regionkey") == F.col("r_regionkey"))
