@@ -13,6 +13,7 @@ from tallyhouse import schemas
 from tallyhouse.functions.dates import audit_time
 from tallyhouse.functions.fixed_values import OUTLIER_FACTOR, STATUS_NEW, STATUS_RESOLVED
 from tallyhouse.functions.texts import alert_line
+from tallyhouse.operators.joins import join_by_key
 
 MEDIAN, STDDEV, LIMIT = "median_qty", "stddev_qty", "median_stddev"
 
@@ -139,7 +140,7 @@ def with_limits(
     """
     stats = group_baseline(df, group, value, exact) if baseline is None else baseline
     limit = F.col(MEDIAN) + F.lit(k) * F.coalesce(F.col(STDDEV), F.lit(0.0))
-    return df.join(stats.withColumn(LIMIT, limit), group, "inner")
+    return join_by_key(df, stats.withColumn(LIMIT, limit), [group])
 
 
 def detect_anomalies(
@@ -201,18 +202,14 @@ def refresh_baseline(
     exact: bool = True,
 ) -> DataFrame:
     """Baseline over all orders except flagged ones that are not RESOLVED yet."""
-    open_cases = anomalies.filter(F.col("status") != STATUS_RESOLVED).select(
-        F.col("order_id").alias("_order"),
-        F.col("stock_code").alias("_group"),
-        F.col("quantity").alias("_value"),
-    )
-    counted = df.join(
-        open_cases.distinct(),
-        (F.col(order_id).cast("string") == F.col("_order"))
-        & (F.col(group) == F.col("_group"))
-        & (F.col(value) == F.col("_value")),
-        "left_anti",
+    open_cases = (
+        anomalies.filter(F.col("status") != STATUS_RESOLVED)
+        .select("order_id", "stock_code", "quantity")
+        .distinct()
     )
+    same = {order_id: "order_id", group: "stock_code", value: "quantity"}
+    rows = df.withColumn(order_id, F.col(order_id).cast("string"))
+    counted = join_by_key(rows, open_cases, same, "left_anti")
     return group_baseline(counted, group, value, exact)
 
 

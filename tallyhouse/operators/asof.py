@@ -17,6 +17,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tallyhouse.operators.dedup import latest_per_key
+from tallyhouse.operators.joins import join_by_key
 from tallyhouse.operators.scd import scd2_intervals
 
 _START, _END, _BUCKET = "_start", "_end", "_bucket"
@@ -178,8 +179,7 @@ def _asof_by_points(
         .filter((F.col("_side") == 1) & F.col("_match").isNotNull())
         .select("_key", F.col("_at").alias("_point"), "_match")
     )
-    condition = (F.col(on) == F.col("_key")) & (F.col("_at") == F.col("_point"))
-    joined = rows.join(resolved, condition, how)
+    joined = join_by_key(rows, resolved, {on: "_key", "_at": "_point"}, how)
     if how == "left_anti":
         return joined.select(*left.columns)
     return joined.select(

@@ -1,8 +1,6 @@
 """Reference checks: tag, split, quarantine, recover.
 
-Each rule is a left join to the distinct keys of a dimension. The dimension side
-is broadcast when Spark finds it small; otherwise adaptive execution splits a hot
-key of the row side.
+Each rule is a left join to the distinct keys of a dimension.
 """
 
 from __future__ import annotations
@@ -21,6 +19,7 @@ from tallyhouse.functions.dates import audit_time
 from tallyhouse.functions.fixed_values import MISSING_COUNTRY, MISSING_PRODUCT
 from tallyhouse.functions.texts import to_payload
 from tallyhouse.operators.dedup import distinct_keys
+from tallyhouse.operators.joins import join_by_key
 
 ERROR = "error_message"
 
@@ -57,7 +56,9 @@ def _keys(rule: ForeignKey) -> DataFrame:
 def validate_fk(df: DataFrame, dim: DataFrame, key: str) -> Split:
     """Rows whose ``key`` exists in ``dim`` (semi join) and the others (anti join)."""
     keys = distinct_keys(dim, key)
-    return Split(df.join(keys, key, "left_semi"), df.join(keys, key, "left_anti"))
+    return Split(
+        join_by_key(df, keys, [key], "left_semi"), join_by_key(df, keys, [key], "left_anti")
+    )
 
 
 def tag_errors(df: DataFrame, rules: Sequence[ForeignKey]) -> DataFrame:
@@ -65,7 +66,8 @@ def tag_errors(df: DataFrame, rules: Sequence[ForeignKey]) -> DataFrame:
     tagged, marks = df, []
     for i, rule in enumerate(rules):
         mark = f"_found_{i}"
-        tagged = tagged.join(_keys(rule).withColumn(mark, F.lit(True)), rule.column, "left")
+        keys = _keys(rule).withColumn(mark, F.lit(True))
+        tagged = join_by_key(tagged, keys, [rule.column], "left")
         marks.append(F.when(F.col(mark).isNull(), F.lit(rule.message)))
     return tagged.select(*df.columns, F.coalesce(*marks).alias(ERROR))
 
