@@ -4,9 +4,8 @@ The price in effect is the version whose ``[start, end)`` holds the row's time.
 A plain key join would test every version of a key against every row of that key.
 Here both sides also share a calendar bucket, and a version is repeated once per
 bucket it covers, so a row meets only the versions of its own bucket (31 at most
-for daily prices and monthly buckets). It is an ordinary equi join: Spark
-broadcasts a small history by its own size check, and splits a hot (key, bucket)
-of the row side over many tasks otherwise.
+for daily prices and monthly buckets). It is an ordinary equi join of two shuffled
+sides, so adaptive execution splits a hot (key, bucket) over many tasks.
 """
 
 from __future__ import annotations
@@ -47,6 +46,7 @@ def validity_join(
     how: str = "inner",
     bucket: str = "month",
     last_bucket: Column | None = None,
+    broadcast_below: int | None = None,
 ) -> DataFrame:
     """Join each left row to the interval rows of its key that hold at time ``at``:
     ``start <= at AND (end IS NULL OR at < end)``.
@@ -85,7 +85,7 @@ def validity_join(
         & (F.col(_START) <= F.col("_at"))
         & (F.col(_END).isNull() | (F.col("_at") < F.col(_END)))
     )
-    joined = rows.join(versions.hint("merge"), condition, how)
+    joined = rows.join(_sized(versions, broadcast_below), condition, how)
     if how == "left_anti":
         return joined.select(*left.columns)
     return joined.select(
@@ -93,6 +93,14 @@ def validity_join(
     )
 
 
+def _sized(versions: DataFrame, broadcast_below: int | None) -> DataFrame:
+    if broadcast_below is not None:
+        found = versions.select("_key").limit(broadcast_below + 1).count()
+        if found <= broadcast_below:
+            return F.broadcast(versions)
+    return versions.hint("merge")
+
+
 def asof_join(
     left: DataFrame,
     right: DataFrame,
@@ -103,6 +111,7 @@ def asof_join(
     strategy: str = "interval",
     key: Sequence[str] | None = None,
     bucket: str = "month",
+    broadcast_below: int | None = None,
 ) -> DataFrame:
     """Latest right row with ``right_time <= left_time`` per key (inclusive).
 
@@ -111,7 +120,8 @@ def asof_join(
     the answer back; it pays off when many rows share a key and a day.
 
     ``how`` is ``inner`` (rows without an earlier right row disappear), ``left``
-    or ``left_anti`` (only those rows). With ``key`` one row per left key remains,
+    or ``left_anti`` (only those rows). ``bucket`` and ``broadcast_below`` are those
+    of :func:`validity_join` and concern the interval strategy. With ``key`` one row per left key remains,
     the one with the latest match.
     """
     if strategy == "interval":
@@ -126,6 +136,7 @@ def asof_join(
             how,
             bucket,
             last_bucket=_last_bucket(right, F.col(right_time), bucket),
+            broadcast_below=broadcast_below,
         ).drop("_until")
     elif strategy == "points":
         joined = _asof_by_points(left, right, on, left_time, right_time, how)

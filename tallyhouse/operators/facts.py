@@ -45,16 +45,19 @@ def standardise(tx: DataFrame) -> DataFrame:
 
 
 def _priced(
-    rows: DataFrame, products: DataFrame, how: str, strategy: str, bucket: str
+    rows: DataFrame,
+    products: DataFrame,
+    how: str,
+    day: Column | None = None,
+    **options,
 ) -> DataFrame:
+    """``rows`` with product_id, unit_price and price_date in effect on their day."""
     prices = standardise_ids(
         products.select("stock_code", "product_id", "unit_price", "price_date"),
         ["stock_code", "product_id"],
     )
-    day = F.to_date("invoice_date")
-    return asof_join(
-        rows, prices, "stock_code", day, "price_date", how, strategy, bucket=bucket
-    )
+    day = F.to_date("invoice_date") if day is None else day
+    return asof_join(rows, prices, "stock_code", day, "price_date", how, **options)
 
 
 def _measures(
@@ -87,24 +90,24 @@ def build_fact(
     key_columns: Sequence[str] = ("invoice_no", "invoice_date"),
     collapse_on: Sequence[str] | None = None,
     rules: Sequence[ForeignKey] | None = None,
-    strategy: str = "interval",
-    bucket: str = "month",
+    **asof_options,
 ) -> FactLoad:
     """Standardise, check references, price as of the invoice day, add measures.
 
     Every input line ends in exactly one output: ``fact``, ``errors`` (a failed
     rule; by default only the country is checked) or ``unpriced`` (valid, but no
     price at or before the invoice day), unless ``collapse_on`` names columns whose
-    repeated lines collapse to the one with the latest price.
+    repeated lines collapse to the one with the latest price. ``asof_options`` are
+    the strategy, bucket and broadcast_below of ``asof_join``.
     """
     rules = [country_rule(countries)] if rules is None else rules
     tagged = tag_errors(standardise(tx), rules)
     valid = tagged.filter(F.col(ERROR).isNull()).drop(ERROR)
     failed = tagged.filter(F.col(ERROR).isNotNull())
-    priced = _priced(valid, products, "inner", strategy, bucket)
+    priced = _priced(valid, products, "inner", **asof_options)
     if collapse_on:
         priced = one_match_per_key(priced, collapse_on, "price_date")
-    unpriced = _priced(valid, products, "left_anti", strategy, bucket)
+    unpriced = _priced(valid, products, "left_anti", **asof_options)
     return FactLoad(
         fact=_measures(priced, as_of, currency, key_style, key_columns),
         errors=error_rows(failed, as_of),
@@ -121,7 +124,7 @@ def tag_fact(
     key_style: str = "concat",
     key_columns: Sequence[str] = ("invoice_no", "invoice_date"),
     rules: Sequence[ForeignKey] | None = None,
-    bucket: str = "month",
+    **asof_options,
 ) -> DataFrame:
     """:func:`build_fact` as one DataFrame: fact columns, stock_code, error_message.
 
@@ -131,15 +134,9 @@ def tag_fact(
     rules = [country_rule(countries)] if rules is None else rules
     tagged = tag_errors(standardise(tx), rules)
     day = F.when(F.col(ERROR).isNull(), F.to_date("invoice_date"))
-    prices = products.select("stock_code", "product_id", "unit_price", "price_date")
-    priced = asof_join(
-        tagged, standardise_ids(prices, ["stock_code", "product_id"]),
-        "stock_code", day, "price_date", "left", bucket=bucket,
-    ).withColumn(
+    priced = _priced(tagged, products, "left", day, **asof_options).withColumn(
         ERROR,
-        F.coalesce(
-            ERROR, F.when(F.col("price_date").isNull(), F.lit(MISSING_PRICE))
-        ),
+        F.coalesce(ERROR, F.when(F.col("price_date").isNull(), F.lit(MISSING_PRICE))),
     )
     return _measures(
         priced, as_of, currency, key_style, key_columns, extra=["stock_code", ERROR]
@@ -155,8 +152,7 @@ def recover(
     key_style: str = "concat",
     key_columns: Sequence[str] = ("invoice_no", "invoice_date"),
     rules: Sequence[ForeignKey] | None = None,
-    strategy: str = "interval",
-    bucket: str = "month",
+    **asof_options,
 ) -> Recovery:
     """Re-check quarantined rows against newer dimensions.
 
@@ -167,8 +163,8 @@ def recover(
     rechecked = tag_errors(errors.withColumnRenamed(ERROR, "_old_error"), rules)
     passed = rechecked.filter(F.col(ERROR).isNull()).drop(ERROR)
     failed = rechecked.filter(F.col(ERROR).isNotNull())
-    priced = _priced(passed, products, "inner", strategy, bucket)
-    unpriced = _priced(passed, products, "left_anti", strategy, bucket)
+    priced = _priced(passed, products, "inner", **asof_options)
+    unpriced = _priced(passed, products, "left_anti", **asof_options)
     broken = failed.unionByName(unpriced.withColumn(ERROR, F.lit(MISSING_PRICE)))
     retries = F.coalesce(F.col("retry_count"), F.lit(0)) + 1
     return Recovery(

@@ -348,10 +348,20 @@ def fact_unpriced(spark, sf_dir):
     return _fact(spark, sf_dir).unpriced
 
 
+def _tagged(spark, sf_dir):
+    return facts.tag_fact(
+        samples.transactions(spark, sf_dir),
+        samples.price_history(spark, sf_dir),
+        samples.known_countries(spark, sf_dir),
+        as_of=samples.audit_literal(),
+        bucket=PRICE_BUCKET,
+    )
+
+
 def _recovery(spark, sf_dir):
-    load = _fact(spark, sf_dir)
+    failed = _tagged(spark, sf_dir).filter(F.col(quality.ERROR).isNotNull())
     return facts.recover(
-        load.errors.unionByName(load.unpriced),
+        quality.error_rows(failed, samples.audit_literal()),
         samples.countries(spark, sf_dir),
         samples.price_history(spark, sf_dir),
         as_of=samples.audit_literal(),
@@ -539,14 +549,7 @@ def text_round_trip(spark, sf_dir):
 def outcome_counts(spark, sf_dir):
     """Fact and quarantine written from one pass, then counted from the files."""
     path = _scratch(spark, "outcome")
-    tagged = facts.tag_fact(
-        samples.transactions(spark, sf_dir),
-        samples.price_history(spark, sf_dir),
-        samples.known_countries(spark, sf_dir),
-        as_of=samples.audit_literal(),
-        bucket=PRICE_BUCKET,
-    )
-    files.write_by_outcome(tagged, quality.ERROR, path)
+    files.write_by_outcome(_tagged(spark, sf_dir), quality.ERROR, path)
     return (
         spark.read.parquet(path)
         .groupBy("outcome", quality.ERROR)

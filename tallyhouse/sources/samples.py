@@ -144,13 +144,14 @@ def log_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     shipped lines 3 are blank; pending lines 6 lack the region; open lines have
     padded fields; the date format depends on the order priority.
     """
-    date = F.col("o_orderdate")
+    iso = F.col("o_orderdate").cast("string")
+    year, month, day = F.substring(iso, 1, 4), F.substring(iso, 6, 2), F.substring(iso, 9, 2)
     priority = F.substring("o_orderpriority", 1, 1)
     date_text = (
-        F.when(priority == "1", F.date_format(date, "yyyy-MM-dd HH:mm:ss"))
-        .when(priority == "2", F.date_format(date, "dd/MM/yyyy"))
-        .when(priority == "3", F.date_format(date, "yyyy-MM-dd"))
-        .when(priority == "4", F.date_format(date, "MM-dd-yyyy"))
+        F.when(priority == "1", iso)
+        .when(priority == "2", F.concat_ws("/", day, month, year))
+        .when(priority == "3", F.substring(iso, 1, 10))
+        .when(priority == "4", F.concat_ws("-", month, day, year))
         .otherwise("unknown")
     )
     line = F.col("l_linenumber")
@@ -178,7 +179,7 @@ def log_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
 def product_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Price lines as text; discounted lines name their price in words, and names
     of large parts hold a separator."""
-    day = F.date_format(F.to_date("l_shipdate"), "yyyy-MM-dd")
+    day = F.to_date("l_shipdate").cast("string")
     cents = F.floor(F.col("l_extendedprice") / F.col("l_quantity") * 100 + 0.5)
     price = F.when(F.col("l_discount") >= 0.1, "on request").otherwise(
         (cents / 100).cast("decimal(12,2)").cast("string")

@@ -117,6 +117,17 @@ def test_a_hot_key_is_whole(spark):
         assert len(found) == 10_000 and {price for _, price in found} == {400.0}
 
 
+def test_a_counted_small_history_is_broadcast(spark):
+    right = prices(spark, ("s1", 1.0, 0), ("s1", 2.0, 40))
+    left = sales(spark, ("s1", when(4)), ("s1", when(50)), ("s2", when(4)))
+    for below, operator in ((10, "BroadcastHashJoin"), (2, "SortMergeJoin")):
+        found = asof_join(
+            left, right, "stock_code", F.to_date("at"), "price_date", broadcast_below=below
+        )
+        assert rows(found, "id", "unit_price") == [(0, 1.0), (1, 2.0)]
+        assert operator in found._jdf.queryExecution().executedPlan().toString()
+
+
 def test_validity_join_bounds(spark):
     intervals = scd2_intervals(prices(spark, ("s1", 1.0, 0), ("s1", 2.0, 5)))
     left = sales(spark, ("s1", when(0)), ("s1", when(4, 23)), ("s1", when(5)), ("s1", when(-1)))
