@@ -56,7 +56,9 @@ def _counted_baseline(df: DataFrame, group: str, value: str) -> DataFrame:
     below sees the distinct values of a group, not its rows.
     """
     v = F.col(value).cast("double")
-    whole = Window.partitionBy(group)
+    # One ordering for all sums, so that a partition is sorted once.
+    ordered = Window.partitionBy(group).orderBy(value)
+    whole = ordered.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
     counts = df.groupBy(group, value).agg(F.count(value).alias("_count"))
     placed = counts.select(
         group,
@@ -65,7 +67,7 @@ def _counted_baseline(df: DataFrame, group: str, value: str) -> DataFrame:
         F.sum("_count").over(whole).alias("_n"),
         (F.sum(v * F.col("_count")).over(whole) / F.nullif(F.sum("_count").over(whole), F.lit(0)))
         .alias("_mean"),
-        F.sum("_count").over(whole.orderBy(value)).alias("_upto"),
+        F.sum("_count").over(ordered).alias("_upto"),
     )
     squares = F.sum(F.col("_count") * F.pow(F.col("_v") - F.col("_mean"), 2))
     spare = F.nullif(F.max("_n") - 1, F.lit(0))

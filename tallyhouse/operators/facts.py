@@ -3,7 +3,8 @@
 from __future__ import annotations
 
 import datetime as dt
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
+from functools import cached_property
 from typing import NamedTuple
 
 from pyspark.sql import Column, DataFrame
@@ -28,10 +29,34 @@ IDS = ["invoice_no", "stock_code", "customer_id", "country_id", "region_code"]
 LINE_COLUMNS = ("invoice_no", "invoice_date", "stock_code", "customer_id", "quantity")
 
 
-class FactLoad(NamedTuple):
-    fact: DataFrame
-    errors: DataFrame
-    unpriced: DataFrame
+class FactLoad:
+    """Outputs of :func:`build_fact`; each is planned when it is asked for."""
+
+    def __init__(
+        self,
+        tagged: DataFrame,
+        price: Callable[[DataFrame, str], DataFrame],
+        measure: Callable[[DataFrame], DataFrame],
+        as_of: dt.datetime | Column | None,
+    ):
+        self._tagged, self._price, self._measure, self._as_of = tagged, price, measure, as_of
+
+    @property
+    def _valid(self) -> DataFrame:
+        return self._tagged.filter(F.col(ERROR).isNull()).drop(ERROR)
+
+    @cached_property
+    def fact(self) -> DataFrame:
+        return self._measure(self._price(self._valid, "inner"))
+
+    @cached_property
+    def errors(self) -> DataFrame:
+        return error_rows(self._tagged.filter(F.col(ERROR).isNotNull()), self._as_of)
+
+    @cached_property
+    def unpriced(self) -> DataFrame:
+        lost = self._price(self._valid, "left_anti")
+        return error_rows(lost.withColumn(ERROR, F.lit(MISSING_PRICE)), self._as_of)
 
 
 class Recovery(NamedTuple):
@@ -101,18 +126,17 @@ def build_fact(
     the strategy, bucket and broadcast_below of ``asof_join``.
     """
     rules = [country_rule(countries)] if rules is None else rules
-    tagged = tag_errors(standardise(tx), rules)
-    valid = tagged.filter(F.col(ERROR).isNull()).drop(ERROR)
-    failed = tagged.filter(F.col(ERROR).isNotNull())
-    priced = _priced(valid, products, "inner", **asof_options)
-    if collapse_on:
-        priced = one_match_per_key(priced, collapse_on, "price_date")
-    unpriced = _priced(valid, products, "left_anti", **asof_options)
-    return FactLoad(
-        fact=_measures(priced, as_of, currency, key_style, key_columns),
-        errors=error_rows(failed, as_of),
-        unpriced=error_rows(unpriced.withColumn(ERROR, F.lit(MISSING_PRICE)), as_of),
-    )
+
+    def price(rows: DataFrame, how: str) -> DataFrame:
+        priced = _priced(rows, products, how, **asof_options)
+        if collapse_on and how == "inner":
+            return one_match_per_key(priced, collapse_on, "price_date")
+        return priced
+
+    def measure(priced: DataFrame) -> DataFrame:
+        return _measures(priced, as_of, currency, key_style, key_columns)
+
+    return FactLoad(tag_errors(standardise(tx), rules), price, measure, as_of)
 
 
 def tag_fact(

@@ -27,8 +27,27 @@ def audit_literal() -> Column:
     return F.lit("2024-06-01 00:00:00").cast("timestamp_ntz")
 
 
+# Declared, so that opening a table needs no job to read its footers.
+SCHEMAS = {
+    "region": "r_regionkey int, r_name string",
+    "nation": "n_nationkey int, n_name string, n_regionkey int",
+    "customer": "c_custkey bigint, c_name string, c_nationkey int, c_acctbal double, "
+    "c_mktsegment string",
+    "supplier": "s_suppkey bigint, s_name string, s_nationkey int, s_acctbal double",
+    "part": "p_partkey bigint, p_name string, p_brand string, p_type string, p_size int, "
+    "p_retailprice double",
+    "orders": "o_orderkey bigint, o_custkey bigint, o_orderstatus string, o_totalprice double, "
+    "o_orderdate timestamp_ntz, o_orderpriority string",
+    "lineitem": "l_orderkey bigint, l_partkey bigint, l_suppkey bigint, l_linenumber int, "
+    "l_quantity double, l_extendedprice double, l_discount double, l_tax double, "
+    "l_returnflag string, l_linestatus string, l_shipdate timestamp_ntz",
+    "events": "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, "
+    "value double, props string",
+}
+
+
 def load(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    return spark.read.schema(SCHEMAS[name]).parquet(f"{sf_dir}/{name}.parquet")
 
 
 def nations(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -90,11 +109,9 @@ def price_history(spark: SparkSession, sf_dir: str) -> DataFrame:
     price = F.max(F.col("l_extendedprice") / F.col("l_quantity"))
     return (
         load(spark, sf_dir, "lineitem")
-        .groupBy(
-            F.col("l_partkey").cast("string").alias("stock_code"),
-            F.to_date("l_shipdate").alias("price_date"),
-        )
+        .groupBy("l_partkey", F.to_date("l_shipdate").alias("price_date"))
         .agg((F.floor(price * 100 + 0.5) / 100).alias("unit_price"))
+        .withColumn("stock_code", F.col("l_partkey").cast("string"))
         .select(
             version_key("stock_code", "price_date").alias("product_id"),
             "stock_code",
@@ -127,11 +144,12 @@ def price_bands(spark: SparkSession, sf_dir: str) -> DataFrame:
     history = (
         load(spark, sf_dir, "lineitem")
         .groupBy(
-            F.col("l_partkey").cast("string").alias("stock_code"),
+            "l_partkey",
             F.to_date("l_shipdate").alias("price_date"),
             F.col("l_linestatus").alias("source"),
         )
         .agg((F.floor(price / 2000) * 2000.0).alias("unit_price"))
+        .withColumn("stock_code", F.col("l_partkey").cast("string"))
         .withColumn("product_id", version_key("stock_code", "price_date"))
     )
     return history.select("product_id", "stock_code", "unit_price", "price_date", "source")
