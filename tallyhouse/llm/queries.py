@@ -5,10 +5,22 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyhouse.llm import bpe, packing
+from tallyhouse.llm import bpe, fingerprints, langid, packing, quality
 from tallyhouse.llm.common import table, tokenizer
 
 
+def op1_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    held_out = quality.held_out(F.col("doc_id"))
+    weights = quality.train(docs, labels.where(~held_out), "quality")
+    return quality.score(docs, weights).select(
+        "doc_id",
+        held_out.alias("held_out"),
+        "score",
+        (F.col("score") >= 0.5).cast("int").alias("predicted"),
+    )
+
+
 def op2_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     pieces = packing.pack(docs, tokenizer("word_bpe_49k.json"), window=2048, end_id=1)
@@ -23,13 +35,49 @@ def op2_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op4_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    held_out = quality.held_out(F.col("doc_id"))
+    model = langid.train(docs.where(~held_out))
+    return langid.predict(docs, model).select(
+        "doc_id", held_out.alias("held_out"), "lang_pred", "score"
+    )
+
+
+def op9_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = fingerprints.with_next(fingerprints.fingerprints(table(spark, sf_dir, "documents")))
+    n_chars = F.length("text").cast("long")
+    edit = F.floor(n_chars / 4).cast("int")
+    edited = F.concat(
+        F.substring("text", F.lit(1), F.length("text") - edit),
+        F.substring("next.text", F.lit(1), edit),
+    )
+    rows = fingerprints.with_sketch(
+        found.withColumn("edited", edited), "edited", "edited_sketch"
+    )
+    return rows.select(
+        "doc_id",
+        n_chars.alias("n_chars"),
+        F.sha2("edited", 256).alias("edited_sha256"),
+        fingerprints.as_text("sketch").alias("fingerprint"),
+        fingerprints.as_text("edited_sketch").alias("edited_fingerprint"),
+        fingerprints.resemblance("sketch", "edited_sketch").alias("near_edited"),
+        fingerprints.resemblance("sketch", "next.sketch").alias("near_next"),
+        fingerprints.distinct_shingles("sketch").alias("n_shingles"),
+        fingerprints.containment("sketch", "edited_sketch").alias("contained"),
+    )
+
+
 def op10_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     return bpe.digests(docs, tokenizer("byte_bpe_50k.json"))
 
 
 QUERIES = {
+    "op1_quality": op1_quality,
     "op2_packing": op2_packing,
+    "op4_langid": op4_langid,
+    "op9_fingerprints": op9_fingerprints,
     "op10_bpe": op10_bpe,
 }
 
