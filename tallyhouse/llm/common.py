@@ -3,8 +3,13 @@
 from __future__ import annotations
 
 import os
+import uuid
+from collections.abc import Iterator
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 _ROOT = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
@@ -23,3 +28,54 @@ def tokenizer(name: str) -> str:
     import public_tokenizers
 
     return public_tokenizers.path(name)
+
+
+def shared_dir(spark: SparkSession) -> str:
+    """A new folder below ``spark.checkpoint.dir``; set to a local one where unset and
+    the master is local, as in tests."""
+    configured = spark.conf.get("spark.checkpoint.dir", None)
+    if not configured:
+        if not spark.sparkContext.master.startswith("local["):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
+        configured = os.path.join(os.path.abspath("spark-warehouse"), "checkpoints")
+    return f"{configured.rstrip('/')}/{uuid.uuid4().hex}"
+
+
+def staged(df: DataFrame) -> DataFrame:
+    """The rows, written to the shared folder and read again: computed once, and safe
+    from the loss of executors."""
+    path = shared_dir(df.sparkSession)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def row_key(docs: DataFrame, name: str) -> DataFrame:
+    """Add a 64-bit key of id and text; only equal rows share one."""
+    return docs.withColumn(name, F.xxhash64(F.col("doc_id"), F.lit("|"), F.col("text")))
+
+
+def whole_groups(batches: Iterator[pa.RecordBatch], column: str, least: int = 20_000):
+    """Tables of about ``least`` rows that hold whole groups, from batches sorted by
+    ``column`` (equal values side by side)."""
+    held: list[pa.RecordBatch] = []
+    n = 0
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        held.append(batch)
+        n += batch.num_rows
+        if n < least:
+            continue
+        keys = batch.column(column).to_numpy(zero_copy_only=False)
+        last = int(np.flatnonzero(np.r_[True, keys[1:] != keys[:-1]])[-1])
+        if last == 0 and len(held) == 1:
+            continue  # the group goes on
+        if last == 0:
+            before = held[-2].column(column)[-1].as_py()
+            if before == keys[0]:
+                continue
+        yield pa.Table.from_batches([*held[:-1], batch.slice(0, last)])
+        held = [batch.slice(last)]
+        n = held[0].num_rows
+    if held:
+        yield pa.Table.from_batches(held)

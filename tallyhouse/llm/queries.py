@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyhouse.llm import bpe, fingerprints, langid, packing, quality
+from tallyhouse.llm import bpe, fingerprints, langid, packing, quality, substrings
 from tallyhouse.llm.common import table, tokenizer
 
 
@@ -44,6 +44,13 @@ def op4_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op7_substrings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return substrings.remove_repeats(docs, window=35).select(
+        "doc_id", "n_words", "n_removed", F.sha2("text", 256).alias("kept_sha256")
+    )
+
+
 def op9_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = fingerprints.with_next(fingerprints.fingerprints(table(spark, sf_dir, "documents")))
     n_chars = F.length("text").cast("long")
@@ -77,6 +84,7 @@ QUERIES = {
     "op1_quality": op1_quality,
     "op2_packing": op2_packing,
     "op4_langid": op4_langid,
+    "op7_substrings": op7_substrings,
     "op9_fingerprints": op9_fingerprints,
     "op10_bpe": op10_bpe,
 }
