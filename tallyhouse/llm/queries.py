@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyhouse.llm import bpe, fingerprints, langid, packing, quality, substrings
+from tallyhouse.llm import bpe, fingerprints, langid, lines, packing, quality, substrings
 from tallyhouse.llm.common import table, tokenizer
 
 
@@ -51,6 +51,13 @@ def op7_substrings(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op8_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return lines.remove_common_lines(docs).select(
+        "doc_id", "n_lines", "n_removed", F.sha2("text", 256).alias("kept_sha256")
+    )
+
+
 def op9_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = fingerprints.with_next(fingerprints.fingerprints(table(spark, sf_dir, "documents")))
     n_chars = F.length("text").cast("long")
@@ -85,6 +92,7 @@ QUERIES = {
     "op2_packing": op2_packing,
     "op4_langid": op4_langid,
     "op7_substrings": op7_substrings,
+    "op8_lines": op8_lines,
     "op9_fingerprints": op9_fingerprints,
     "op10_bpe": op10_bpe,
 }
