@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyhouse.llm import bpe, fingerprints, langid, lines, packing, quality, substrings
+from tallyhouse.llm import bpe, fingerprints, jaccard, langid, lines, packing, quality, substrings
 from tallyhouse.llm.common import table, tokenizer
 
 
@@ -35,6 +35,11 @@ def op2_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op3_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return jaccard.join(docs, threshold=0.8).select("doc_id", "class_id", "n_links", "kept")
+
+
 def op4_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     held_out = quality.held_out(F.col("doc_id"))
@@ -90,6 +95,7 @@ def op10_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op1_quality": op1_quality,
     "op2_packing": op2_packing,
+    "op3_jaccard": op3_jaccard,
     "op4_langid": op4_langid,
     "op7_substrings": op7_substrings,
     "op8_lines": op8_lines,
