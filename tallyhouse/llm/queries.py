@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyhouse.llm import bpe, fingerprints, jaccard, langid, lines, packing, quality, substrings
+from tallyhouse.llm import bpe, embeddings, fingerprints, jaccard, langid, lines, packing, quality, substrings
 from tallyhouse.llm.common import table, tokenizer
 
 
@@ -49,6 +49,10 @@ def op4_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op6_embeddings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return embeddings.near_duplicates(table(spark, sf_dir, "embeddings"), threshold=0.98)
+
+
 def op7_substrings(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     return substrings.remove_repeats(docs, window=35).select(
@@ -97,6 +101,7 @@ QUERIES = {
     "op2_packing": op2_packing,
     "op3_jaccard": op3_jaccard,
     "op4_langid": op4_langid,
+    "op6_embeddings": op6_embeddings,
     "op7_substrings": op7_substrings,
     "op8_lines": op8_lines,
     "op9_fingerprints": op9_fingerprints,
