@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyhouse.llm import bpe, embeddings, fingerprints, jaccard, langid, lines, packing, quality, substrings
+from tallyhouse.llm import bpe, chat, embeddings, fingerprints, jaccard, langid, lines, packing, quality, substrings
 from tallyhouse.llm.common import table, tokenizer
 
 
@@ -49,6 +49,119 @@ def op4_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+ANSWER_TOOL = {
+    "type": "object",
+    "required": ["prompt", "words"],
+    "additionalProperties": False,
+    "properties": {
+        "prompt": {"type": "string", "minLength": 1, "maxLength": 2000},
+        "words": {"type": "integer", "minimum": 1, "maximum": 40},
+        "after": {"type": "object"},
+    },
+}
+
+
+def tool_messages(turns: DataFrame) -> DataFrame:
+    """Turns as tool traffic: a user turn calls the tool ``answer`` and waits for the result of the call
+    two turns before, if that was a user turn; an assistant turn is the result of the turn before it."""
+    ids = F.concat(F.lit("t"), F.col("turn").cast("string"))
+    before = turns.where("role = 'user'").select(
+        F.col("conv_id"), (F.col("turn") + 2).alias("turn"), F.lit(True).alias("follows")
+    )
+    words = F.length("text") - F.length(F.replace("text", F.lit(" "), F.lit(""))) + 1
+    after = F.struct(
+        F.concat(F.lit("t"), (F.col("turn") - 2).cast("string")).alias("$result")
+    )
+    arguments = F.to_json(
+        F.struct(
+            F.col("text").alias("prompt"),
+            words.alias("words"),
+            F.when(F.col("follows"), after).alias("after"),
+        )
+    )
+    call = F.array(
+        F.struct(ids.alias("id"), F.lit("answer").alias("name"), arguments.alias("arguments"))
+    )
+    user = F.col("role") == "user"
+    return turns.join(before.distinct(), ["conv_id", "turn"], "left").select(
+        "conv_id",
+        "turn",
+        "role",
+        F.when(~user, F.col("text")).alias("content"),
+        F.when(user, call).alias("calls"),
+        F.when(
+            F.col("role") == "assistant",
+            F.concat(F.lit("t"), (F.col("turn") - 1).cast("string")),
+        ).alias("call_id"),
+    )
+
+
+def op5_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
+    messages = tool_messages(table(spark, sf_dir, "conversations"))
+    return chat.link(messages, {"answer": ANSWER_TOOL}).select(
+        "conv_id",
+        "turn",
+        "call_id",
+        F.col("at").alias("order_turn"),
+        F.col("depth").cast("long").alias("order_depth"),
+        "state",
+        "valid",
+        F.array_join("faults", "; ").alias("faults"),
+        "json",
+    )
+
+
+# DuckDB. Calls and results only look back, so the order is that of turns and the depth
+# is found along each conversation.
+OP5_SQL = r"""
+WITH RECURSIVE t AS (
+  SELECT DISTINCT conv_id, turn, role, text FROM conversations
+), m AS (
+  SELECT t.*, p.role AS before_role, q.turn IS NOT NULL AS follows,
+         n.turn IS NOT NULL AS answered, r.turn IS NOT NULL AS has_result,
+         length(t.text) - length(replace(t.text, ' ', '')) + 1 AS words
+  FROM t
+  LEFT JOIN t p ON p.conv_id = t.conv_id AND p.turn = t.turn - 1 AND p.role = 'user'
+  LEFT JOIN t q ON q.conv_id = t.conv_id AND q.turn = t.turn - 2 AND q.role = 'user'
+  LEFT JOIN t n ON n.conv_id = t.conv_id AND n.turn = t.turn + 1 AND n.role = 'assistant'
+  LEFT JOIN t r ON r.conv_id = t.conv_id AND r.turn = t.turn - 1 AND r.role = 'assistant'
+), d AS (
+  SELECT conv_id, turn, 0::BIGINT AS depth FROM m
+  WHERE NOT ((role = 'assistant' AND before_role = 'user')
+             OR (role = 'user' AND follows AND has_result))
+  UNION ALL
+  SELECT m.conv_id, m.turn, d.depth + 1
+  FROM d JOIN m ON m.conv_id = d.conv_id AND m.turn = d.turn + 1
+  WHERE (m.role = 'assistant' AND m.before_role = 'user')
+     OR (m.role = 'user' AND m.follows AND m.has_result)
+), f AS (
+  SELECT *, list_filter([
+      CASE WHEN length(text) < 1 THEN '$.prompt: below minLength' END,
+      CASE WHEN length(text) > 2000 THEN '$.prompt: above maxLength' END,
+      CASE WHEN words > 40 THEN '$.words: above maximum' END,
+      CASE WHEN follows AND NOT has_result
+           THEN 'no result t' || (turn - 2) END], lambda x: x IS NOT NULL AND role = 'user') AS wrong
+  FROM m
+)
+SELECT f.conv_id, f.turn,
+       CASE WHEN role = 'assistant' THEN 't' || (f.turn - 1) END AS call_id,
+       f.turn AS order_turn, depth AS order_depth,
+       CASE WHEN role = 'user' AND answered THEN 'call' WHEN role = 'user' THEN 'unanswered'
+            WHEN role <> 'assistant' THEN 'plain'
+            WHEN before_role = 'user' THEN 'result' ELSE 'orphan' END AS state,
+       len(wrong) = 0 AS valid, array_to_string(wrong, '; ') AS faults,
+       CASE WHEN role = 'user' THEN '{"calls":[{"arguments":{'
+              || CASE WHEN follows THEN '"after":{"$result":"t' || (f.turn - 2) || '"},' ELSE '' END
+              || '"prompt":' || to_json(text)::VARCHAR || ',"words":' || words
+              || '},"id":"t' || f.turn || '","name":"answer"}],"content":null,"role":"user"}'
+            ELSE '{' || CASE WHEN role = 'assistant'
+                             THEN '"call_id":"t' || (f.turn - 1) || '",' ELSE '' END
+              || '"content":' || to_json(text)::VARCHAR || ',"role":' || to_json(role)::VARCHAR
+              || '}' END AS json
+FROM f JOIN d ON d.conv_id = f.conv_id AND d.turn = f.turn
+"""
+
+
 def op6_embeddings(spark: SparkSession, sf_dir: str) -> DataFrame:
     return embeddings.near_duplicates(table(spark, sf_dir, "embeddings"), threshold=0.98)
 
@@ -101,6 +214,7 @@ QUERIES = {
     "op2_packing": op2_packing,
     "op3_jaccard": op3_jaccard,
     "op4_langid": op4_langid,
+    "op5_chat": op5_chat,
     "op6_embeddings": op6_embeddings,
     "op7_substrings": op7_substrings,
     "op8_lines": op8_lines,
@@ -108,4 +222,4 @@ QUERIES = {
     "op10_bpe": op10_bpe,
 }
 
-ORACLE: dict[str, str] = {}
+ORACLE = {"op5_chat": OP5_SQL}
