@@ -14,12 +14,18 @@ from pyspark.sql import functions as F
 _ROOT = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
 
-def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """One of the given tables. Python workers also look for this package where the
-    driver has it, for sessions that were started without a PYTHONPATH."""
+def ship(spark: SparkSession) -> None:
+    """Let Python workers also look for this package where the driver has it, for sessions
+    that were started without a PYTHONPATH."""
     known = spark.sparkContext.environment.get("PYTHONPATH", "").split(os.pathsep)
     if _ROOT not in known:
-        spark.sparkContext.environment["PYTHONPATH"] = os.pathsep.join([*filter(None, known), _ROOT])
+        path = os.pathsep.join([*filter(None, known), _ROOT])
+        spark.sparkContext.environment["PYTHONPATH"] = path
+
+
+def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """One of the given tables."""
+    ship(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 

@@ -160,6 +160,33 @@ def train(
     return Model(languages, columns, held, roots, weights)
 
 
+def _classify(batch: pa.RecordBatch, m: Model) -> tuple[np.ndarray, np.ndarray]:
+    """Index of each row's language (the number of languages: unknown) and its score."""
+    block = np.zeros((min(ROWS, batch.num_rows), len(m.columns)), np.float32)
+    own = np.ones(len(block))
+    best, score = np.full(batch.num_rows, len(m.languages)), np.zeros(batch.num_rows)
+    held: list[int] = []
+
+    def flush():
+        n = len(held)
+        if n:
+            kernel = block[:n] @ m.landmarks / np.sqrt(own[:n, None]) / m.roots
+            values = kernel @ m.weights[:-1] + m.weights[-1]
+            shares = np.exp(4 * (values - values.max(axis=1, keepdims=True)))
+            best[held], score[held] = values.argmax(axis=1), 1 / shares.sum(axis=1)
+            held.clear()
+
+    for i, (has, bits) in enumerate(bitmaps(batch.column("text"))):
+        if has:
+            block[len(held)] = bits[m.columns]
+            own[len(held)] = np.count_nonzero(bits)
+            held.append(i)
+            if len(held) == len(block):
+                flush()
+    flush()
+    return best, score
+
+
 def predict(docs: DataFrame, model: Model | None) -> DataFrame:
     """(doc_id, lang_pred, score) of every whole text."""
     source = docs.select("doc_id", "text")
@@ -171,35 +198,9 @@ def predict(docs: DataFrame, model: Model | None) -> DataFrame:
     shared = docs.sparkSession.sparkContext.broadcast(model)  # bounded by the landmarks
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        m = shared.value
-        names = np.array([*m.languages, UNKNOWN], object)
-        block = np.zeros((ROWS, len(m.columns)), np.float32)
-        own = np.ones(ROWS)
-
-        def classify(n: int):
-            kernel = block[:n] @ m.landmarks / np.sqrt(own[:n, None]) / m.roots
-            values = kernel @ m.weights[:-1] + m.weights[-1]
-            shares = np.exp(4 * (values - values.max(axis=1, keepdims=True)))
-            return values.argmax(axis=1), 1 / shares.sum(axis=1)
-
+        names = np.array([*shared.value.languages, UNKNOWN], object)
         for batch in tx.slices(batches, PIECE):
-            total = batch.num_rows
-            best, score = np.full(total, len(m.languages)), np.zeros(total)
-            held: list[int] = []
-
-            def flush():
-                if held:
-                    best[held], score[held] = classify(len(held))
-                    held.clear()
-
-            for i, (has, bits) in enumerate(bitmaps(batch.column("text"))):
-                if has:
-                    block[len(held)] = bits[m.columns]
-                    own[len(held)] = np.count_nonzero(bits)
-                    held.append(i)
-                    if len(held) == ROWS:
-                        flush()
-            flush()
+            best, score = _classify(batch, shared.value)
             yield pa.RecordBatch.from_pydict(
                 {
                     "doc_id": batch.column("doc_id"),
@@ -209,3 +210,18 @@ def predict(docs: DataFrame, model: Model | None) -> DataFrame:
             )
 
     return source.mapInArrow(run, f"doc_id {kind}, lang_pred string, score double")
+
+
+def keep_known(docs: DataFrame, model: Model | None) -> DataFrame:
+    """The documents, with all of their columns, whose text has a language of the model;
+    ``und`` goes. In one narrow pass."""
+    if model is None:
+        return docs.limit(0)
+    shared = docs.sparkSession.sparkContext.broadcast(model)  # bounded by the landmarks
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in tx.slices(batches, PIECE):
+            best, _ = _classify(batch, shared.value)
+            yield batch.filter(pa.array(best < len(shared.value.languages)))
+
+    return docs.mapInArrow(run, docs.schema)
