@@ -37,7 +37,7 @@ from tallyhouse.operators.joins import join_by_key
 
 RARE = 16
 GROUP = 8192
-KEY = "_line_key"
+KEY, GONE, LINES = "_line_key", "_line_gone", "_line_split"
 
 
 def split_lines(text: str) -> Column:
@@ -159,7 +159,9 @@ def overlaps(hashed: DataFrame, *, rare: int = RARE, group: int = GROUP) -> Data
 
 def remove_common_lines(docs: DataFrame, *, rare: int = RARE, group: int = GROUP) -> DataFrame:
     """The documents without lines that are aligned with an earlier document. Adds
-    ``n_lines`` and ``n_removed``; a text that loses all of its lines becomes empty."""
+    ``n_lines`` and ``n_removed``, in place of columns of that name; a text that loses all of
+    its lines becomes empty."""
+    docs = docs.drop("n_lines", "n_removed")
     keyed = row_key(docs, KEY)
     hashed = staged(
         keyed.select("doc_id", KEY, line_hashes(split_lines("text")).alias("hashes"))
@@ -193,16 +195,14 @@ def remove_common_lines(docs: DataFrame, *, rare: int = RARE, group: int = GROUP
         .mapInArrow(run, f"{KEY} long, gone array<int>")
         .where(F.size("gone") > 0)
         .groupBy(KEY)
-        .agg(F.array_distinct(F.flatten(F.collect_set("gone"))).alias("gone"))
+        .agg(F.array_distinct(F.flatten(F.collect_set("gone"))).alias(GONE))
     )
-    joined = keyed.join(gone, KEY, "left").withColumn("_lines", split_lines("text"))
-    kept = F.when(F.col("gone").isNull(), F.col("text")).otherwise(
-        F.array_join(
-            F.filter("_lines", lambda _, i: ~F.array_contains(F.col("gone"), i)), "\n"
-        )
+    joined = keyed.join(gone, KEY, "left").withColumn(LINES, split_lines("text"))
+    kept = F.when(F.col(GONE).isNull(), F.col("text")).otherwise(
+        F.array_join(F.filter(LINES, lambda _, i: ~F.array_contains(F.col(GONE), i)), "\n")
     )
     return joined.select(
         *[kept.alias("text") if c == "text" else F.col(f"`{c}`") for c in docs.columns],
-        F.size("_lines").cast("long").alias("n_lines"),
-        F.coalesce(F.size("gone"), F.lit(0)).cast("long").alias("n_removed"),
+        F.size(LINES).cast("long").alias("n_lines"),
+        F.coalesce(F.size(GONE), F.lit(0)).cast("long").alias("n_removed"),
     )

@@ -36,7 +36,7 @@ WINDOW = 35
 ANCHOR = 8
 BLOCK = 8192
 PIECE = 2 << 20
-KEY = "_rlz_key"
+KEY, SPANS = "_rlz_key", "_rlz_spans"
 
 
 def anchored_windows(column: pa.Array, window: int, anchor: int):
@@ -220,16 +220,17 @@ def remove_repeats(
     docs: DataFrame, *, window: int = WINDOW, anchor: int = ANCHOR, block: int = BLOCK
 ) -> DataFrame:
     """The documents with every word removed that a repeated window covers; kept words are
-    joined by one space. Adds ``n_words`` and ``n_removed``."""
+    joined by one space. Adds ``n_words`` and ``n_removed``, in place of columns of that name."""
+    docs = docs.drop("n_words", "n_removed")
     keyed = row_key(docs, KEY)
     spans = repeated_spans(keyed, window=window, anchor=anchor, block=block)
-    joined = keyed.join(spans, KEY, "left")
+    joined = keyed.join(spans.withColumnRenamed("spans", SPANS), KEY, "left")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             texts = batch.column("text").to_pylist()
             total, removed, kept = [], [], []
-            for text, spans in zip(texts, batch.column("spans").to_pylist(), strict=True):
+            for text, spans in zip(texts, batch.column(SPANS).to_pylist(), strict=True):
                 words = (text or "").encode().split()
                 total.append(len(words))
                 if spans:
@@ -242,7 +243,7 @@ def remove_repeats(
                 else:
                     removed.append(0)
                 kept.append(b" ".join(words).decode())
-            out = batch.drop_columns(["spans", KEY])
+            out = batch.drop_columns([SPANS, KEY])
             out = out.set_column(
                 out.schema.get_field_index("text"), "text", pa.array(kept, pa.string())
             )
@@ -251,6 +252,7 @@ def remove_repeats(
             )
 
     columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema)
-    return joined.select(*docs.columns, KEY, "spans").mapInArrow(
+    own = [F.col(f"`{c}`") for c in docs.columns]
+    return joined.select(*own, KEY, SPANS).mapInArrow(
         run, f"{columns}, n_words long, n_removed long"
     )
