@@ -1,0 +1,455 @@
+"""Jaccard join, line and substring dedup, embeddings, chat, and the pipeline."""
+
+import json
+import os
+import random
+from collections import Counter
+from difflib import SequenceMatcher
+
+import corpus_pipeline
+import numpy as np
+import pyarrow as pa
+import pytest
+from hypothesis import given, settings
+from hypothesis import strategies as st
+from pyspark.sql import functions as F
+
+from tallyhouse.llm import chat, embeddings, jaccard, lines, packing, queries, substrings
+from tallyhouse.llm import text as tx
+from tallyhouse.llm.common import whole_groups
+from tallyhouse.llm.components import components
+from tests.llm import cases
+from tests.oracle_check import compare, connect
+
+SF = os.environ.get("LLM_SF_DIR", "/root/testdata/sf0.001")
+
+
+@given(st.lists(st.text(alphabet="ab \t\né日", max_size=12) | st.none(), max_size=8))
+@settings(max_examples=200, deadline=None)
+def test_words_of_a_column(texts):
+    flat, offsets = tx.utf8(pa.array(texts, pa.string()))
+    starts, ends, first = tx.words(flat, offsets)
+    raw = flat.tobytes()
+    found = [
+        [raw[s:e] for s, e in zip(starts[a:b], ends[a:b], strict=True)]
+        for a, b in zip(first[:-1], first[1:], strict=True)
+    ]
+    assert found == [(t or "").encode().split() for t in texts]
+    hashes = tx.span_hashes(flat, starts, ends)
+    content = [raw[s:e] for s, e in zip(starts, ends, strict=True)]
+    assert len(set(hashes.tolist())) == len(set(content)) == len(set(zip(hashes.tolist(), content)))
+
+
+@given(st.lists(st.integers(0, 5), min_size=1, max_size=60), st.integers(1, 9), st.integers(1, 20))
+@settings(max_examples=200, deadline=None)
+def test_groups_stay_whole(keys, size, least):
+    keys = sorted(keys)
+    table = pa.table({"k": keys, "i": range(len(keys))})
+    parts = list(whole_groups(iter(table.to_batches(max_chunksize=size)), "k", least))
+    assert sum((p.column("i").to_pylist() for p in parts), []) == list(range(len(keys)))
+    seen = [set(p.column("k").to_pylist()) for p in parts]
+    assert sum(map(len, seen)) == len(set(keys))
+
+
+def test_components(spark):
+    rng = random.Random(3)
+    pairs = [(i, i + 1) for i in range(0, 60)] + [(100, i) for i in range(101, 160)]
+    pairs += [(rng.randrange(200, 300), rng.randrange(200, 300)) for _ in range(60)] + [(7, 7)]
+    rng.shuffle(pairs)
+    top = list(range(400))
+
+    def find(x):
+        while top[x] != x:
+            x = top[x]
+        return x
+
+    for a, b in pairs:
+        x, y = sorted((find(a), find(b)))
+        top[y] = x
+    found = components(spark.createDataFrame(pairs, "u long, v long")).collect()
+    nodes = {x for a, b in pairs if a != b for x in (a, b)}
+    assert {r.node: r.component for r in found} == {x: find(x) for x in nodes}
+    assert len(found) == len(nodes)
+    assert components(spark.createDataFrame([], "u long, v long")).count() == 0
+
+
+def near_documents(copies=30):
+    base, other = cases.prose(50, 160), cases.prose(51, 120)
+    texts = [*cases.odd_texts(), *[cases.edited(base, i, i % 4) for i in range(copies)]]
+    texts += [cases.edited(other, i, 1) for i in range(6)]
+    texts += [cases.prose(1000 + i, 30 + i) for i in range(40)]
+    chain = base
+    for i in range(5):  # each links with the one before, the ends do not
+        chain = cases.edited(chain, 500 + i, 2)
+        texts.append(chain)
+    return texts
+
+
+@pytest.mark.parametrize("options", [{}, {"small": 4, "block": 7}])
+def test_jaccard_links_and_classes(spark, options):
+    texts = near_documents()
+    docs = [(i, t) for i, t in enumerate(texts)]
+    df = spark.createDataFrame(docs, "doc_id long, text string").withColumn("node", F.lit("clash"))
+    expected = cases.jaccard_classes(docs)
+    rows = jaccard.join(df.repartition(3), **options).collect()
+    assert {r.doc_id: (r.class_id, r.n_links) for r in rows} == expected
+    assert {r.doc_id for r in rows if r.kept} == {c for c, _ in expected.values()}
+    assert len(rows) == len(docs)
+
+
+def test_jaccard_keeps_one_of_each_class(spark):
+    docs = cases.odd_documents(spark, component=1, node="clash", sketch=2)
+    kept = jaccard.one_per_class(docs)
+    assert kept.columns == docs.columns
+    rows = sorted(docs.collect(), key=lambda r: (r.doc_id is not None, r.doc_id or 0))
+    expected = cases.jaccard_classes([(r.doc_id, r.text) for r in rows])
+    heads = Counter(rows[i].text for i, (c, _) in expected.items() if c == i)
+    found = Counter(r.text for r in kept.collect())
+    # rows of one id and text are one
+    assert found == heads
+    assert jaccard.join(docs.limit(0)).count() == 0
+
+
+def test_runs_reach_the_target():
+    q, runs = jaccard.runs_needed(0.8, 3, 0.995)
+    rng = random.Random(0)
+
+    def met(depth):
+        if not depth:
+            return True
+        return any(rng.random() < 0.8 and met(depth - 1) for _ in range(1 + (rng.random() < q)))
+
+    trials = 4000
+    assert sum(any(met(3) for _ in range(runs)) for _ in range(trials)) >= 0.99 * trials
+
+
+@pytest.mark.parametrize("block", [substrings.BLOCK, 3])
+def test_substrings_equal_brute_force(spark, block):
+    rng = random.Random(4)
+    passage = cases.prose(70, 80).split()
+    texts = [*cases.odd_texts(), *[cases.edited(cases.prose(71, 120), i, i % 3) for i in range(12)]]
+    for i in range(15):  # parts of one passage around the window's length
+        a = rng.randrange(0, 40)
+        n = rng.choice([33, 34, 35, 36, 40])
+        middle = " ".join(passage[a : a + n])
+        texts.append(f"{cases.prose(200 + i, 20)} {middle} {cases.prose(300 + i, 20)}")
+    texts += ["w " * 34, "v " * 36, "u " * 35 + "t " * 35, "  ".join(passage[:35]), "\v".join(passage[:35])]
+    expected = cases.without_repeats(texts)
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    df = df.withColumns({c: F.lit("clash") for c in ("spans", "start", "hash", "anchor", "n_words")})
+    found = substrings.remove_repeats(df.repartition(4), block=block)
+    assert found.columns == [c for c in df.columns if c != "n_words"] + ["n_words", "n_removed"]
+    got = {r.doc_id: (r.n_words, r.n_removed, r.text) for r in found.collect()}
+    for i, text in enumerate(texts):
+        assert got[i] == expected[i], text and text[:80]
+
+
+def test_substrings_of_odd_documents(spark):
+    docs = cases.odd_documents(spark)
+    rows = docs.collect()
+    expected = Counter(cases.without_repeats([r.text for r in rows]))
+    found = substrings.remove_repeats(docs).collect()
+    assert Counter((r.n_words, r.n_removed, r.text) for r in found) == expected
+    assert Counter((r.doc_id, r.lang, r.n_chars) for r in found) == Counter(
+        (r.doc_id, r.lang, r.n_chars) for r in rows
+    )
+    assert substrings.remove_repeats(docs.limit(0)).count() == 0
+
+
+@given(st.lists(st.integers(0, 6), max_size=25), st.lists(st.integers(0, 6), max_size=25))
+@settings(max_examples=300, deadline=None)
+def test_patience_aligns_in_order(a, b):
+    pairs = lines.patience(a, b)
+    assert all(a[i] == b[j] for i, j in pairs)
+    assert all(x < y and u < v for (x, u), (y, v) in zip(pairs, pairs[1:], strict=False))
+    unique = [x for x in set(a) & set(b) if x and a.count(x) == b.count(x) == 1]
+    if len(unique) == 1:
+        assert pairs
+    if a == b:
+        assert len(pairs) == len(a)
+
+
+def test_patience_prefers_unique_lines():
+    a, b = [9, 1, 9, 2, 9, 3], [8, 1, 8, 2, 9, 3]
+    assert lines.patience(a, b) == [(1, 1), (3, 3), (4, 4), (5, 5)]
+    assert lines.common_lines([0, 5, 6], [0, 7, 5]) == [2]
+    assert lines.common_lines([0, 4], [0, 5]) == []
+
+
+def text_of(*parts):
+    return "\n".join(parts)
+
+
+@pytest.mark.parametrize("group", [lines.GROUP, 4])
+def test_line_dedup(spark, group):
+    own = lambda i: [f"own {i} {k}" for k in range(4)]
+    rare = ["a rare block", "of three lines", "", "in two documents"]
+    frequent = "a frequent line"
+    template = [f"template {k}" for k in range(6)]
+    texts = [
+        text_of(*own(0), *rare),
+        text_of(own(1)[0], *rare, own(1)[1]),
+        text_of(*own(2), frequent),
+        *[text_of(frequent, *own(10 + i)) for i in range(30)],
+        *[text_of(*template) for _ in range(25)],
+        *[text_of(*template[:3], f"changed {i}", *template[4:]) for i in range(25)],
+        "single", "single", None, "", "\n\n",
+    ]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    df = df.withColumns({c: F.lit("clash") for c in ("gone", "hashes", "line", "later")})
+    found = lines.remove_common_lines(df.repartition(3), rare=5, group=group)
+    rows = {r.doc_id: r for r in found.collect()}
+    assert found.columns == [*df.columns, "n_lines", "n_removed"] and len(rows) == len(texts)
+    assert rows[0].text == texts[0] and rows[0].n_removed == 0
+    assert rows[1].text == text_of(*own(1)[:2]) and rows[1].n_removed == 4
+    for i in range(2, 33):  # a frequent line alone is no overlap
+        assert rows[i].text == texts[i]
+    assert rows[33].text == texts[33]
+    for i in range(34, 58):
+        assert rows[i].text == "" and rows[i].n_removed == 6
+    for i in range(58, 83):
+        assert rows[i].text == f"changed {i - 58}"
+    assert rows[83].text == "single" and rows[84].text == ""
+    assert rows[85].text is None and rows[85].n_lines == 0
+    assert (rows[86].text, rows[86].n_lines) == ("", 0)
+    assert (rows[87].text, rows[87].n_removed) == ("\n\n", 0)
+
+
+def test_line_dedup_of_odd_documents(spark):
+    docs = cases.odd_documents(spark, n_removed="clash")
+    found = lines.remove_common_lines(docs)
+    assert found.columns == [*[c for c in docs.columns if c != "n_removed"], "n_lines", "n_removed"]
+    before, after = docs.collect(), found.collect()
+    assert Counter(r.doc_id for r in after) == Counter(r.doc_id for r in before)
+    for r in after:  # what is kept was there, in order
+        old = next(x.text for x in before if x.doc_id == r.doc_id and x.lang == r.lang
+                   and x.n_chars == r.n_chars)
+        kept = (r.text or "").split("\n")
+        matcher = SequenceMatcher(None, (old or "").split("\n"), kept, autojunk=False)
+        assert r.text in (old, "") or sum(b.size for b in matcher.get_matching_blocks()) == len(kept)
+    assert lines.remove_common_lines(docs.limit(0)).count() == 0
+
+
+def planted_vectors(n=240, size=16):
+    rng = np.random.default_rng(8)
+    out = rng.normal(size=(n, size))
+    for i in range(60):  # near copies, some around the threshold
+        out[60 + i] = out[i % 6] + rng.normal(size=size) * rng.choice([0.02, 0.1, 0.2])
+    out[130] = out[0]
+    out[131] = out[0] * 3
+    return out.astype(np.float32)
+
+
+def brute_vectors(rows, threshold):
+    """{place: (component, links)} with cosines in double precision."""
+    n = len(rows)
+    unit = {}
+    for i, (_, value, label) in enumerate(rows):
+        if value and label is not None and None not in value:
+            one = np.array(value, float)
+            if np.isfinite(one).all() and one.any():
+                unit[i] = one / np.linalg.norm(one)
+    near = {i: [] for i in range(n)}
+    for i in unit:
+        for j in unit:
+            if i != j and rows[i][2] == rows[j][2] and len(unit[i]) == len(unit[j]):
+                if unit[i] @ unit[j] >= threshold:
+                    near[i].append(j)
+    out, seen = {}, set()
+    for i in sorted(range(n), key=lambda i: rows[i][0]):
+        if i in seen:
+            continue
+        group, work = {i}, [i]
+        while work:
+            for j in near[work.pop()]:
+                if j not in group:
+                    group.add(j)
+                    work.append(j)
+        seen |= group
+        least = min(rows[j][0] for j in group)
+        out.update({rows[j][0]: (least, len(near[j])) for j in group})
+    return out
+
+
+@pytest.mark.parametrize("options", [{}, {"shard": 40, "queries": 30, "block": 9}])
+def test_embeddings_equal_brute_force(spark, options):
+    vectors = planted_vectors()
+    rows = [(i, v.tolist(), i % 2 if i >= 200 else 0) for i, v in enumerate(vectors)]
+    rows += [
+        (900, None, 0), (901, [], 0), (902, [0.0] * 16, 0), (903, [float("nan")] * 16, 0),
+        (904, [float("inf")] + [1.0] * 15, 0), (905, [None, *[1.0] * 15], 0),
+        (906, vectors[0].tolist(), None), (907, vectors[0][:5].tolist(), 0),
+        (908, vectors[0][:5].tolist(), 0), (909, vectors[0].tolist(), 5),
+    ]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<float>, label int")
+    df = df.withColumns({c: F.lit("clash") for c in ("node", "group", "unit", "kept")})
+    found = embeddings.near_duplicates(df.repartition(3), **options).collect()
+    assert {r.vec_id: (r.component_id, r.n_links) for r in found} == brute_vectors(rows, 0.98)
+    assert len(found) == len(rows)
+    assert all(r.kept == (r.vec_id == r.component_id) for r in found)
+
+
+def test_no_vectors(spark):
+    df = spark.createDataFrame([], "vec_id long, embedding array<float>, label int")
+    assert embeddings.near_duplicates(df).count() == 0
+    lone = spark.createDataFrame([(1, None, None)], "vec_id long, embedding array<float>, label int")
+    assert [tuple(r) for r in embeddings.near_duplicates(lone).collect()] == [(1, 0, 1, True)]
+
+
+def test_graph_recall_before_any_audit():
+    rng = np.random.default_rng(1)
+    vectors = rng.normal(size=(1500, 24))
+    vectors[500:1000] = vectors[:500] + rng.normal(size=(500, 24)) * 0.02
+    vectors /= np.linalg.norm(vectors, axis=1, keepdims=True)
+    seeds = tx.mix(np.arange(1500, dtype=np.uint64) + np.uint64(1))
+    graph = embeddings.Graph.build(vectors, seeds)
+    true = vectors @ vectors.T >= 0.98
+    found = np.zeros_like(true)
+    for i, q in enumerate(vectors):
+        found[i, graph.linked(q, embeddings.BEAM, 0.98)] = True
+    assert not (found & ~true).any()
+    assert (found & true).sum() >= 0.9 * true.sum()
+    at, to = embeddings.query(graph, vectors, 0.98)
+    assert len(at) >= embeddings.RECALL * true.sum() * 0.99
+
+
+def test_islands_of_a_graph_are_compared_directly():
+    vectors = np.eye(40)
+    graph = embeddings.Graph(vectors, np.zeros(40, int))
+    graph.entry = 0
+    at, to = embeddings.query(graph, vectors, 0.98)
+    assert at.tolist() == to.tolist() == list(range(40))
+
+
+MESSAGES = (
+    "conv_id long, turn int, role string, content string, "
+    "calls array<struct<id: string, name: string, arguments: string>>, call_id string"
+)
+ADD = {"type": "object", "required": ["a"], "additionalProperties": False,
+       "properties": {"a": {"type": ["integer", "object"], "maximum": 9}, "b": {"type": "array",
+       "items": {"enum": [1, 2]}, "maxItems": 2}}}
+
+
+def test_chat_links_orders_and_checks(spark):
+    def call(id_, arguments, name="add"):
+        return (id_, name, arguments)
+
+    rows = [
+        (1, 0, "user", "q", None, None),
+        (1, 1, "assistant", None, [call("x", '{"b": [1],\n "a": 1.0}')], None),
+        (1, 2, "tool", "3", None, "x"),
+        (1, 3, "tool", "again", None, "x"),
+        (1, 4, "tool", "lost", None, "nowhere"),
+        (1, 5, "tool", "early", None, "late"),
+        (1, 7, "assistant", "é \"", [call("late", '{"a": {"$result": "x"}}'), None], None),
+        (1, 8, "assistant", "", [call("bad", '{"a": 10, "c": NaN}')], None),
+        (1, 9, "assistant", "", [call("un", '{"a": 10, "b": [1, 3, 1], "c": 1}', "add")], None),
+        (2, 0, "assistant", "other conversation", [call("x", "{}", "none")], None),
+        (2, 1, "assistant", None, [call("p", '{"a": {"$result": "q"}}')], None),
+        (2, 2, "tool", None, [call("q", '{"a": {"$result": "p"}}')], "p"),
+        (2, 3, "tool", "r", None, "q"),
+        (None, None, None, None, [], None),
+        (None, 1, "tool", "t", None, "z"),
+        (None, 0, "assistant", None, [call("z", '"\\ud800"'), call(None, None)], None),
+        (3, 0, "user", "q", None, None),
+        (3, 0, "user", "q", None, None),
+    ]
+    df = spark.createDataFrame(rows, MESSAGES).withColumns(
+        {c: F.lit("clash") for c in ("node", "ids", "at", "json")}
+    )
+    found = chat.link(df.repartition(3), {"add": ADD})
+    got = {(r.conv_id, r.turn): r for r in found.collect()}
+    assert found.count() == len(rows)
+    states = {k: r.state for k, r in got.items()}
+    assert states == {
+        (1, 0): "plain", (1, 1): "call", (1, 2): "result", (1, 3): "repeated", (1, 4): "orphan",
+        (1, 5): "result", (1, 7): "call", (1, 8): "unanswered", (1, 9): "unanswered",
+        (2, 0): "unanswered", (2, 1): "cyclic", (2, 2): "cyclic", (2, 3): "cyclic",
+        (None, None): "plain", (None, 1): "result", (None, 0): "call", (3, 0): "plain",
+    }
+    assert got[1, 1].json == (
+        '{"calls":[{"arguments":{"a":1.0,"b":[1]},"id":"x","name":"add"}],'
+        '"content":null,"role":"assistant"}'
+    )
+    assert got[1, 1].valid and got[1, 7].valid
+    assert got[1, 7].json.count(" ") == 1 and json.loads(got[1, 7].json)["content"] == "é \""
+    assert got[1, 8].faults == ["arguments are not JSON"]
+    assert got[1, 9].faults == [
+        "$: unknown c"] or got[1, 9].faults == [
+        "$.a: above maximum", "$.b: above maxItems", "$.b[1]: not in enum", "$: unknown c"]
+    assert got[2, 0].faults == ["unknown tool none"]
+    # the early result waits for its call, which waits for the result of x
+    assert (got[1, 5].at, got[1, 5].depth) == (7, 3)
+    assert (got[1, 7].at, got[1, 7].depth) == (7, 2)
+    assert (got[1, 2].at, got[1, 2].depth) == (2, 1)
+
+
+def test_chat_matches_sql_and_needs_messages(spark):
+    con = connect(SF)
+    assert compare("op5_chat", queries.op5_chat(spark, SF), con, queries.OP5_SQL) is None
+    none = spark.createDataFrame([], MESSAGES)
+    assert chat.link(none, {}).count() == 0
+
+
+@given(st.recursive(st.none() | st.booleans() | st.integers() | st.text(), lambda c: st.lists(c)
+                    | st.dictionaries(st.text(), c), max_leaves=8))
+@settings(max_examples=200, deadline=None)
+def test_canonical_json_round_trip(value):
+    text = chat.canonical(value)
+    assert json.loads(text) == value and chat.canonical(json.loads(text)) == text
+
+
+def test_pipeline_stages(spark, tmp_path):
+    docs = [r for r in cases.rows(near_documents(8)) if r[0] != 14]
+    path = str(tmp_path / "documents.parquet")
+    spark.createDataFrame(docs, cases.DOCUMENTS).repartition(2).write.parquet(path)
+    current = spark.read.parquet(path)
+    columns = current.columns
+    texts = {r.doc_id: r.text for r in current.collect()}
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        found = stage(spark, current, str(tmp_path))
+        assert found.columns == columns, name
+        rows = sorted(found.collect(), key=lambda r: r.doc_id)
+        after = {r.doc_id: r.text for r in rows}
+        assert len(after) == len(rows)
+        if name == "language_id":
+            letters = {i for i, t in texts.items() if any(c.isalpha() for c in t or "")}
+            assert after == {i: texts[i] for i in letters}
+        elif name == "line_dedup":
+            assert set(after) <= set(texts) and 8 in after and 9 not in after
+            assert all(r.n_chars == len(r.text) for r in rows)
+        elif name == "jaccard_join":
+            order = sorted(texts.items())
+            classes = cases.jaccard_classes(order)
+            assert after == {order[i][0]: order[i][1] for i, (c, _) in classes.items() if c == i}
+        else:
+            order = sorted(texts.items())
+            expected = cases.without_repeats([t for _, t in order])
+            assert after == {
+                i: kept for (i, _), (n, gone, kept) in zip(order, expected, strict=True)
+                if gone < n or not n
+            }
+        texts = after
+        current = spark.createDataFrame(rows, found.schema)
+    from tests.llm.test_text_operators import check_pieces
+
+    pieces = packing.pack(current, corpus_pipeline.tokenizer("word_bpe_49k.json"))
+    check_pieces(pieces.collect(), sorted(texts.items()), 2048)
+    last = corpus_pipeline.run(spark, str(tmp_path))
+    assert last.columns == queries.op2_packing(spark, str(tmp_path)).columns
+    assert {r.doc_id for r in last.collect()} == set(texts)
+
+
+def test_pipeline_of_an_empty_table(spark, tmp_path):
+    spark.createDataFrame([], cases.DOCUMENTS).write.parquet(str(tmp_path / "documents.parquet"))
+    assert corpus_pipeline.run(spark, str(tmp_path)).count() == 0
+
+
+def test_whole_queries_against_brute_force(spark):
+    docs = sorted((r.doc_id, r.text) for r in spark.read.parquet(f"{SF}/documents.parquet").collect())
+    expected = cases.jaccard_classes(docs)
+    got = {r.doc_id: (r.class_id, r.n_links) for r in queries.op3_jaccard(spark, SF).collect()}
+    assert got == {docs[i][0]: (docs[c][0], n) for i, (c, n) in expected.items()}
+    counts = {r.doc_id: (r.n_words, r.n_removed) for r in queries.op7_substrings(spark, SF).collect()}
+    brute = cases.without_repeats([t for _, t in docs])
+    assert counts == {i: b[:2] for (i, _), b in zip(docs, brute, strict=True)}
