@@ -37,14 +37,12 @@ def tokenizer(name: str) -> str:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """A new folder below ``spark.checkpoint.dir``; set to a local one where unset and
-    the master is local, as in tests."""
-    configured = spark.conf.get("spark.checkpoint.dir", None)
-    if not configured:
-        if not spark.sparkContext.master.startswith("local["):
-            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
-        configured = os.path.join(os.path.abspath("spark-warehouse"), "checkpoints")
-    return f"{configured.rstrip('/')}/{uuid.uuid4().hex}"
+    """A new folder below ``spark.checkpoint.dir``, or below the warehouse where unset;
+    both are shared by all executors."""
+    root = spark.conf.get("spark.checkpoint.dir", None) or (
+        spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/checkpoints"
+    )
+    return f"{root.rstrip('/')}/{uuid.uuid4().hex}"
 
 
 def staged(df: DataFrame) -> DataFrame:
