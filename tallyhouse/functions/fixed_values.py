@@ -23,6 +23,7 @@ DEFAULT_CURRENCY = "$"
 MISSING_COUNTRY = "Missing Country ID"
 MISSING_PRODUCT = "Missing Product"
 MISSING_PRICE = "Missing Price"
+INVALID_DATE = "Invalid Date"
 
 # Alert report layout (six columns) and default threshold factor.
 ALERT_COLUMNS = ("Invoice", "Customer", "Stock Code", "Qty", "Median", "Limit")

@@ -27,16 +27,17 @@ def group_baseline(
 ) -> DataFrame:
     """Median and sample standard deviation of ``value`` per group.
 
-    Exact for whole numbers by counting each value first, for other numbers by
-    narrowing to the middle of each group first; both shrink a hot group before
-    its rows meet. ``exact=False`` uses ``percentile_approx`` with ``accuracy``.
+    Exact for integers of up to 32 bits by counting each value first, for wider and
+    other numbers, which may all differ, by narrowing to the middle of each group first; both
+    shrink a hot group before its rows meet. ``exact=False`` uses ``percentile_approx`` with ``accuracy``.
     """
     if not exact:
         return df.groupBy(group).agg(
             F.percentile_approx(value, 0.5, accuracy).cast("double").alias(MEDIAN),
             F.stddev(value).alias(STDDEV),
         )
-    if isinstance(df.schema[value].dataType, T.IntegralType):
+    kind = df.schema[value].dataType
+    if isinstance(kind, T.IntegralType) and not isinstance(kind, T.LongType):
         return _counted_baseline(df, group, value)
     return _bracketed_baseline(df, group, value)
 
@@ -195,6 +196,16 @@ def anomaly_records(
     ).select(*schemas.ANOMALIES.names, *extra)
 
 
+CASE_KEY = ("order_id", "stock_code", "quantity")
+
+
+def merge_records(known: DataFrame, found: DataFrame) -> DataFrame:
+    """Known records as they are, with their status, and those found for the first time."""
+    seen = known.select(*CASE_KEY).distinct()
+    fresh = join_by_key(found, seen, list(CASE_KEY), "left_anti")
+    return known.unionByName(fresh.select(*known.columns))
+
+
 def refresh_baseline(
     df: DataFrame,
     anomalies: DataFrame,

@@ -2,10 +2,12 @@
 
 The price in effect is the version whose ``[start, end)`` holds the row's time.
 A plain key join would test every version of a key against every row of that key.
-Here both sides also share a calendar bucket, and a version is repeated once per
-bucket it covers, so a row meets only the versions of its own bucket (31 at most
-for daily prices and monthly buckets). It is an ordinary equi join of two shuffled
-sides, so adaptive execution splits a hot (key, bucket) over many tasks.
+Here both sides also share a calendar bucket. A version stands in the bucket of its start;
+each (key, bucket) that occurs among the rows also gets the one version that was in effect
+when the bucket began. So the right side has as many rows as there are versions and
+occurring buckets, however long a version holds, and a row meets only the versions of its
+own bucket (32 at most for daily prices and monthly buckets). It is an ordinary equi join, so
+Spark broadcasts a small history and splits a hot (key, bucket) over many tasks.
 """
 
 from __future__ import annotations
@@ -16,7 +18,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tallyhouse.operators.dedup import latest_per_key
-from tallyhouse.operators.joins import join_by_key
+from tallyhouse.operators.joins import common_type, join_by_key
 from tallyhouse.operators.scd import scd2_intervals
 
 _START, _END, _BUCKET = "_start", "_end", "_bucket"
@@ -32,8 +34,36 @@ def _bucket_of(time: Column, width: str) -> Column:
     raise ValueError(f"unknown bucket width: {width}")
 
 
-def _last_bucket(df: DataFrame, time: Column, width: str) -> Column:
-    return df.agg(_bucket_of(F.max(time), width)).scalar()
+def versions_by_bucket(rows: DataFrame, versions: DataFrame, on: str, bucket: str) -> DataFrame:
+    """The versions (_key, _start, ...) with the bucket they are looked up in: that of their
+    start, and for each (key, bucket) of ``rows`` the last version that started before it.
+
+    The window sees the versions and the occurring buckets of a key, not its rows.
+    """
+    key = common_type(rows, on, versions, "_key")
+    carried = [name for name in versions.columns if name != "_key"]
+    version = F.struct(*[F.col(f"`{name}`") for name in carried])
+    events = versions.select(
+        F.col("_key").try_cast(key).alias("_key"),
+        _bucket_of(F.col(_START), bucket).alias("_vbucket"),
+        F.lit(1).alias("_side"),
+        version.alias("_version"),
+    )
+    asked = (
+        rows.select(F.col(f"`{on}`").try_cast(key).alias("_key"), F.col(_BUCKET).alias("_vbucket"))
+        .dropna()
+        .distinct()
+        .withColumn("_side", F.lit(0))
+        .withColumn("_version", F.lit(None).cast(events.schema["_version"].dataType))
+    )
+    by = Window.partitionBy("_key").orderBy("_vbucket", "_side", f"_version.{_START}")
+    so_far = by.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    return (
+        events.unionByName(asked)
+        .withColumn("_version", F.last("_version", ignorenulls=True).over(so_far))
+        .where(F.col("_version").isNotNull())
+        .select("_key", "_vbucket", "_version.*")
+    )
 
 
 def validity_join(
@@ -45,47 +75,30 @@ def validity_join(
     end: str = "effective_end_date",
     how: str = "inner",
     bucket: str = "month",
-    last_bucket: Column | None = None,
-    broadcast_below: int | None = None,
 ) -> DataFrame:
-    """Join each left row to the interval rows of its key that hold at time ``at``:
-    ``start <= at AND (end IS NULL OR at < end)``.
+    """Join each left row to the interval row of its key that holds at time ``at``:
+    ``start <= at AND (end IS NULL OR at < end)``. Intervals of a key must not overlap,
+    as those of ``scd2_intervals`` don't.
 
     ``how`` is ``inner``, ``left`` (unmatched rows get NULLs) or ``left_anti``.
-    All buckets after the last start or end are one: nothing changes there any
-    more, so an open interval need not be repeated without limit.
     """
     if how not in ("inner", "left", "left_anti"):
         raise ValueError(f"unsupported join type: {how}")
     at = F.col(at) if isinstance(at, str) else at
-
-    if last_bucket is None:
-        last_bucket = _last_bucket(intervals, F.greatest(start, end), bucket)
-    first = _bucket_of(F.col(start), bucket)
-    final = F.coalesce(_bucket_of(F.col(end), bucket), last_bucket)
-
     carried = [name for name in intervals.columns if name not in (on, start, end)]
     versions = intervals.filter(
         F.col(on).isNotNull()
         & F.col(start).isNotNull()
         & (F.col(end).isNull() | (F.col(start) < F.col(end)))
     ).select(
-        F.col(on).alias("_key"),
-        F.col(start).alias(_START),
-        F.col(end).alias(_END),
-        *carried,
-        F.explode(F.sequence(first, F.greatest(first, final))).alias("_vbucket"),
+        F.col(on).alias("_key"), F.col(start).alias(_START), F.col(end).alias(_END), *carried
     )
-    rows = left.withColumns(
-        {"_at": at, _BUCKET: F.least(_bucket_of(at, bucket), last_bucket)}
+    rows = left.withColumns({"_at": at, _BUCKET: _bucket_of(at, bucket)})
+    holds = (F.col(_START) <= F.col("_at")) & (
+        F.col(_END).isNull() | (F.col("_at") < F.col(_END))
     )
-    condition = (
-        (F.col(on) == F.col("_key"))
-        & (F.col(_BUCKET) == F.col("_vbucket"))
-        & (F.col(_START) <= F.col("_at"))
-        & (F.col(_END).isNull() | (F.col("_at") < F.col(_END)))
-    )
-    joined = rows.join(_sized(versions, broadcast_below), condition, how)
+    placed = versions_by_bucket(rows, versions, on, bucket)
+    joined = join_by_key(rows, placed, {on: "_key", _BUCKET: "_vbucket"}, how, holds)
     if how == "left_anti":
         return joined.select(*left.columns)
     return joined.select(
@@ -93,14 +106,6 @@ def validity_join(
     )
 
 
-def _sized(versions: DataFrame, broadcast_below: int | None) -> DataFrame:
-    if broadcast_below is not None:
-        found = versions.select("_key").limit(broadcast_below + 1).count()
-        if found <= broadcast_below:
-            return F.broadcast(versions)
-    return versions.hint("merge")
-
-
 def asof_join(
     left: DataFrame,
     right: DataFrame,
@@ -111,18 +116,16 @@ def asof_join(
     strategy: str = "interval",
     key: Sequence[str] | None = None,
     bucket: str = "month",
-    broadcast_below: int | None = None,
 ) -> DataFrame:
     """Latest right row with ``right_time <= left_time`` per key (inclusive).
 
-    ``interval`` turns the right side into validity intervals (one pass over the
-    left side). ``points`` resolves each distinct (key, left_time) once and joins
+    ``interval`` turns the right side into validity intervals, looked up by calendar
+    bucket. ``points`` resolves each distinct (key, left_time) once and joins
     the answer back; it pays off when many rows share a key and a day.
 
     ``how`` is ``inner`` (rows without an earlier right row disappear), ``left``
-    or ``left_anti`` (only those rows). ``bucket`` and ``broadcast_below`` are those
-    of :func:`validity_join` and concern the interval strategy. With ``key`` one row per left key remains,
-    the one with the latest match.
+    or ``left_anti`` (only those rows). ``bucket`` is that of :func:`validity_join`. With
+    ``key`` one row per left key remains, the one with the latest match.
     """
     if strategy == "interval":
         intervals = scd2_intervals(right, on, right_time, right_time, "_until")
@@ -135,8 +138,6 @@ def asof_join(
             "_until",
             how,
             bucket,
-            last_bucket=_last_bucket(right, F.col(right_time), bucket),
-            broadcast_below=broadcast_below,
         ).drop("_until")
     elif strategy == "points":
         joined = _asof_by_points(left, right, on, left_time, right_time, how)

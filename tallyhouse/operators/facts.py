@@ -7,7 +7,7 @@ from collections.abc import Callable, Sequence
 from functools import cached_property
 from typing import NamedTuple
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tallyhouse import schemas
@@ -16,9 +16,11 @@ from tallyhouse.functions.dates import audit_time
 from tallyhouse.functions.fixed_values import DEFAULT_CURRENCY, MISSING_PRICE
 from tallyhouse.operators.asof import asof_join, one_match_per_key
 from tallyhouse.operators.quality import (
+    DATE_FLAG,
     ERROR,
-    ForeignKey,
+    Rule,
     country_rule,
+    date_rule,
     error_rows,
     tag_errors,
 )
@@ -29,6 +31,10 @@ IDS = ["invoice_no", "stock_code", "customer_id", "country_id", "region_code"]
 LINE_COLUMNS = ("invoice_no", "invoice_date", "stock_code", "customer_id", "quantity")
 
 
+# With the country, which decides the outcome, and a number for equal lines.
+UNIQUE_COLUMNS = (*LINE_COLUMNS, "country_id", "region_code", "line_no")
+
+
 class FactLoad:
     """Outputs of :func:`build_fact`; each is planned when it is asked for."""
 
@@ -114,18 +120,18 @@ def build_fact(
     key_style: str = "concat",
     key_columns: Sequence[str] = ("invoice_no", "invoice_date"),
     collapse_on: Sequence[str] | None = None,
-    rules: Sequence[ForeignKey] | None = None,
+    rules: Sequence[Rule] | None = None,
     **asof_options,
 ) -> FactLoad:
     """Standardise, check references, price as of the invoice day, add measures.
 
     Every input line ends in exactly one output: ``fact``, ``errors`` (a failed
-    rule; by default only the country is checked) or ``unpriced`` (valid, but no
+    rule; by default the date and the country are checked) or ``unpriced`` (valid, but no
     price at or before the invoice day), unless ``collapse_on`` names columns whose
     repeated lines collapse to the one with the latest price. ``asof_options`` are
-    the strategy, bucket and broadcast_below of ``asof_join``.
+    the strategy and bucket of ``asof_join``.
     """
-    rules = [country_rule(countries)] if rules is None else rules
+    rules = [date_rule(), country_rule(countries)] if rules is None else rules
 
     def price(rows: DataFrame, how: str) -> DataFrame:
         priced = _priced(rows, products, how, **asof_options)
@@ -147,7 +153,7 @@ def tag_fact(
     currency: str = DEFAULT_CURRENCY,
     key_style: str = "concat",
     key_columns: Sequence[str] = ("invoice_no", "invoice_date"),
-    rules: Sequence[ForeignKey] | None = None,
+    rules: Sequence[Rule] | None = None,
     **asof_options,
 ) -> DataFrame:
     """:func:`build_fact` as one DataFrame: fact columns, stock_code, error_message.
@@ -155,19 +161,43 @@ def tag_fact(
     Meant for ``sinks.files.write_by_outcome``, which writes the fact and the
     quarantine from a single pass over the transactions.
     """
-    rules = [country_rule(countries)] if rules is None else rules
+    rules = [date_rule(), country_rule(countries)] if rules is None else rules
     tagged = tag_errors(standardise(tx), rules)
+    return _tag_priced(
+        tagged, products, as_of, currency, key_style, key_columns, [], **asof_options
+    )
+
+
+def _tag_priced(
+    tagged: DataFrame,
+    products: DataFrame,
+    as_of: dt.datetime | Column | None,
+    currency: str,
+    key_style: str,
+    key_columns: Sequence[str],
+    extra: Sequence[str],
+    **asof_options,
+) -> DataFrame:
+    """Price the rows without an error, mark those that find none, and add the measures."""
     day = F.when(F.col(ERROR).isNull(), F.to_date("invoice_date"))
     priced = _priced(tagged, products, "left", day, **asof_options).withColumn(
         ERROR,
         F.coalesce(ERROR, F.when(F.col("price_date").isNull(), F.lit(MISSING_PRICE))),
     )
     return _measures(
-        priced, as_of, currency, key_style, key_columns, extra=["stock_code", ERROR]
-    )
+        priced, as_of, currency, key_style, key_columns,
+        ["stock_code", ERROR, *[c for c in (DATE_FLAG,) if c in tagged.columns], *extra],
+    )
 
 
-def recover(
+def with_line_number(tx: DataFrame) -> DataFrame:
+    """Add ``line_no``: equal lines of an invoice are counted, so that a key over
+    ``UNIQUE_COLUMNS`` keeps each of them, and gives it the same key in every run."""
+    same = Window.partitionBy(*UNIQUE_COLUMNS[:-1]).orderBy(F.lit(0))
+    return tx.withColumn("line_no", F.row_number().over(same))
+
+
+def tag_recover(
     errors: DataFrame,
     countries: DataFrame,
     products: DataFrame,
@@ -175,23 +205,42 @@ def recover(
     currency: str = DEFAULT_CURRENCY,
     key_style: str = "concat",
     key_columns: Sequence[str] = ("invoice_no", "invoice_date"),
-    rules: Sequence[ForeignKey] | None = None,
+    rules: Sequence[Rule] | None = None,
     **asof_options,
+) -> DataFrame:
+    """Quarantined rows re-checked against newer dimensions and priced, in one pass: fact
+    columns, stock_code, the error that now applies (NULL: recovered) and retry_count,
+    which is one higher."""
+    rules = [date_rule(), country_rule(countries)] if rules is None else rules
+    retries = F.coalesce(F.col("retry_count"), F.lit(0)) + 1
+    again = errors.withColumn("retry_count", retries).withColumnRenamed(ERROR, "_old_error")
+    return _tag_priced(
+        tag_errors(again, rules), products, as_of, currency, key_style, key_columns,
+        ["retry_count"], **asof_options,
+    )
+
+
+def recovered(tagged: DataFrame, as_of: dt.datetime | Column | None = None) -> Recovery:
+    """The two outputs of :func:`tag_recover`, or of its staged rows."""
+    return Recovery(
+        fixed=tagged.filter(F.col(ERROR).isNull()).select(*schemas.FACT_TRANSACTIONS.names),
+        still_broken=error_rows(
+            tagged.filter(F.col(ERROR).isNotNull()), as_of, F.col("retry_count")
+        ),
+    )
+
+
+def recover(
+    errors: DataFrame,
+    countries: DataFrame,
+    products: DataFrame,
+    as_of: dt.datetime | Column | None = None,
+    **options,
 ) -> Recovery:
     """Re-check quarantined rows against newer dimensions.
 
     Rows that pass and find a price become fact rows; all others stay with the
-    message that now applies and ``retry_count`` one higher. No row is lost.
+    message that now applies and ``retry_count`` one higher. No row is lost. To write
+    both from one pass, stage :func:`tag_recover` and split it by :func:`recovered`.
     """
-    rules = [country_rule(countries)] if rules is None else rules
-    rechecked = tag_errors(errors.withColumnRenamed(ERROR, "_old_error"), rules)
-    passed = rechecked.filter(F.col(ERROR).isNull()).drop(ERROR)
-    failed = rechecked.filter(F.col(ERROR).isNotNull())
-    priced = _priced(passed, products, "inner", **asof_options)
-    unpriced = _priced(passed, products, "left_anti", **asof_options)
-    broken = failed.unionByName(unpriced.withColumn(ERROR, F.lit(MISSING_PRICE)))
-    retries = F.coalesce(F.col("retry_count"), F.lit(0)) + 1
-    return Recovery(
-        fixed=_measures(priced, as_of, currency, key_style, key_columns),
-        still_broken=error_rows(broken, as_of, retries),
-    )
+    return recovered(tag_recover(errors, countries, products, as_of, **options), as_of)

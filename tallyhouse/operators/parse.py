@@ -53,10 +53,26 @@ def _blank(name: str) -> Column:
     return F.coalesce(F.col(name), F.lit("")) == ""
 
 
+_INTEGER = r"^[+-]?([0-9]+(\.[0-9]*)?|\.[0-9]+)$"
+_DECIMAL = r"^[+-]?([0-9]+\.?[0-9]*|\.[0-9]+)([eE][+-]?[0-9]+)?$"
+
+
 def _try_number(name: str, shape: str, kind: str) -> Column:
-    """Cast, NULL where it fails. Text of another shape is not tried: the cast
-    refuses it by an exception, which costs far more than the test."""
-    return F.when(F.col(name).rlike(shape), F.col(name).try_cast(kind))
+    """Cast, NULL where it fails; white space around the number does not count. Text of
+    another shape is not tried: the cast refuses it by an exception, which costs far more
+    than the test."""
+    text = F.btrim(F.col(name), F.lit(" \t\n\x0b\f\r"))
+    return F.when(text.rlike(shape), text.try_cast(kind))
+
+
+def _try_whole(name: str) -> Column:
+    """An INT; a fraction is cut off, as a cast of text does outside ANSI mode."""
+    text = F.btrim(F.col(name), F.lit(" \t\n\x0b\f\r"))
+    whole = F.substring_index(text, ".", 1)
+    return F.when(
+        text.rlike(_INTEGER),
+        F.when(whole.isin("", "+", "-"), F.lit(0)).otherwise(whole.try_cast("int")),
+    )
 
 
 def split_tagged(tagged: DataFrame, columns: Sequence[str]) -> Parsed:
@@ -78,7 +94,7 @@ def tag_transactions(
         "value",
         "invoice_no",
         "stock_code",
-        _try_number("_qty", r"^[+-]?[0-9]+$", "int").alias("quantity"),
+        _try_whole("_qty").alias("quantity"),
         date.alias("invoice_date"),
         "customer_id",
         country.alias("country_id"),
@@ -101,7 +117,8 @@ def tag_transactions(
 def parse_transactions(
     lines: DataFrame, as_of: dt.datetime | Column | None = None
 ) -> Parsed:
-    """Transaction drop: unparsable quantity or missing region is a reject.
+    """Transaction drop: unparsable quantity or missing region is a reject. A quantity may
+    have a fraction, which is cut off, and white space around it.
 
     An unparsable date is not: it becomes the sentinel with ``is_date_error``.
     """
@@ -110,7 +127,7 @@ def parse_transactions(
 
 def tag_products(lines: DataFrame) -> DataFrame:
     raw = parse_lines(lines, ["stock_code", "description", "_price", "_date"])
-    price = _try_number("_price", r"^[+-]?[0-9.]+([eE][+-]?[0-9]+)?$", "double")
+    price = _try_number("_price", _DECIMAL, "double")
     return raw.select(
         "value",
         "stock_code",

@@ -6,7 +6,7 @@ Each rule is a left join to the distinct keys of a dimension.
 from __future__ import annotations
 
 import datetime as dt
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 from typing import NamedTuple
 
@@ -16,12 +16,17 @@ from pyspark.sql import functions as F
 from tallyhouse import schemas
 from tallyhouse.functions.codes import standardise_ids
 from tallyhouse.functions.dates import audit_time
-from tallyhouse.functions.fixed_values import MISSING_COUNTRY, MISSING_PRODUCT
-from tallyhouse.functions.texts import to_payload
+from tallyhouse.functions.fixed_values import (
+    INVALID_DATE,
+    MISSING_COUNTRY,
+    MISSING_PRODUCT,
+    SENTINEL_DATE,
+)
+from tallyhouse.functions.texts import from_payload, to_payload
 from tallyhouse.operators.dedup import distinct_keys
 from tallyhouse.operators.joins import join_by_key
 
-ERROR = "error_message"
+ERROR, DATE_FLAG = "error_message", "is_date_error"
 
 
 @dataclass(frozen=True)
@@ -34,6 +39,17 @@ class ForeignKey:
     dim_key: str | None = None
 
 
+@dataclass(frozen=True)
+class Check:
+    """Rows for which ``broken`` holds fail; a NULL test does not."""
+
+    broken: Callable[[DataFrame], Column]
+    message: str
+
+
+Rule = ForeignKey | Check
+
+
 class Split(NamedTuple):
     valid: DataFrame
     errors: DataFrame
@@ -43,6 +59,17 @@ def country_rule(countries: DataFrame) -> ForeignKey:
     return ForeignKey(countries, "country_id", MISSING_COUNTRY)
 
 
+def _bad_date(df: DataFrame) -> Column:
+    date = F.col("invoice_date")
+    bad = date.isNull() | (date == F.lit(SENTINEL_DATE).cast("timestamp_ntz"))
+    return bad | F.col(DATE_FLAG) if DATE_FLAG in df.columns else bad
+
+
+def date_rule() -> Check:
+    """The invoice date could be read: no flag, no stand-in date, not NULL."""
+    return Check(_bad_date, INVALID_DATE)
+
+
 def product_rule(products: DataFrame) -> ForeignKey:
     return ForeignKey(products, "stock_code", MISSING_PRODUCT)
 
@@ -61,10 +88,13 @@ def validate_fk(df: DataFrame, dim: DataFrame, key: str) -> Split:
     )
 
 
-def tag_errors(df: DataFrame, rules: Sequence[ForeignKey]) -> DataFrame:
+def tag_errors(df: DataFrame, rules: Sequence[Rule]) -> DataFrame:
     """All rows with the message of the first failed rule (NULL = valid)."""
     tagged, marks = df, []
     for i, rule in enumerate(rules):
+        if isinstance(rule, Check):
+            marks.append(F.when(rule.broken(df), F.lit(rule.message)))
+            continue
         mark = f"_found_{i}"
         keys = _keys(rule).withColumn(mark, F.lit(True))
         tagged = join_by_key(tagged, keys, [rule.column], "left")
@@ -72,7 +102,7 @@ def tag_errors(df: DataFrame, rules: Sequence[ForeignKey]) -> DataFrame:
     return tagged.select(*df.columns, F.coalesce(*marks).alias(ERROR))
 
 
-def split_valid(df: DataFrame, rules: Sequence[ForeignKey]) -> Split:
+def split_valid(df: DataFrame, rules: Sequence[Rule]) -> Split:
     """Valid rows, and failing rows with their message.
 
     The outputs are lazy and do not cache the input. To write both from one pass,
@@ -90,23 +120,27 @@ def error_rows(
 ) -> DataFrame:
     """Failed rows in the shape of the error table."""
     retries = retry_count if isinstance(retry_count, Column) else F.lit(retry_count)
+    flag = F.col(DATE_FLAG) if DATE_FLAG in failed.columns else F.lit(None).cast("boolean")
     return failed.withColumns(
         {
             "quantity": F.col("quantity").cast("int"),
             "retry_count": retries.cast("int"),
             "ingestion_timestamp": audit_time(as_of),
+            DATE_FLAG: F.coalesce(flag, F.lit(False)),
         }
     ).select(*schemas.TRANSACTIONS_ERROR.names)
 
 
+PAYLOAD_FIELDS = (
+    "invoice_no", "stock_code", "customer_id", "quantity",
+    "invoice_date", "country_id", "region_code",
+)
+
+
 def error_payloads(errors: DataFrame, source_file: Column | None = None) -> DataFrame:
     """Errors as JSON payload records: error_id, payload, message, attempts."""
-    fields = [
-        "invoice_no", "stock_code", "customer_id", "quantity",
-        "invoice_date", "country_id", "region_code",
-    ]
     source = F.lit(None).cast("string") if source_file is None else source_file
-    return errors.withColumn("payload", to_payload(fields)).select(
+    return errors.withColumn("payload", to_payload(PAYLOAD_FIELDS)).select(
         F.sha2("payload", 256).alias("error_id"),
         "payload",
         ERROR,
@@ -114,3 +148,16 @@ def error_payloads(errors: DataFrame, source_file: Column | None = None) -> Data
         F.col("retry_count").alias("attempts"),
         "ingestion_timestamp",
     )
+
+
+def replayed(payloads: DataFrame) -> DataFrame:
+    """Quarantined rows read back from their payload records, ready for ``facts.recover``;
+    ``attempts`` becomes their retry count."""
+    record = from_payload(F.col("payload"), PAYLOAD_FIELDS)
+    kinds = {f.name: f.dataType for f in schemas.TRANSACTIONS_ERROR}
+    return payloads.withColumn("_record", record).select(
+        *[F.col(f"_record.{name}").cast(kinds[name]).alias(name) for name in PAYLOAD_FIELDS],
+        ERROR,
+        F.col("attempts").alias("retry_count"),
+        "ingestion_timestamp",
+    )

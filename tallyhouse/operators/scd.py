@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from tallyhouse.functions.codes import version_key
 from tallyhouse.operators.dedup import latest_per_key
+from tallyhouse.operators.joins import join_by_key
 
 
 def scd0_latest(
@@ -57,18 +58,25 @@ def scd2_changes(
     ``late_policy="latest"`` keeps the newest batch row per key and compares it
     with the newest version. ``"merge"`` looks at every batch row and compares it
     with the version in effect just before it, so late rows are judged by their
-    own date. Without history every key is new. Rows whose value or time is NULL
+    own date. Without history both keep every dated version, ``"merge"`` without those
+    that repeat the value before them. A version that the history holds already is
+    never returned, so a batch may be run again. Rows whose value or time is NULL
     cannot become a version; :func:`scd2_rejects` returns them.
     """
     usable = batch.filter(F.col(value).isNotNull() & F.col(time).isNotNull())
+    if late_policy not in ("latest", "merge"):
+        raise ValueError(f"unknown late policy: {late_policy}")
     if late_policy == "merge":
         fresh = _one_per_time(usable, key, time, value)
         changes = _changes_by_time(fresh, history, key, value, time)
-    elif late_policy == "latest":
+    elif history is None:
+        changes = _one_per_time(usable, key, time, value)
+    else:
         fresh = _newest(usable, key, time, value)
         changes = _changes_to_latest(fresh, history, key, value, time)
-    else:
-        raise ValueError(f"unknown late policy: {late_policy}")
+    if history is not None:
+        held = history.select(key, time, value).dropna().distinct()
+        changes = join_by_key(changes, held, [key, time, value], "left_anti")
     return _with_version_id(changes, key, time, version_id)
 
 
@@ -78,10 +86,8 @@ def scd2_rejects(batch: DataFrame, value: str = "unit_price", time: str = "price
 
 
 def _changes_to_latest(
-    fresh: DataFrame, history: DataFrame | None, key: str, value: str, time: str
+    fresh: DataFrame, history: DataFrame, key: str, value: str, time: str
 ) -> DataFrame:
-    if history is None:
-        return fresh
     latest = _newest(history.select(key, time, value), key, time, value).select(
         key, F.col(value).alias("_latest"), F.lit(True).alias("_known")
     )

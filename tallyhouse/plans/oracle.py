@@ -86,13 +86,16 @@ PARTS: dict[str, tuple[tuple[str, ...], str]] = {
                         WHEN '4' THEN strftime(o_orderdate, '%m-%d-%Y')
                         ELSE 'unknown' END AS date_text,
                     CASE WHEN l_linenumber = 7 THEN 'x'
+                         WHEN l_linenumber = 5 THEN CAST(l_quantity AS INTEGER) || '.7'
+                         WHEN l_linenumber = 2 AND l_returnflag = 'N'
+                         THEN chr(9) || CAST(l_quantity AS INTEGER) || chr(9) || ' '
                          ELSE CAST(CAST(l_quantity AS INTEGER) AS VARCHAR) END AS qty,
                     CASE WHEN l_linenumber = 6 AND o_orderstatus = 'P' THEN country_id
                          ELSE country_id || '-' || (l_suppkey % 6 + 1) END AS geo
                 FROM order_lines))"""),
     "log_fields": (("log_lines",), """
         SELECT value, trim(f[1]) AS invoice_no, trim(f[2]) AS stock_code,
-               try_cast(trim(f[3]) AS INTEGER) AS quantity, trim(f[4]) AS date_text,
+               CAST(trunc(try_cast(trim(f[3], ' ' || chr(9)) AS DOUBLE)) AS INTEGER) AS quantity, trim(f[4]) AS date_text,
                trim(f[5]) AS customer_id, trim(f[6]) AS geo
         FROM (SELECT value, string_split(value, ',') AS f FROM log_lines
               WHERE trim(value) <> '')"""),
@@ -112,17 +115,19 @@ PARTS: dict[str, tuple[tuple[str, ...], str]] = {
     "product_lines": ((), """
         SELECT concat_ws(',', l_partkey,
                  CASE WHEN p_size >= 45 THEN p_name || ', ' || p_brand ELSE p_name END,
-                 CASE WHEN l_discount >= 0.1 THEN 'on request'
+                 pad || CASE WHEN l_discount >= 0.1 THEN 'on request'
                       ELSE CAST(CAST(floor(l_extendedprice / l_quantity * 100 + 0.5) / 100
-                                     AS DECIMAL(12,2)) AS VARCHAR) END,
+                                     AS DECIMAL(12,2)) AS VARCHAR) END || pad,
                  strftime(l_shipdate, '%Y-%m-%d')) AS value
-        FROM lineitem JOIN part ON l_partkey = p_partkey"""),
+        FROM lineitem
+        JOIN (SELECT *, CASE WHEN p_size <= 5 THEN chr(9) ELSE '' END AS pad FROM part)
+          ON l_partkey = p_partkey"""),
     "product_tagged": (("product_lines",), """
         SELECT *, CASE WHEN coalesce(stock_code, '') = '' THEN 'key'
                        WHEN unit_price IS NULL THEN 'price'
                        WHEN price_date IS NULL THEN 'date' END AS reject_reason
         FROM (SELECT value, trim(f[1]) AS stock_code, trim(f[2]) AS description,
-                     try_cast(trim(f[3]) AS DOUBLE) AS unit_price,
+                     try_cast(trim(f[3], ' ' || chr(9)) AS DOUBLE) AS unit_price,
                      CAST(try_strptime(trim(f[4]), '%Y-%m-%d') AS DATE) AS price_date
               FROM (SELECT value, string_split(value, ',') AS f FROM product_lines))"""),
     "country_rows": (("nations",), f"""
@@ -194,7 +199,7 @@ LOG_COLUMNS = """invoice_no, stock_code, quantity, invoice_date, customer_id, co
     region_code, ingestion_timestamp, is_date_error"""
 ERROR_COLUMNS = f"""invoice_no, stock_code, customer_id, quantity, invoice_date, country_id,
     region_code, error_message, CAST(0 AS INTEGER) AS retry_count,
-    {AUDIT} AS ingestion_timestamp"""
+    {AUDIT} AS ingestion_timestamp, FALSE AS is_date_error"""
 MONEY = "CAST(sum(CAST(total_amount AS DECIMAL(18,2))) AS DOUBLE)"
 
 # --- parsing and derivation
@@ -252,11 +257,24 @@ _oracle("dedup_latest_price", ("prices",), """
     SELECT * FROM prices
     QUALIFY row_number() OVER (PARTITION BY stock_code ORDER BY price_date DESC) = 1""")
 NEWEST = "QUALIFY row_number() OVER (PARTITION BY stock_code ORDER BY price_date DESC) = 1"
-_oracle("scd2_bootstrap", ("batch",), f"SELECT * FROM batch {NEWEST}")
-_oracle("scd2_changes", ("batch", "history"), f"""
+_oracle("scd2_bootstrap", ("bands",), """
+    SELECT product_id, stock_code, max(unit_price) AS unit_price, price_date
+    FROM bands GROUP BY ALL""")
+_oracle("scd2_bootstrap_merge", ("bands",), """
+    SELECT product_id, stock_code, unit_price, price_date
+    FROM (SELECT *, lag(unit_price) OVER (PARTITION BY stock_code ORDER BY price_date) AS before
+          FROM (SELECT product_id, stock_code, max(unit_price) AS unit_price, price_date
+                FROM bands GROUP BY ALL))
+    WHERE before IS DISTINCT FROM unit_price""")
+CHANGES = f"""
     SELECT fresh.* FROM (SELECT * FROM batch {NEWEST}) fresh
     LEFT JOIN (SELECT * FROM history {NEWEST}) latest USING (stock_code)
-    WHERE latest.unit_price IS NULL OR fresh.unit_price <> latest.unit_price""")
+    WHERE (latest.unit_price IS NULL OR fresh.unit_price <> latest.unit_price)
+      AND NOT EXISTS (SELECT 1 FROM history h
+                      WHERE h.stock_code = fresh.stock_code AND h.price_date = fresh.price_date
+                        AND h.unit_price = fresh.unit_price)"""
+_oracle("scd2_changes", ("batch", "history"), CHANGES)
+_oracle("scd2_changes_twice", ("batch", "history"), f"SELECT * FROM history UNION ALL {CHANGES}")
 _oracle("scd2_late_changes", ("batch", "history"), """
     SELECT product_id, stock_code, unit_price, price_date
     FROM (SELECT *, lag(unit_price) OVER (PARTITION BY stock_code ORDER BY price_date, side)
@@ -294,13 +312,17 @@ _oracle("fk_errors", ("tx", "known"), f"""
     SELECT {ERROR_COLUMNS}
     FROM (SELECT tx.*, 'Missing Country ID' AS error_message
           FROM tx ANTI JOIN known USING (country_id))""")
-_oracle("fk_errors_two_rules", ("tx", "known"), f"""
+_oracle("fk_errors_two_rules", ("tx", "known", "prices"), f"""
     SELECT {ERROR_COLUMNS}
     FROM (SELECT *, CASE WHEN country_id NOT IN (SELECT country_id FROM known)
                          THEN 'Missing Country ID'
-                         WHEN stock_code NOT IN (SELECT stock_code FROM tx WHERE quantity >= 50)
+                         WHEN stock_code NOT IN (SELECT stock_code FROM prices)
                          THEN 'Missing Product' END AS error_message
-          FROM tx)
+          FROM (SELECT * FROM tx
+                UNION ALL
+                SELECT 'e' || event_id, event_type, CAST(trunc("value") AS INTEGER), ts,
+                       CAST(user_id AS VARCHAR), '2200', '1', {AUDIT}
+                FROM events))
     WHERE error_message IS NOT NULL""")
 _oracle("error_payload", ("tx", "known"), f"""
     SELECT sha256(payload) AS error_id, payload, 'Missing Country ID' AS error_message,
@@ -314,6 +336,8 @@ _oracle("error_payload", ("tx", "known"), f"""
           FROM tx ANTI JOIN known USING (country_id))""")
 _oracle("asof_price", ("priced",), "SELECT * FROM priced")
 _oracle("asof_union_last", ("priced",), "SELECT * FROM priced")
+_oracle("asof_timestamp_prices", ("priced",), """
+    SELECT * EXCLUDE (price_date), CAST(price_date AS TIMESTAMP) AS price_time FROM priced""")
 _oracle("asof_left", ("priced_left",), "SELECT * FROM priced_left")
 _oracle("asof_unpriced", ("priced_left",), """
     SELECT * EXCLUDE (product_id, unit_price, price_date)
@@ -343,16 +367,32 @@ _oracle("fact_unpriced", ("priced_left", "known"), f"""
     SELECT {ERROR_COLUMNS}
     FROM (SELECT *, 'Missing Price' AS error_message FROM priced_left
           WHERE product_id IS NULL AND country_id IN (SELECT country_id FROM known))""")
-_oracle("recover_fixed", ("priced", "known"), f"""
+_oracle("fact_date_errors", ("log_tagged",), f"""
+    SELECT invoice_no, stock_code, customer_id, quantity, invoice_date, country_id, region_code,
+           'Invalid Date' AS error_message, CAST(0 AS INTEGER) AS retry_count,
+           {AUDIT} AS ingestion_timestamp, TRUE AS is_date_error
+    FROM log_tagged WHERE reject_reason IS NULL AND is_date_error""")
+_oracle("recover_twice", ("priced",), f"""
+    SELECT sha256(concat_ws('-', invoice_no, invoice_date, stock_code, customer_id, quantity,
+                            country_id, region_code, line_no)) AS transaction_id,
+           invoice_no, product_id, country_id, region_code, customer_id, quantity,
+           unit_price, quantity * unit_price AS total_amount, '$' AS currency,
+           invoice_date, {AUDIT} AS ingestion_timestamp
+    FROM (SELECT *, row_number() OVER (PARTITION BY invoice_no, invoice_date, stock_code,
+                        customer_id, quantity, country_id, region_code) AS line_no
+          FROM priced)""")
+RECOVERED = f"""
     SELECT concat_ws('-', invoice_no, invoice_date) AS transaction_id,
            invoice_no, product_id, country_id, region_code, customer_id, quantity,
            unit_price, quantity * unit_price AS total_amount, '$' AS currency,
            invoice_date, {AUDIT} AS ingestion_timestamp
-    FROM priced WHERE country_id NOT IN (SELECT country_id FROM known)""")
+    FROM priced WHERE country_id NOT IN (SELECT country_id FROM known)"""
+_oracle("recover_fixed", ("priced", "known"), RECOVERED)
+_oracle("replay_payloads", ("priced", "known"), RECOVERED)
 _oracle("recover_still_broken", ("priced_left",), f"""
     SELECT invoice_no, stock_code, customer_id, quantity, invoice_date, country_id, region_code,
            'Missing Price' AS error_message, CAST(1 AS INTEGER) AS retry_count,
-           {AUDIT} AS ingestion_timestamp
+           {AUDIT} AS ingestion_timestamp, FALSE AS is_date_error
     FROM priced_left WHERE product_id IS NULL""")
 
 # --- anomalies
@@ -386,6 +426,32 @@ _oracle("baseline_refresh", ("tx", "records"), """
                        FROM records WHERE z_score >= 2.05)
       USING (invoice_no, stock_code, quantity)
     GROUP BY stock_code""")
+_oracle("baseline_of_ids", (), """
+    SELECT event_type, round(median(user_id), 6) AS median_qty,
+           round(stddev_samp(user_id), 6) AS stddev_qty
+    FROM events GROUP BY event_type""")
+_oracle("anomalies_second_run", ("tx", "records"), f"""
+    SELECT * FROM (WITH reviewed AS (
+        SELECT * REPLACE (CASE WHEN z_score < 2.05 THEN 'RESOLVED'
+                               WHEN z_score < 2.2 THEN 'REVIEWED' ELSE 'NEW' END AS status)
+        FROM records),
+    base AS (
+        SELECT stock_code, median(quantity) AS median_qty, stddev_samp(quantity) AS stddev_qty
+        FROM tx ANTI JOIN (SELECT order_id AS invoice_no, stock_code, quantity
+                           FROM reviewed WHERE status <> 'RESOLVED')
+          USING (invoice_no, stock_code, quantity)
+        GROUP BY stock_code),
+    found AS (
+        SELECT invoice_no AS order_id, stock_code, quantity, median_qty,
+               stddev_qty AS std_deviation,
+               (quantity - median_qty) / nullif(stddev_qty, 0) AS z_score,
+               {AUDIT} AS alert_timestamp, 'NEW' AS status
+        FROM tx JOIN base USING (stock_code)
+        WHERE quantity > median_qty + 2 * coalesce(stddev_qty, 0))
+    SELECT * REPLACE (round(std_deviation, 6) AS std_deviation, round(z_score, 6) AS z_score)
+    FROM (SELECT * FROM reviewed
+          UNION ALL
+          SELECT found.* FROM found ANTI JOIN reviewed USING (order_id, stock_code, quantity)))""")
 _oracle("anomaly_trend", ("flagged",), """
     SELECT CAST(date_trunc('month', invoice_date) AS DATE) AS period, count(*) AS n_anomalies,
            max(quantity) AS max_quantity, round(min(median_stddev), 6) AS min_limit,
@@ -419,15 +485,17 @@ _oracle("sales_by_continent", ("fact",), f"""
     SELECT {_continent('country_id')} AS continent, {MONEY} AS revenue,
            CAST(sum(quantity) AS BIGINT) AS total_quantity, count(*) AS n_lines
     FROM fact GROUP BY 1""")
-_oracle("top20_quantity", ("tx",), """
+_oracle("top20_quantity", ("fact", "prices"), """
     SELECT stock_code, CAST(sum(quantity) AS BIGINT) AS total_quantity
-    FROM tx GROUP BY ALL ORDER BY total_quantity DESC, stock_code LIMIT 20""")
-_oracle("top20_revenue", ("fact",), f"""
-    SELECT product_id, {MONEY} AS revenue
-    FROM fact GROUP BY ALL ORDER BY revenue DESC, product_id LIMIT 20""")
-_oracle("order_frequency", ("tx",), """
+    FROM fact JOIN prices USING (product_id)
+    GROUP BY ALL ORDER BY total_quantity DESC, stock_code LIMIT 20""")
+_oracle("top20_revenue", ("fact", "prices"), f"""
+    SELECT stock_code, {MONEY} AS revenue
+    FROM fact JOIN prices USING (product_id)
+    GROUP BY ALL ORDER BY revenue DESC, stock_code LIMIT 20""")
+_oracle("order_frequency", ("fact",), """
     SELECT CAST(floor(n / 2) * 2 AS BIGINT) AS orders_from, count(*) AS n_customers
-    FROM (SELECT customer_id, count(DISTINCT invoice_no) AS n FROM tx GROUP BY ALL) GROUP BY 1""")
+    FROM (SELECT customer_id, count(DISTINCT invoice_no) AS n FROM fact GROUP BY ALL) GROUP BY 1""")
 _oracle("cross_border", ("nations",), """
     SELECT CAST(o_custkey AS VARCHAR) AS customer_id, count(DISTINCT country_id) AS n_countries
     FROM lineitem JOIN orders ON l_orderkey = o_orderkey
@@ -439,6 +507,28 @@ _oracle("sales_by_year_sql", ("fact",), f"""
 
 # --- sinks and repeatable ingest
 
+_oracle("ingest_equal_lines", ("log_tagged",), f"""
+    SELECT {LOG_COLUMNS} FROM log_tagged, range(2) WHERE reject_reason IS NULL""")
+_oracle("dated_drop", ("product_lines",), "SELECT value FROM product_lines")
+_oracle("catalog_append", ("batch", "history"),
+        "SELECT * FROM history UNION ALL SELECT * FROM batch")
+_oracle("catalog_overwrite", ("batch",), "SELECT * FROM batch")
+_oracle("self_replace", ("prices",),
+        "SELECT * REPLACE (unit_price * 4 AS unit_price) FROM prices")
+_oracle("upsert_catalog", ("batch", "history"), f"""
+    SELECT * FROM batch {NEWEST}
+    UNION ALL
+    SELECT * FROM (SELECT * FROM history {NEWEST})
+    WHERE stock_code NOT IN (SELECT stock_code FROM batch)""")
+_oracle("table_or_default_rows", ("batch", "history"), """
+    SELECT *, TRUE AS first_load FROM history UNION ALL SELECT *, FALSE FROM batch""")
+_oracle("written_if_any", ("product_tagged",),
+        "SELECT value, reject_reason FROM product_tagged WHERE reject_reason IS NOT NULL")
+_oracle("snapshot_days", ("batch", "history"), """
+    SELECT DATE '2024-05-31' AS snapshot_date, count(*) AS n_rows,
+           count(DISTINCT stock_code) AS n_products FROM history
+    UNION ALL
+    SELECT DATE '2024-06-01', count(*), count(DISTINCT stock_code) FROM batch""")
 _oracle("reload_new_rows", ("bands", "history"), """
     SELECT bands.* EXCLUDE (source) FROM bands ANTI JOIN history USING (stock_code, price_date)""")
 _oracle("outcome_counts", ("priced_left", "known"), """

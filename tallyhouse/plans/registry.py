@@ -15,18 +15,23 @@ from pyspark.sql import functions as F
 from tallyhouse import schemas
 from tallyhouse.functions.codes import continent_of, txn_key
 from tallyhouse.functions.dates import parse_date_any, time_attributes
-from tallyhouse.functions.fixed_values import STATUS_NEW, STATUS_RESOLVED
+from tallyhouse.functions.fixed_values import (
+    INVALID_DATE,
+    STATUS_NEW,
+    STATUS_RESOLVED,
+    STATUS_REVIEWED,
+)
 from tallyhouse.functions.texts import to_lines
 from tallyhouse.operators import anomaly, dims, facts, parse, quality, scd
 from tallyhouse.operators.asof import asof_join, validity_join
 from tallyhouse.operators.dedup import distinct_keys, latest_per_key
 from tallyhouse.operators.upsert import upsert
-from tallyhouse.plans import reports
+from tallyhouse.plans import jobs, reports
 from tallyhouse.plans.session import shared_dir
-from tallyhouse.sinks import files
+from tallyhouse.sinks import files, tables
 from tallyhouse.sources import samples
-from tallyhouse.sources.lines import read_lines
-from tallyhouse.sources.tables import register_views
+from tallyhouse.sources.lines import drop_path, read_drop, read_lines
+from tallyhouse.sources.tables import is_bootstrap, register_views, table_or_default
 from tallyhouse.streaming.ingest import ingest_new, new_rows
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -34,10 +39,6 @@ QUERIES: dict[str, Query] = {}
 
 TX_KEY = ("invoice_no", "stock_code", "customer_id")
 
-# The sample histories change a price about four times a year.
-PRICE_BUCKET = "year"
-
-
 def query(fn: Query) -> Query:
     QUERIES[fn.__name__] = fn
     return fn
@@ -186,7 +187,23 @@ def scd2_changes(spark, sf_dir):
 
 @query
 def scd2_bootstrap(spark, sf_dir):
-    return scd.scd2_changes(_bands(spark, sf_dir)[0])
+    """All dated prices as a first load."""
+    return scd.scd2_changes(samples.price_bands(spark, sf_dir).drop("source"))
+
+
+@query
+def scd2_bootstrap_merge(spark, sf_dir):
+    bands = samples.price_bands(spark, sf_dir).drop("source")
+    return scd.scd2_changes(bands, late_policy="merge")
+
+
+@query
+def scd2_changes_twice(spark, sf_dir):
+    """History after the same batch, which holds late rows, came twice."""
+    batch, history = _bands(spark, sf_dir)
+    for _ in range(2):
+        history = history.unionByName(scd.scd2_changes(batch, history))
+    return history
 
 
 @query
@@ -246,7 +263,6 @@ def _fact(spark, sf_dir, **options):
         samples.price_history(spark, sf_dir),
         samples.known_countries(spark, sf_dir),
         as_of=samples.audit_literal(),
-        bucket=PRICE_BUCKET,
         **options,
     )
 
@@ -270,13 +286,12 @@ def fk_errors(spark, sf_dir):
 
 @query
 def fk_errors_two_rules(spark, sf_dir):
-    """Country and product must exist; products are those priced in bulk orders."""
-    listed = samples.transactions(spark, sf_dir).filter(F.col("quantity") >= 50)
+    """Country and product must exist; lines of another source have no product."""
     rules = [
         quality.country_rule(samples.known_countries(spark, sf_dir)),
-        quality.product_rule(listed),
+        quality.product_rule(samples.products(spark, sf_dir)),
     ]
-    split = quality.split_valid(samples.transactions(spark, sf_dir), rules)
+    split = quality.split_valid(samples.mixed_transactions(spark, sf_dir), rules)
     return quality.error_rows(split.errors, samples.audit_literal())
 
 
@@ -292,7 +307,6 @@ def _asof(spark, sf_dir, **options):
         "stock_code",
         F.to_date("invoice_date"),
         "price_date",
-        bucket=PRICE_BUCKET,
         **options,
     )
 
@@ -307,6 +321,17 @@ def asof_union_last(spark, sf_dir):
     return _asof(spark, sf_dir, strategy="points")
 
 
+@query
+def asof_timestamp_prices(spark, sf_dir):
+    """Days against prices that hold from a moment on."""
+    since = F.col("price_date").cast("timestamp_ntz")
+    prices = samples.price_history(spark, sf_dir).withColumn("price_time", since)
+    return asof_join(
+        samples.transactions(spark, sf_dir), prices.drop("price_date"), "stock_code",
+        F.to_date("invoice_date"), "price_time", strategy="points",
+    )
+
+
 @query
 def asof_left(spark, sf_dir):
     return _asof(spark, sf_dir, how="left")
@@ -328,7 +353,7 @@ def price_validity_join(spark, sf_dir):
     tx = samples.transactions(spark, sf_dir)
     dim = dims.dim_products(samples.products(spark, sf_dir))
     day = F.to_date("invoice_date")
-    return validity_join(tx, dim, "stock_code", day, bucket=PRICE_BUCKET)
+    return validity_join(tx, dim, "stock_code", day)
 
 
 @query
@@ -348,24 +373,41 @@ def fact_unpriced(spark, sf_dir):
     return _fact(spark, sf_dir).unpriced
 
 
-def _tagged(spark, sf_dir):
+@query
+def fact_date_errors(spark, sf_dir):
+    """Lines whose date could not be read are quarantined under their own message."""
+    lines = samples.log_lines(spark, sf_dir)
+    load = facts.build_fact(
+        parse.parse_transactions(lines, samples.audit_literal()).rows,
+        samples.price_history(spark, sf_dir),
+        samples.known_countries(spark, sf_dir),
+        as_of=samples.audit_literal(),
+    )
+    return load.errors.filter(F.col(quality.ERROR) == INVALID_DATE)
+
+
+def _tagged(spark, sf_dir, lines=None, **options):
     return facts.tag_fact(
-        samples.transactions(spark, sf_dir),
+        samples.transactions(spark, sf_dir) if lines is None else lines,
         samples.price_history(spark, sf_dir),
         samples.known_countries(spark, sf_dir),
         as_of=samples.audit_literal(),
-        bucket=PRICE_BUCKET,
+        **options,
     )
 
 
-def _recovery(spark, sf_dir):
-    failed = _tagged(spark, sf_dir).filter(F.col(quality.ERROR).isNotNull())
+def _quarantine(tagged):
+    failed = tagged.filter(F.col(quality.ERROR).isNotNull())
+    return quality.error_rows(failed, samples.audit_literal())
+
+
+def _recovery(spark, sf_dir, errors=None, **options):
     return facts.recover(
-        quality.error_rows(failed, samples.audit_literal()),
+        _quarantine(_tagged(spark, sf_dir)) if errors is None else errors,
         samples.countries(spark, sf_dir),
         samples.price_history(spark, sf_dir),
         as_of=samples.audit_literal(),
-        bucket=PRICE_BUCKET,
+        **options,
     )
 
 
@@ -379,6 +421,26 @@ def recover_still_broken(spark, sf_dir):
     return _recovery(spark, sf_dir).still_broken
 
 
+@query
+def recover_twice(spark, sf_dir):
+    """The fact with hashed keys after its quarantine was recovered twice."""
+    lines = facts.with_line_number(samples.transactions(spark, sf_dir))
+    tagged = _tagged(spark, sf_dir, lines, **jobs.UNIQUE_KEYS)
+    fact = tagged.filter(F.col(quality.ERROR).isNull()).select(*schemas.FACT_TRANSACTIONS.names)
+    errors = facts.with_line_number(_quarantine(tagged))
+    fixed = _recovery(spark, sf_dir, errors, **jobs.UNIQUE_KEYS).fixed
+    for _ in range(2):
+        fact = upsert(fact, fixed, ["transaction_id"], [F.desc("invoice_no")])
+    return fact
+
+
+@query
+def replay_payloads(spark, sf_dir):
+    """Quarantined lines read back from their JSON payloads and recovered."""
+    payloads = quality.error_payloads(_quarantine(_tagged(spark, sf_dir)))
+    return _recovery(spark, sf_dir, quality.replayed(payloads)).fixed
+
+
 # --- anomalies -----------------------------------------------------------------
 
 
@@ -399,6 +461,15 @@ def event_baseline(spark, sf_dir):
     return _rounded(anomaly.group_baseline(events), "median_qty", "stddev_qty")
 
 
+@query
+def baseline_of_ids(spark, sf_dir):
+    """Exact median of 64-bit integers."""
+    events = samples.load(spark, sf_dir, "events")
+    return _rounded(
+        anomaly.group_baseline(events, "event_type", "user_id"), "median_qty", "stddev_qty"
+    )
+
+
 def _flagged(spark, sf_dir):
     return anomaly.detect_anomalies(samples.transactions(spark, sf_dir))
 
@@ -436,6 +507,22 @@ def baseline_refresh(spark, sf_dir):
     return _rounded(anomaly.refresh_baseline(tx, reviewed), "stddev_qty")
 
 
+@query
+def anomalies_second_run(spark, sf_dir):
+    """Records after a second run: statuses stay, open cases stay out of the baseline."""
+    tx = samples.transactions(spark, sf_dir)
+    records = anomaly.anomaly_records(_flagged(spark, sf_dir), samples.audit_literal())
+    status = (
+        F.when(F.col("z_score") < 2.05, STATUS_RESOLVED)
+        .when(F.col("z_score") < 2.2, STATUS_REVIEWED)
+        .otherwise(STATUS_NEW)
+    )
+    known = records.withColumn("status", status)
+    again = anomaly.detect_anomalies(tx, baseline=anomaly.refresh_baseline(tx, known))
+    found = anomaly.anomaly_records(again, samples.audit_literal())
+    return _rounded(anomaly.merge_records(known, found), "std_deviation", "z_score")
+
+
 @query
 def anomaly_trend(spark, sf_dir):
     trend = reports.anomaly_trend(_flagged(spark, sf_dir))
@@ -483,17 +570,19 @@ def sales_by_continent(spark, sf_dir):
 
 @query
 def top20_quantity(spark, sf_dir):
-    return reports.top_products(samples.transactions(spark, sf_dir), "quantity")
+    products = samples.price_history(spark, sf_dir)
+    return reports.top_products(_fact(spark, sf_dir).fact, products, "quantity")
 
 
 @query
 def top20_revenue(spark, sf_dir):
-    return reports.top_products(_fact(spark, sf_dir).fact, "revenue", product="product_id")
+    products = samples.price_history(spark, sf_dir)
+    return reports.top_products(_fact(spark, sf_dir).fact, products, "revenue")
 
 
 @query
 def order_frequency(spark, sf_dir):
-    return reports.order_frequency(samples.transactions(spark, sf_dir), bucket=2)
+    return reports.order_frequency(_fact(spark, sf_dir).fact, bucket=2)
 
 
 @query
@@ -504,14 +593,17 @@ def cross_border(spark, sf_dir):
 @query
 def sales_by_year_sql(spark, sf_dir):
     """Ad-hoc SQL over registered views."""
-    register_views({"fact_transactions": _fact(spark, sf_dir).fact})
-    return spark.sql(
-        """
+    view = f"fact_{uuid.uuid4().hex}"
+    register_views({view: _fact(spark, sf_dir).fact})
+    found = spark.sql(
+        f"""
         SELECT year(invoice_date) AS sales_year, count(*) AS n_lines,
                CAST(sum(CAST(total_amount AS DECIMAL(18,2))) AS DOUBLE) AS revenue
-        FROM fact_transactions GROUP BY year(invoice_date)
+        FROM {view} GROUP BY year(invoice_date)
         """
     )
+    spark.catalog.dropTempView(view)
+    return found
 
 
 # --- sinks and repeatable ingest ------------------------------------------------
@@ -529,6 +621,124 @@ def ingest_twice(spark, sf_dir):
     return loaded.select(*schemas.TRANSACTIONS.names)
 
 
+@query
+def ingest_equal_lines(spark, sf_dir):
+    """The same lines dropped on two days, ingested after each: both copies stay."""
+    root = _scratch(spark, "drops")
+    view = f"lines_{uuid.uuid4().hex}"
+    for day in ("2024-05-31", "2024-06-01"):
+        files.write_lines(samples.log_lines(spark, sf_dir), drop_path(root, "logs", day))
+        for _ in range(2):
+            jobs.ingest_transactions(
+                spark, f"{root}/logs/*", view, f"{root}/store", samples.audit_literal()
+            )
+    loaded = spark.table(view).select(*schemas.TRANSACTIONS.names)
+    for name in (view, f"{view}_rejects"):
+        spark.sql(f"DROP VIEW {name}")
+    return loaded
+
+
+@query
+def dated_drop(spark, sf_dir):
+    """Of two days' drops the lines of one."""
+    root = _scratch(spark, "dated")
+    files.write_lines(samples.log_lines(spark, sf_dir), drop_path(root, "logs", "2024-05-31"))
+    files.write_lines(samples.product_lines(spark, sf_dir), drop_path(root, "logs", "2024-06-01"))
+    return read_drop(spark, root, "logs", "2024-06-01")
+
+
+def _new_table(spark, sf_dir, schema):
+    """An empty catalog table in a database of its own below the shared folder."""
+    database = f"tally_{uuid.uuid4().hex}"
+    spark.sql(f"CREATE DATABASE {database} LOCATION '{_scratch(spark, database)}'")
+    tables.create_table(spark, f"{database}.t", schema)
+    return f"{database}.t"
+
+
+@query
+def catalog_append(spark, sf_dir):
+    """History and batch appended to a catalog table one after the other."""
+    batch, history = _bands(spark, sf_dir)
+    table = _new_table(spark, sf_dir, batch.schema)
+    for rows in (history, batch.select(*reversed(batch.columns))):
+        tables.append(rows, table)
+    return spark.table(table)
+
+
+@query
+def catalog_overwrite(spark, sf_dir):
+    """A catalog table that held the history, overwritten by the batch."""
+    batch, history = _bands(spark, sf_dir)
+    table = _new_table(spark, sf_dir, batch.schema)
+    tables.append(history, table)
+    tables.overwrite(batch, table)
+    return spark.table(table)
+
+
+@query
+def self_replace(spark, sf_dir):
+    """A catalog table replaced twice by rows that are read from it."""
+    prices = samples.price_history(spark, sf_dir)
+    table = _new_table(spark, sf_dir, prices.schema)
+    tables.append(prices, table)
+    for _ in range(2):
+        tables.replace_table(
+            spark.table(table).withColumn("unit_price", F.col("unit_price") * 2), table
+        )
+    return spark.table(table)
+
+
+@query
+def upsert_catalog(spark, sf_dir):
+    """Current prices of the history in a catalog table, with those of the batch upserted
+    twice."""
+    batch, history = _bands(spark, sf_dir)
+    newest = [F.desc("price_date"), F.desc("unit_price")]
+    table = _new_table(spark, sf_dir, batch.schema)
+    tables.append(latest_per_key(history, ["stock_code"], newest), table)
+    for _ in range(2):
+        tables.upsert_table(latest_per_key(batch, ["stock_code"], newest), table, ["stock_code"])
+    return spark.table(table)
+
+
+@query
+def table_or_default_rows(spark, sf_dir):
+    """The default while the table is empty, and its rows once it has some."""
+    batch, history = _bands(spark, sf_dir)
+    table = _new_table(spark, sf_dir, batch.schema)
+    empty = table_or_default(spark, table, history).withColumn("first_load", F.lit(True))
+    tables.append(batch, table)
+    filled = table_or_default(spark, table, history).withColumn(
+        "first_load", F.lit(is_bootstrap(spark, table))
+    )
+    return empty.unionByName(filled)
+
+
+@query
+def written_if_any(spark, sf_dir):
+    """Rows that are there are written, of none nothing is: the sink is not called."""
+    rejects = parse.parse_products(samples.product_lines(spark, sf_dir)).rejects
+    table = _new_table(spark, sf_dir, rejects.schema)
+    sink = lambda df: tables.append(df, table)
+    for rows in (rejects, rejects.filter("value IS NULL")):
+        tables.write_if_any(rows, sink, _scratch(spark, "any"))
+    return spark.table(table)
+
+
+@query
+def snapshot_days(spark, sf_dir):
+    """Snapshots of two days, the second written twice; counted per day."""
+    path = _scratch(spark, "snapshot")
+    batch, history = _bands(spark, sf_dir)
+    for day, rows in (("2024-05-31", history), ("2024-06-01", history), ("2024-06-01", batch)):
+        files.snapshot(rows, path, day)
+    return (
+        spark.read.parquet(path)
+        .groupBy("snapshot_date")
+        .agg(F.count(F.lit(1)).alias("n_rows"), F.countDistinct("stock_code").alias("n_products"))
+    )
+
+
 @query
 def reload_new_rows(spark, sf_dir):
     """Batch form of repeatable ingest: all lines, of which the "F" lines are loaded."""

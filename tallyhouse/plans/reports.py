@@ -52,16 +52,27 @@ def sales_by_region(fact: DataFrame, level: str = "region_code") -> DataFrame:
 
 
 def top_products(
-    fact: DataFrame, measure: str = "quantity", n: int = 20, product: str = "stock_code"
+    fact: DataFrame, products: DataFrame, measure: str = "quantity", n: int = 20
 ) -> DataFrame:
-    """The ``n`` best products by ``quantity`` or ``revenue``; ties by product."""
-    measures = {
-        "quantity": F.sum("quantity").alias("total_quantity"),
-        "revenue": _money("total_amount").alias("revenue"),
-    }
-    total = fact.groupBy(product).agg(measures[measure])
-    name = total.columns[-1]
-    return total.orderBy(F.desc(name), F.asc(product)).limit(n)
+    """The ``n`` best products by ``quantity`` or ``revenue``; ties by stock code.
+
+    The fact names price versions; ``products`` gives the product of each. Lines are summed per
+    version first, so only versions meet the dimension.
+    """
+    name, column = {
+        "quantity": ("total_quantity", F.col("quantity")),
+        "revenue": ("revenue", F.col("total_amount").cast("decimal(18,2)")),
+    }[measure]
+    versions = fact.groupBy("product_id").agg(F.sum(column).alias("_sum"))
+    product_of = products.select("product_id", "stock_code").distinct()
+    total = F.sum("_sum").cast("bigint" if measure == "quantity" else "double")
+    return (
+        versions.join(product_of, "product_id")
+        .groupBy("stock_code")
+        .agg(total.alias(name))
+        .orderBy(F.desc(name), F.asc("stock_code"))
+        .limit(n)
+    )
 
 
 def order_frequency(fact: DataFrame, bucket: int = 1) -> DataFrame:

@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
-
 from pyspark.sql import SparkSession
 
 # Adaptive execution sizes shuffles, splits hot join partitions and turns a join
@@ -27,21 +25,9 @@ def build_session(name: str, master: str | None = None, **settings: str) -> Spar
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder all executors share, from ``spark.checkpoint.dir``.
-
-    Only a local master may go without it: there a temporary folder is shared too.
-    """
+    """The folder all executors share: ``spark.checkpoint.dir``, or one in the warehouse
+    where that is unset."""
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if configured:
         return configured.rstrip("/")
-    if spark.sparkContext.master.startswith("local"):
-        return tempfile.mkdtemp(prefix="run-")
-    raise ValueError("set spark.checkpoint.dir to a folder all executors can reach")
-
-
-def cut_lineage(df):
-    """Reliable checkpoint in the shared folder; survives the loss of executors."""
-    spark = df.sparkSession
-    if not spark.conf.get("spark.checkpoint.dir", None):
-        spark.sparkContext.setCheckpointDir(shared_dir(spark))
-    return df.checkpoint(eager=True)
+    return spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/checkpoints"

@@ -2,11 +2,15 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+import uuid
+from collections.abc import Callable, Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tallyhouse.operators.upsert import upsert
+
 
 def create_table(spark, table: str, schema: T.StructType) -> None:
     """Empty Parquet table with ``schema`` unless it exists."""
@@ -28,24 +32,50 @@ def overwrite(df: DataFrame, table: str) -> None:
     _in_table_order(df, table).write.insertInto(table, overwrite=True)
 
 
+def _location(spark: SparkSession, table: str) -> str:
+    rows = spark.sql(f"DESCRIBE TABLE EXTENDED {table}").where("col_name = 'Location'")
+    return rows.first()["data_type"]
+
+
+def _delete(spark: SparkSession, path: str) -> None:
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)
+
+
 def replace_table(df: DataFrame, table: str) -> None:
     """Replace ``table`` by ``df`` even when ``df`` reads it.
 
-    The new rows are written to their own table first and swapped in by rename;
-    until then readers see the old table, and nothing passes through the driver.
+    The new rows are written beside the old ones and the table is pointed at them in one
+    step of the catalog; then the old files are deleted. Until that step the table is the old
+    one, after it the new one: a stop at any point leaves no more than unused files, and
+    readers always find a table. Nothing passes through the driver.
     """
     spark = df.sparkSession
-    fresh, old = f"{table}__next", f"{table}__old"
-    _in_table_order(df, table).write.format("parquet").mode("overwrite").saveAsTable(fresh)
-    spark.sql(f"DROP TABLE IF EXISTS {old}")
-    spark.sql(f"ALTER TABLE {table} RENAME TO {old}")
-    spark.sql(f"ALTER TABLE {fresh} RENAME TO {table}")
-    spark.sql(f"DROP TABLE {old}")
+    old = _location(spark, table).rstrip("/")
+    fresh = f"{old.partition('__v_')[0]}__v_{uuid.uuid4().hex}"
+    _in_table_order(df, table).write.parquet(fresh)
+    spark.sql(f"ALTER TABLE {table} SET LOCATION '{fresh}'")
+    spark.catalog.refreshTable(table)
+    _delete(spark, old)
 
 
-def write_if_any(df: DataFrame, sink: Callable[[DataFrame], None]) -> bool:
-    """Run ``sink`` only when ``df`` has a row; False when it had none."""
-    if df.isEmpty():
+def upsert_table(df: DataFrame, table: str, keys: Sequence[str]) -> None:
+    """Insert ``df`` into ``table``, replacing rows of the same key; a second run of the
+    same rows changes nothing."""
+    target = df.sparkSession.table(table)
+    order = [F.desc(name) for name in sorted(set(target.columns) - set(keys))]
+    replace_table(upsert(target, df, keys, order), table)
+
+
+def write_if_any(df: DataFrame, sink: Callable[[DataFrame], None], stage: str) -> bool:
+    """Run ``sink`` only when ``df`` has a row; False when it had none.
+
+    The rows are written to ``stage``, a folder all executors share, and both the test and
+    the sink read them there, so ``df`` is computed once.
+    """
+    df.write.mode("overwrite").parquet(stage)
+    staged = df.sparkSession.read.schema(df.schema).parquet(stage)
+    if staged.isEmpty():
         return False
-    sink(df)
+    sink(staged)
     return True

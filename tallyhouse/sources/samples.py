@@ -104,6 +104,21 @@ def transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def mixed_transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Order lines, and events as lines of products that no product list has."""
+    events = load(spark, sf_dir, "events").select(
+        F.concat(F.lit("e"), F.col("event_id").cast("string")).alias("invoice_no"),
+        F.col("event_type").alias("stock_code"),
+        F.col("value").cast("int").alias("quantity"),
+        F.col("ts").alias("invoice_date"),
+        F.col("user_id").cast("string").alias("customer_id"),
+        F.lit("2200").alias("country_id"),
+        F.lit("1").alias("region_code"),
+        audit_literal().alias("ingestion_timestamp"),
+    )
+    return transactions(spark, sf_dir).unionByName(events)
+
+
 def price_history(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One price per product and ship day, in whole cents."""
     price = F.max(F.col("l_extendedprice") / F.col("l_quantity"))
@@ -158,9 +173,10 @@ def price_bands(spark: SparkSession, sf_dir: str) -> DataFrame:
 def log_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Transaction lines as text, with every kind of dirt a drop may hold.
 
-    Line 7 has no numeric quantity; returned lines 4 are cut short; returned and
-    shipped lines 3 are blank; pending lines 6 lack the region; open lines have
-    padded fields; the date format depends on the order priority.
+    Line 7 has no numeric quantity, lines 5 have one with a fraction, lines 2 not returned
+    have tabs around it; returned lines 4 are cut short; returned and shipped lines 3 are
+    blank; pending lines 6 lack the region; open lines have padded fields; the date format
+    depends on the order priority.
     """
     iso = F.col("o_orderdate").cast("string")
     year, month, day = F.substring(iso, 1, 4), F.substring(iso, 6, 2), F.substring(iso, 9, 2)
@@ -173,8 +189,12 @@ def log_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
         .otherwise("unknown")
     )
     line = F.col("l_linenumber")
-    quantity = F.when(line == 7, "x").otherwise(
-        F.col("l_quantity").cast("int").cast("string")
+    whole = F.col("l_quantity").cast("int").cast("string")
+    quantity = (
+        F.when(line == 7, "x")
+        .when(line == 5, F.concat(whole, F.lit(".7")))
+        .when((line == 2) & (F.col("l_returnflag") == "N"), F.concat(F.lit("\t"), whole, F.lit("\t ")))
+        .otherwise(whole)
     )
     region = (F.col("l_suppkey") % 6 + 1).cast("string")
     geo = F.when((line == 6) & (F.col("o_orderstatus") == "P"), F.col("country_id")).otherwise(
@@ -195,13 +215,14 @@ def log_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def product_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Price lines as text; discounted lines name their price in words, and names
-    of large parts hold a separator."""
+    """Price lines as text; discounted lines name their price in words, names of large
+    parts hold a separator, and prices of small ones stand between tabs."""
     day = F.to_date("l_shipdate").cast("string")
     cents = F.floor(F.col("l_extendedprice") / F.col("l_quantity") * 100 + 0.5)
     price = F.when(F.col("l_discount") >= 0.1, "on request").otherwise(
         (cents / 100).cast("decimal(12,2)").cast("string")
     )
+    price = F.when(F.col("p_size") <= 5, F.concat(F.lit("\t"), price, F.lit("\t"))).otherwise(price)
     name = F.when(F.col("p_size") >= 45, F.concat_ws(", ", "p_name", "p_brand")).otherwise(
         F.col("p_name")
     )

@@ -45,6 +45,30 @@ def ingest_new(
     query.awaitTermination()
 
 
+def ingest_table(
+    spark: SparkSession,
+    src: str,
+    tag: Callable[[DataFrame], DataFrame],
+    table: str,
+    store: str,
+    max_files: int | None = None,
+) -> None:
+    """:func:`ingest_new` into ``store``, with ``table`` as a view of the usable rows and
+    ``table``_rejects of the others. What was loaded before is not read; equal lines of
+    different files are all kept."""
+    data = f"{store.rstrip('/')}/data"
+    ingest_new(spark, src, tag, data, f"{store.rstrip('/')}/progress", max_files)
+    columns = [c for c in tag(spark.createDataFrame([], schemas.LINES)).columns if c != REASON]
+    usable = ", ".join(c for c in columns if c != "value" and not c.startswith("_"))
+    for name, wanted, outcome in (
+        (table, usable, "valid"), (f"{table}_rejects", f"value, {REASON}", "error"),
+    ):
+        spark.sql(
+            f"CREATE OR REPLACE VIEW {name} AS "
+            f"SELECT {wanted} FROM parquet.`{data}` WHERE outcome = '{outcome}'"
+        )
+
+
 def new_rows(batch: DataFrame, loaded: DataFrame, key: Sequence[str]) -> DataFrame:
     """Batch form: rows whose natural key is not in ``loaded`` yet (NULLs equal)."""
     seen = loaded.select(*[F.col(name).alias(f"_{name}") for name in key]).distinct()

@@ -118,3 +118,34 @@ def test_drill_down(spark):
     assert anomaly.drill_anomalies(records, start="2024-01-15").count() == 1
     assert anomaly.drill_anomalies(records, end="2024-01-21").count() == 1
     assert anomaly.drill_anomalies(records, min_z=4.0).count() == 1
+
+
+def test_wide_integers_are_never_whole_in_one_window(spark):
+    rng = random.Random(9)
+    groups = {"hot": [rng.randrange(2**50) for _ in range(20_001)], "few": [3, 1, 2], "none": [None]}
+    _check_wide(spark, groups)
+
+
+def _check_wide(spark, groups):
+    df = orders(spark, groups, "bigint")
+    found = {r.stock_code: r.median_qty for r in anomaly.group_baseline(df).collect()}
+    assert found == {
+        g: statistics.median(n) if (n := [v for v in values if v is not None]) else None
+        for g, values in groups.items()
+    }
+    plan = anomaly.group_baseline(df)._jdf.queryExecution().executedPlan().toString()
+    windows = [line for line in plan.splitlines() if "Window " in line]
+    assert windows and all("_side" in line for line in windows)
+
+
+def test_records_keep_their_status(spark):
+    df = orders(spark, {"a": [1] * 9 + [50, 60], "b": [1] * 20 + [60]})
+    first = anomaly.anomaly_records(anomaly.detect_anomalies(df), AS_OF)
+    known = first.withColumn(
+        "status", F.when(F.col("quantity") == 60, "REVIEWED").otherwise("RESOLVED")
+    )
+    again = anomaly.detect_anomalies(df, baseline=anomaly.refresh_baseline(df, known))
+    merged = anomaly.merge_records(known, anomaly.anomaly_records(again, AS_OF))
+    status = dict(rows(merged, "order_id", "status"))
+    assert {k: v for k, v in status.items() if v != "NEW"} == dict(rows(known, "order_id", "status"))
+    assert status["b20"] == "REVIEWED" and merged.count() == len(status)

@@ -5,7 +5,7 @@ import pytest
 from conftest import rows
 from pyspark.sql import functions as F
 
-from tallyhouse.operators.asof import asof_join, validity_join
+from tallyhouse.operators.asof import _bucket_of, asof_join, validity_join, versions_by_bucket
 from tallyhouse.operators.scd import scd2_intervals
 
 PRICES = "stock_code string, unit_price double, price_date date"
@@ -117,15 +117,43 @@ def test_a_hot_key_is_whole(spark):
         assert len(found) == 10_000 and {price for _, price in found} == {400.0}
 
 
-def test_a_counted_small_history_is_broadcast(spark):
+def test_a_small_history_is_broadcast_by_spark_itself(spark):
     right = prices(spark, ("s1", 1.0, 0), ("s1", 2.0, 40))
     left = sales(spark, ("s1", when(4)), ("s1", when(50)), ("s2", when(4)))
-    for below, operator in ((10, "BroadcastHashJoin"), (2, "SortMergeJoin")):
+    found = asof_join(left, right, "stock_code", F.to_date("at"), "price_date")
+    assert "ResolvedHint" not in found._jdf.queryExecution().analyzed().toString()
+    assert rows(found, "id", "unit_price") == [(0, 1.0), (1, 2.0)]
+    found = found.select("id")
+    found.collect()
+    assert "BroadcastHashJoin" in found._jdf.queryExecution().executedPlan().toString()
+
+
+@pytest.mark.parametrize("bucket", ["day", "month", "year"])
+def test_far_dates_repeat_nothing(spark, bucket):
+    far = [("s1", 1.0, dt.date(1, 1, 1)), ("s1", 2.0, dt.date(9999, 12, 31))]
+    far += [(f"p{i}", 1.0, dt.date(1990, 1, 1)) for i in range(50)]
+    right = spark.createDataFrame(far, PRICES)
+    left = sales(spark, *[("s1", when(d)) for d in range(0, 900, 7)], ("p3", when(3)))
+    intervals = scd2_intervals(right, "stock_code", "price_date", "_start", "_end")
+    versions = intervals.drop("is_current").withColumnRenamed("stock_code", "_key")
+    asked = left.withColumn("_bucket", _bucket_of(F.col("at"), bucket))
+    pairs = asked.select("stock_code", "_bucket").distinct().count()
+    placed = versions_by_bucket(asked, versions, "stock_code", bucket)
+    assert placed.count() <= len(far) + pairs
+    assert {p for _, p in joined(left, right, bucket=bucket)} == {1.0}
+
+
+def test_days_meet_moments(spark):
+    right = spark.createDataFrame(
+        [("s1", 1.0, when(0)), ("s1", 2.0, when(2))],
+        "stock_code string, unit_price double, since timestamp_ntz",
+    )
+    left = sales(spark, ("s1", when(1, 5)), ("s1", when(2, 5)), ("s1", when(-1)))
+    for strategy in STRATEGIES:
         found = asof_join(
-            left, right, "stock_code", F.to_date("at"), "price_date", broadcast_below=below
+            left, right, "stock_code", F.to_date("at"), "since", strategy=strategy
         )
         assert rows(found, "id", "unit_price") == [(0, 1.0), (1, 2.0)]
-        assert operator in found._jdf.queryExecution().executedPlan().toString()
 
 
 def test_validity_join_bounds(spark):

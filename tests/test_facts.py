@@ -2,6 +2,7 @@ import datetime as dt
 
 import pytest
 from conftest import rows
+from pyspark.sql import functions as F
 
 from tallyhouse import schemas
 from tallyhouse.operators import facts, quality
@@ -48,10 +49,12 @@ def world(spark):
 def test_every_line_has_one_outcome(world):
     tx, products, countries = world
     load = facts.build_fact(tx, products, countries, AS_OF)
-    assert (load.fact.count(), load.errors.count(), load.unpriced.count()) == (4, 9, 2)
+    assert (load.fact.count(), load.errors.count(), load.unpriced.count()) == (4, 10, 1)
     assert load.fact.columns == schemas.FACT_TRANSACTIONS.names
     assert load.errors.columns == schemas.TRANSACTIONS_ERROR.names
-    assert {r.error_message for r in load.errors.collect()} == {"Missing Country ID"}
+    messages = dict(rows(load.errors, "invoice_no", "error_message"))
+    assert messages.pop("i11") == "Invalid Date"
+    assert set(messages.values()) == {"Missing Country ID"}
     assert {r.error_message for r in load.unpriced.collect()} == {"Missing Price"}
     assert {r.retry_count for r in load.errors.collect()} == {0}
 
@@ -71,6 +74,45 @@ def test_strategies_agree(world):
     assert rows(one) == rows(two)
 
 
+def test_flagged_and_missing_dates_are_invalid(world):
+    tx, products, countries = world
+    flagged = tx.withColumn("is_date_error", F.col("invoice_no") == "i0").withColumn(
+        "invoice_date", F.when(F.col("invoice_no") != "i1", F.col("invoice_date"))
+    )
+    for failed in (
+        facts.build_fact(flagged, products, countries, AS_OF).errors,
+        quality.error_rows(
+            facts.tag_fact(flagged, products, countries, AS_OF).filter("error_message IS NOT NULL"),
+            AS_OF,
+        ),
+    ):
+        bad = failed.filter("error_message = 'Invalid Date'")
+        assert rows(bad, "invoice_no", "is_date_error") == [
+            ("i0", True), ("i1", False), ("i11", False),
+        ]
+        again = facts.recover(failed, countries, products, AS_OF).still_broken
+        assert again.filter("error_message = 'Invalid Date'").count() == 3
+
+
+def test_equal_lines_have_keys_of_their_own(world):
+    tx, products, countries = world
+    keys = {"key_style": "sha256", "key_columns": facts.UNIQUE_COLUMNS}
+    runs = [
+        facts.tag_fact(facts.with_line_number(tx), products, countries, AS_OF, **keys)
+        for _ in range(2)
+    ]
+    one, two = (rows(r, "transaction_id", "invoice_no") for r in runs)
+    assert one == two and len({key for key, _ in one}) == tx.count()
+
+
+def test_payloads_are_read_back(world):
+    load = facts.build_fact(*world, AS_OF)
+    errors = load.errors.filter("error_message = 'Missing Country ID'")
+    back = quality.replayed(quality.error_payloads(errors))
+    shared = [c for c in errors.columns if c in back.columns]
+    assert rows(back, *shared) == rows(errors, *shared) and len(shared) == 10
+
+
 def test_collapse_on_the_line_key(world):
     key = ["invoice_no", "stock_code", "customer_id"]
     fact = facts.build_fact(*world, AS_OF, collapse_on=key).fact
@@ -131,9 +173,9 @@ def test_reports(world, spark):
     assert by_country == [("1101", "Germany", 21.0, 1, 1), ("1102", "France", 109.0, 3, 2)]
     assert rows(reports.sales_by_region(fact)) == [("1", 88.0, 8, 2), ("3", 42.0, 4, 2)]
     assert rows(reports.sales_by_region(fact, "continent")) == [("Europe", 130.0, 12, 4)]
-    top = reports.top_products(fact, "revenue", 1, product="product_id").first()
-    assert tuple(top) == ("p1-2024-01-08", 88.0)
-    assert reports.top_products(fact, "quantity", 5, product="product_id").count() == 2
+    top = reports.top_products(fact, products, "revenue", 1).first()
+    assert tuple(top) == ("p1", 130.0)  # both price versions together
+    assert rows(reports.top_products(fact, products, "quantity", 5)) == [("p1", 12)]
     assert rows(reports.order_frequency(fact)) == [(1, 1), (2, 1)]
     assert rows(reports.cross_border(fact)) == [("c1", 2)]
     with pytest.raises(ValueError):

@@ -12,7 +12,11 @@ from tallyhouse.plans.registry import QUERIES
 SF_DIR = os.environ.get("PLAN_SF_DIR", "/root/testdata/sf0.001")
 
 # These write files while they are built; their parts are covered by other names.
-WRITING = {"ingest_twice", "text_round_trip", "outcome_counts", "fact_by_month"}
+WRITING = {
+    "ingest_twice", "text_round_trip", "outcome_counts", "fact_by_month", "ingest_equal_lines",
+    "dated_drop", "catalog_append", "catalog_overwrite", "self_replace", "upsert_catalog",
+    "table_or_default_rows", "written_if_any", "snapshot_days",
+}
 
 
 def plan(df):

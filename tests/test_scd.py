@@ -41,9 +41,14 @@ def test_unchanged_price_adds_nothing(prices):
     assert changes(scd.scd2_changes(prices(("s1", 10.0, 2)), prices(("s1", 10.0, 1)))) == []
 
 
-def test_bootstrap_keeps_the_newest_per_key(prices):
-    batch = prices(("s1", 10.0, 1), ("s1", 11.0, 3), ("s2", None, 1))
-    assert changes(scd.scd2_changes(batch)) == [("s1", 11.0, day(3))]
+def test_bootstrap_keeps_every_dated_price(prices):
+    batch = prices(("s1", 10.0, 1), ("s1", 10.0, 2), ("s1", 11.0, 3), ("s1", 9.0, 3), ("s2", None, 1))
+    assert changes(scd.scd2_changes(batch)) == [
+        ("s1", 10.0, day(1)), ("s1", 10.0, day(2)), ("s1", 11.0, day(3)),
+    ]
+    assert changes(scd.scd2_changes(batch, late_policy="merge")) == [
+        ("s1", 10.0, day(1)), ("s1", 11.0, day(3)),
+    ]
     assert changes(scd.scd2_rejects(batch)) == [("s2", None, day(1))]
 
 
@@ -100,11 +105,15 @@ def test_merge_equals_brute_force_and_is_idempotent(prices, history, batch):
     assert changes(again) == expected
 
 
-def test_changes_run_twice_add_nothing(prices):
-    history = prices(("s1", 10.0, 1))
-    batch = prices(("s1", 12.0, 2), ("s2", 5.0, 2))
-    added = scd.scd2_changes(batch, history)
-    assert changes(scd.scd2_changes(batch, history.unionByName(added))) == []
+@pytest.mark.parametrize("policy", ["latest", "merge"])
+def test_changes_run_twice_add_nothing(prices, policy):
+    history = prices(("s1", 10.0, 1), ("s3", 7.0, 5), ("s4", 1.0, 1), ("s4", 2.0, 6))
+    # s3 comes late with another price, s4 late and between two versions
+    batch = prices(("s1", 12.0, 2), ("s2", 5.0, 2), ("s3", 8.0, 3), ("s4", 9.0, 4))
+    for expected in (4, 0, 0):
+        added = scd.scd2_changes(batch, history, late_policy=policy)
+        assert len(changes(added)) == expected
+        history = history.unionByName(added)
 
 
 def test_intervals_do_not_overlap(prices):
