@@ -397,8 +397,12 @@ def _tagged(spark, sf_dir, lines=None, **options):
 
 
 def _quarantine(tagged):
+    """The error table, stored as the load job stores it."""
     failed = tagged.filter(F.col(quality.ERROR).isNotNull())
-    return quality.error_rows(failed, samples.audit_literal())
+    errors = quality.error_rows(failed, samples.audit_literal())
+    path = _scratch(tagged.sparkSession, "quarantine")
+    errors.write.parquet(path)
+    return tagged.sparkSession.read.schema(errors.schema).parquet(path)
 
 
 def _recovery(spark, sf_dir, errors=None, **options):

@@ -15,7 +15,8 @@ SF_DIR = os.environ.get("PLAN_SF_DIR", "/root/testdata/sf0.001")
 WRITING = {
     "ingest_twice", "text_round_trip", "outcome_counts", "fact_by_month", "ingest_equal_lines",
     "dated_drop", "catalog_append", "catalog_overwrite", "self_replace", "upsert_catalog",
-    "table_or_default_rows", "written_if_any", "snapshot_days",
+    "table_or_default_rows", "written_if_any", "snapshot_days", "recover_fixed",
+    "recover_still_broken", "recover_twice", "replay_payloads",
 }
 
 
