@@ -347,9 +347,9 @@ def join(
         ).alias("parts")
     )
     members = staged(join_by_key(members, sizes, ["component"]))
-    texts = keyed.select(KEY, "text").join(
-        members.select(KEY, "node", "component", "copies", "parts"), KEY
-    )
+    # dealt by key at every size; only the members of a partition are held, texts stream by
+    held = members.select(KEY, "node", "component", "copies", "parts").hint("shuffle_hash")
+    texts = keyed.select(KEY, "text").join(held, KEY)
     sets = _shingle_sets(texts.dropDuplicates([KEY]))
     found = staged(_exact(spread(sets, "component", "node", "parts", "pair"), threshold))
     links = found.groupBy("node").agg(F.sum("links").alias("links"))
