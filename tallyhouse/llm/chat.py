@@ -9,14 +9,16 @@ makes the message wait for that result.
 
 Order: every message waits for the messages it follows from (a result for its call, a call
 for the results it names). ``at`` is the first turn at which it can stand, the largest of its own and
-theirs, and ``depth`` the longest chain before it, so that (at, depth, turn) sorts every
-conversation topologically; where the turns are in order already, that is the order of turns.
-It is found in rounds, one per step of the longest chain; a round joins only what is still open. No
-conversation is gathered in one place: each message keeps its own row and its sort keys.
+of all before it, and ``depth`` the longest chain before it among messages with its ``at``, so that
+(at, depth, turn) sorts every conversation topologically; where the turns are in order already,
+that is the order of turns. Both are found in rounds that join only messages that have to
+move: as many rounds as a chain of moved messages is long, none for a conversation in order,
+however long it is. No conversation is gathered in one place: each message keeps its own row
+and its sort keys.
 
 Of several calls with one identifier the first counts, of several results the first is linked
 and the others are ``repeated``. Null and empty calls are no calls; a null content is written as
-null. Messages in a cycle are marked and stay at their own turn with depth -1. Equal rows get
+null. Messages in a cycle, or behind one at the same ``at``, are marked and have depth -1. Equal rows get
 equal results; null conversations are linked among themselves. Other columns are left out.
 """
 
@@ -172,36 +174,80 @@ def _formatted(messages: DataFrame, schemas: Mapping[str, Mapping]) -> DataFrame
     )
 
 
-def _ordered(nodes: DataFrame, edges: DataFrame) -> DataFrame:
-    """(node, at, depth) of every node that is not in a cycle or behind one; edges are
-    (node, before)."""
-    open_ = staged(join_by_key(edges, nodes, ["node"]))
-    done = [
-        nodes.join(open_.select("node").distinct(), "node", "left_anti").select(
-            "node", F.col("turn").alias("at"), F.lit(0).alias("depth")
+def _moved(edges: DataFrame) -> DataFrame:
+    """(node, at) of the nodes that have to wait beyond their own turn; edges are
+    (node, turn, before, before_turn)."""
+    wait = F.max("at").alias("at")
+    frontier = staged(
+        edges.where("before_turn > turn").select("node", F.col("before_turn").alias("at"))
+        .groupBy("node").agg(wait)
+    )
+    moved = frontier
+    while not frontier.isEmpty():
+        pushed = (
+            join_by_key(edges, frontier.withColumnRenamed("node", "before"), ["before"])
+            .where("at > turn")
+            .groupBy("node")
+            .agg(wait)
         )
-    ]
+        known = moved.withColumnRenamed("at", "known")
+        frontier = staged(
+            join_by_key(pushed, known, ["node"], "left")
+            .where("known IS NULL OR at > known")
+            .select("node", "at")
+        )
+        moved = staged(moved.unionByName(frontier).groupBy("node").agg(wait))
+    return moved
+
+
+def _depths(edges: DataFrame) -> DataFrame:
+    """(node, depth) of the nodes of edges (node, before) that are not in a cycle or behind
+    one."""
+    open_ = staged(edges)
+    roots = open_.select(F.col("before").alias("node")).distinct()
+    done = roots.join(open_.select("node").distinct(), "node", "left_anti")
+    done = staged(done.select("node", F.lit(0).alias("depth")))
     while True:
-        settled = done[0]
-        for more in done[1:]:
-            settled = settled.unionByName(more)
         ready = staged(
-            join_by_key(open_, settled.withColumnRenamed("node", "before"), ["before"], "left")
+            join_by_key(open_, done.withColumnRenamed("node", "before"), ["before"], "left")
             .groupBy("node")
-            .agg(
-                F.greatest(F.max("turn"), F.max("at")).alias("at"),
-                (F.max("depth") + 1).alias("depth"),
-                F.every(F.col("depth").isNotNull()).alias("all"),
-            )
+            .agg((F.max("depth") + 1).alias("depth"), F.every(F.col("depth").isNotNull()).alias("all"))
             .where("all")
             .drop("all")
         )
         if ready.isEmpty():
-            return settled
-        done.append(ready)
+            return done
+        done = staged(done.unionByName(ready))
         open_ = staged(open_.join(ready.select("node"), "node", "left_anti"))
 
 
+def _ordered(nodes: DataFrame, edges: DataFrame) -> DataFrame:
+    """(node, at, depth) of every node, depth -1 in a cycle; edges are (node, before)."""
+    turns = nodes.select(F.col("node").alias("before"), F.col("turn").alias("before_turn"))
+    timed = staged(join_by_key(join_by_key(edges, nodes, ["node"]), turns, ["before"]))
+    moved = _moved(timed)
+    placed = join_by_key(nodes, moved, ["node"], "left").select(
+        "node", F.coalesce("at", "turn").alias("at")
+    )
+    befores = moved.select(F.col("node").alias("before"), F.col("at").alias("before_at"))
+    level = (
+        join_by_key(join_by_key(timed, moved, ["node"], "left"), befores, ["before"], "left")
+        .where(F.coalesce("at", "turn") == F.coalesce("before_at", "before_turn"))
+        .select("node", "before")
+    )
+    level = staged(level)
+    depths = _depths(level)
+    chained = staged(
+        level.select("node").unionByName(level.select(F.col("before").alias("node"))).distinct()
+    )
+    depth = join_by_key(chained, depths, ["node"], "left").select(
+        "node", F.coalesce("depth", F.lit(-1)).alias("depth")
+    )
+    return join_by_key(placed, depth, ["node"], "left").select(
+        "node", "at", F.coalesce("depth", F.lit(0)).alias("depth")
+    )
+
+
 def link(messages: DataFrame, schemas: Mapping[str, Mapping]) -> DataFrame:
     """One row per message: (conv_id, turn, role, call_id, at, depth, state, valid, faults,
     json). ``state``: plain, call, unanswered, result, orphan, repeated or cyclic."""
@@ -255,9 +301,9 @@ def link(messages: DataFrame, schemas: Mapping[str, Mapping]) -> DataFrame:
         "turn",
         "role",
         "call_id",
-        F.coalesce("at", "turn").alias("at"),
-        F.coalesce("depth", F.lit(-1)).alias("depth"),
-        F.when(F.col("depth").isNull(), "cyclic")
+        "at",
+        "depth",
+        F.when(F.col("depth") < 0, "cyclic")
         .when(F.col("result_state").isNotNull(), F.col("result_state"))
         .when(F.col("answered"), "call")
         .when(~F.col("answered"), "unanswered")

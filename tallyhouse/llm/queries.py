@@ -63,7 +63,8 @@ ANSWER_TOOL = {
 
 def tool_messages(turns: DataFrame) -> DataFrame:
     """Turns as tool traffic: a user turn calls the tool ``answer`` and waits for the result of the call
-    two turns before, if that was a user turn; an assistant turn is the result of the turn before it."""
+    two turns before, if that was a user turn; an assistant turn is the result of the turn before it.
+    Results of odd length are logged two turns early, before their calls."""
     ids = F.concat(F.lit("t"), F.col("turn").cast("string"))
     before = turns.where("role = 'user'").select(
         F.col("conv_id"), (F.col("turn") + 2).alias("turn"), F.lit(True).alias("follows")
@@ -83,9 +84,10 @@ def tool_messages(turns: DataFrame) -> DataFrame:
         F.struct(ids.alias("id"), F.lit("answer").alias("name"), arguments.alias("arguments"))
     )
     user = F.col("role") == "user"
+    early = (F.col("role") == "assistant") & (F.length("text") % 2 == 1)
     return turns.join(before.distinct(), ["conv_id", "turn"], "left").select(
         "conv_id",
-        "turn",
+        F.when(early, F.col("turn") - 2).otherwise(F.col("turn")).alias("turn"),
         "role",
         F.when(~user, F.col("text")).alias("content"),
         F.when(user, call).alias("calls"),
@@ -111,29 +113,20 @@ def op5_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-# DuckDB. Calls and results only look back, so the order is that of turns and the depth
-# is found along each conversation.
+# DuckDB. Only a result that was logged before its call has to move, to the call's turn.
 OP5_SQL = r"""
-WITH RECURSIVE t AS (
-  SELECT DISTINCT conv_id, turn, role, text FROM conversations
+WITH k AS (
+  SELECT DISTINCT conv_id, turn, role FROM conversations
 ), m AS (
   SELECT t.*, p.role AS before_role, q.turn IS NOT NULL AS follows,
          n.turn IS NOT NULL AS answered, r.turn IS NOT NULL AS has_result,
+         t.role = 'assistant' AND length(t.text) % 2 = 1 AS early,
          length(t.text) - length(replace(t.text, ' ', '')) + 1 AS words
-  FROM t
-  LEFT JOIN t p ON p.conv_id = t.conv_id AND p.turn = t.turn - 1 AND p.role = 'user'
-  LEFT JOIN t q ON q.conv_id = t.conv_id AND q.turn = t.turn - 2 AND q.role = 'user'
-  LEFT JOIN t n ON n.conv_id = t.conv_id AND n.turn = t.turn + 1 AND n.role = 'assistant'
-  LEFT JOIN t r ON r.conv_id = t.conv_id AND r.turn = t.turn - 1 AND r.role = 'assistant'
-), d AS (
-  SELECT conv_id, turn, 0::BIGINT AS depth FROM m
-  WHERE NOT ((role = 'assistant' AND before_role = 'user')
-             OR (role = 'user' AND follows AND has_result))
-  UNION ALL
-  SELECT m.conv_id, m.turn, d.depth + 1
-  FROM d JOIN m ON m.conv_id = d.conv_id AND m.turn = d.turn + 1
-  WHERE (m.role = 'assistant' AND m.before_role = 'user')
-     OR (m.role = 'user' AND m.follows AND m.has_result)
+  FROM conversations t
+  LEFT JOIN k p ON p.conv_id = t.conv_id AND p.turn = t.turn - 1 AND p.role = 'user'
+  LEFT JOIN k q ON q.conv_id = t.conv_id AND q.turn = t.turn - 2 AND q.role = 'user'
+  LEFT JOIN k n ON n.conv_id = t.conv_id AND n.turn = t.turn + 1 AND n.role = 'assistant'
+  LEFT JOIN k r ON r.conv_id = t.conv_id AND r.turn = t.turn - 1 AND r.role = 'assistant'
 ), f AS (
   SELECT *, list_filter([
       CASE WHEN length(text) < 1 THEN '$.prompt: below minLength' END,
@@ -143,9 +136,11 @@ WITH RECURSIVE t AS (
            THEN 'no result t' || (turn - 2) END], lambda x: x IS NOT NULL AND role = 'user') AS wrong
   FROM m
 )
-SELECT f.conv_id, f.turn,
+SELECT f.conv_id, CASE WHEN early THEN f.turn - 2 ELSE f.turn END AS turn,
        CASE WHEN role = 'assistant' THEN 't' || (f.turn - 1) END AS call_id,
-       f.turn AS order_turn, depth AS order_depth,
+       CASE WHEN early AND before_role = 'user' THEN f.turn - 1
+            WHEN early THEN f.turn - 2 ELSE f.turn END AS order_turn,
+       CASE WHEN early AND before_role = 'user' THEN 1 ELSE 0 END::BIGINT AS order_depth,
        CASE WHEN role = 'user' AND answered THEN 'call' WHEN role = 'user' THEN 'unanswered'
             WHEN role <> 'assistant' THEN 'plain'
             WHEN before_role = 'user' THEN 'result' ELSE 'orphan' END AS state,
@@ -158,7 +153,7 @@ SELECT f.conv_id, f.turn,
                              THEN '"call_id":"t' || (f.turn - 1) || '",' ELSE '' END
               || '"content":' || to_json(text)::VARCHAR || ',"role":' || to_json(role)::VARCHAR
               || '}' END AS json
-FROM f JOIN d ON d.conv_id = f.conv_id AND d.turn = f.turn
+FROM f
 """
 
 

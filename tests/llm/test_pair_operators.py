@@ -378,10 +378,31 @@ def test_chat_links_orders_and_checks(spark):
         "$: unknown c"] or got[1, 9].faults == [
         "$.a: above maximum", "$.b: above maxItems", "$.b[1]: not in enum", "$: unknown c"]
     assert got[2, 0].faults == ["unknown tool none"]
-    # the early result waits for its call, which waits for the result of x
-    assert (got[1, 5].at, got[1, 5].depth) == (7, 3)
-    assert (got[1, 7].at, got[1, 7].depth) == (7, 2)
-    assert (got[1, 2].at, got[1, 2].depth) == (2, 1)
+    # the early result waits for its call
+    assert (got[1, 5].at, got[1, 5].depth) == (7, 1)
+    assert (got[1, 7].at, got[1, 7].depth) == (7, 0)
+    assert (got[1, 2].at, got[1, 2].depth) == (2, 0)
+
+
+def test_order_of_chains_and_cycles(spark):
+    rng = random.Random(6)
+    nodes = [(i, rng.randrange(8)) for i in range(60)] + [(i, i) for i in range(100, 300)]
+    edges = {(i, i - 1) for i in range(101, 300)}  # long, and in order
+    edges |= {(b, a) for a, b in (sorted(rng.sample(range(50), 2)) for _ in range(60))}
+    edges |= {(50, 51), (51, 52), (52, 50), (53, 52), (55, 54), (54, 10)}
+    n = spark.createDataFrame(nodes, "node long, turn int")
+    e = spark.createDataFrame(sorted(edges), "node long, before long")
+    found = {r.node: (r.at, r.depth) for r in chat._ordered(n, e).collect()}
+    assert set(found) == {i for i, _ in nodes}
+    cyclic = {i for i, (_, depth) in found.items() if depth < 0}
+    assert cyclic >= {50, 51, 52} and cyclic <= {50, 51, 52, 53}
+    turn = dict(nodes)
+    for node, before in edges:
+        if node not in cyclic:
+            assert found[before] < found[node]
+    for i, (at, _) in found.items():
+        assert at >= turn[i]
+    assert all(found[i] == (i, 0) for i in range(100, 300))
 
 
 def test_chat_matches_sql_and_needs_messages(spark):
