@@ -186,15 +186,19 @@ def repeated_spans(
     keyed: DataFrame, *, window: int = WINDOW, anchor: int = ANCHOR, block: int = BLOCK
 ) -> DataFrame:
     """(key, spans) for documents with a ``KEY``: word ranges of windows that start elsewhere too."""
+    # The join is on a hash of the anchor, so that Spark deals both sides for it and can split
+    # a hot one; it stands for the anchor on the large side.
+    mixed = F.xxhash64("anchor").alias("mix")
     anchors = _anchors(keyed, window, anchor)
     counted = (
         anchors.groupBy("anchor")
         .agg(F.count(F.lit(1)).alias("n"))
         .where("n > 1")
-        .select("anchor", F.ceil(F.col("n") / block).alias("parts"))
+        .select(mixed, "anchor", F.ceil(F.col("n") / block).alias("parts"))
     )
     named = (
-        join_by_key(anchors, counted, ["anchor"])
+        anchors.select(mixed, KEY)
+        .join(counted, "mix")
         .groupBy(KEY)
         .agg(F.sort_array(F.collect_set(F.struct("anchor", "parts"))).alias("repeated"))
     )
