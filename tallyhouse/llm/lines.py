@@ -3,9 +3,16 @@
 Documents that overlap are found through shared lines: for each line hash, every document
 that has it is linked with the one before it (in the order of id) that has it too, so a line
 in n documents gives n - 1 links, not all pairs. A link counts if the line is rare (in at
-most ``rare`` documents). Links through frequent lines count where two or more
-of them, or half of the later document's lines, lead to the same earlier document; and for
-a later document that overlaps by half already, all of its links count.
+most ``rare`` documents) or long (``LONG`` characters), and all links of a document count
+if half of its lines stand in earlier documents, in one or in several.
+
+Other frequent lines count in pairs: a frequent line and any other repeated line of a document
+are linked, as one, with the document before it that has both. So a frequent line is aligned
+wherever one earlier document shares it and a second line. A pair is taken in its order and
+without order, since an alignment needs the order. Documents with the same sequence of repeated
+lines, each once, are linked through the sequence, and only the first of them lists its pairs. Their
+number grows with the frequent lines of a document times its repeated lines, not with the
+documents that share a line.
 
 The documents of a counted link are aligned with patience diff: equal lines at both ends,
 then lines that are unique on both sides and in the same order (a longest increasing
@@ -13,8 +20,8 @@ sequence), then the gaps between them in the same way. Runs of aligned lines wit
 line that is not blank are common blocks, and they are deleted from the later document.
 Frequent lines in otherwise different documents stay.
 
-A line in many documents is cut into groups of ``group`` by a hash of the document; the
-first of each group is linked with the line's first document. So no window holds more than
+A line, pair or sequence in many documents is cut into groups of ``group`` by a hash of the document; the
+first of each group is linked with the first document of all. So no window holds more than
 a group, and copies of one text still meet in all of their lines.
 
 Null and empty texts have no lines. Rows of equal id and text are one document here: they
@@ -36,6 +43,7 @@ from tallyhouse.llm.common import row_key, staged
 from tallyhouse.operators.joins import join_by_key
 
 RARE = 16
+LONG = 100
 GROUP = 8192
 KEY, GONE, LINES = "_line_key", "_line_gone", "_line_split"
 
@@ -48,11 +56,16 @@ def split_lines(text: str) -> Column:
 
 
 def line_hashes(lines: Column) -> Column:
-    """Hash of each line; blank lines have 0."""
+    """Hash of each line, odd for lines of ``LONG`` characters and more; blank lines have 0."""
+
+    def one(line: Column) -> Column:
+        even = F.xxhash64(line).bitwiseAND(F.lit(-2))
+        return even.bitwiseOR((F.length(line) >= LONG).cast("long"))
+
     return F.transform(
         lines,
         lambda line: F.when(F.translate(line, " \t\r", "") == "", F.lit(0).cast("long")).otherwise(
-            F.xxhash64(line)
+            one(line)
         ),
     )
 
@@ -125,34 +138,84 @@ def common_lines(a: list[int], b: list[int]) -> list[int]:
     return out
 
 
+def _shared(rows: DataFrame) -> DataFrame:
+    """The rows (doc_id, KEY, line, ...) whose line is in several documents, with the number
+    of these and the least of them."""
+    seen = (
+        rows.groupBy("line")
+        .agg(
+            F.count(F.lit(1)).alias("n"),
+            F.min(F.struct(F.col("doc_id"), F.col(KEY))).alias("least"),
+        )
+        .where("n > 1")
+    )
+    return join_by_key(rows, seen, ["line"])
+
+
+def _sequences_and_pairs(shared: DataFrame, rare: int) -> DataFrame:
+    """Rows (KEY, doc_id, size, line), where ``line`` stands for all repeated lines of a document
+    or for a frequent and another one."""
+    line = F.struct("at", (F.col("n") > rare).alias("frequent"), "line")
+    # a line that stands twice may be left out of an alignment
+    alone = F.when(F.max("again"), F.col(KEY)).otherwise(0)
+    sequences = (
+        shared.groupBy(KEY, "doc_id", "size")
+        .agg(
+            F.sort_array(F.collect_list(line)).alias("own"),
+            F.max("n").alias("most"),
+            alone.alias("alone"),
+        )
+        .where((F.col("most") > rare) & (F.size("own") > 1))
+        .select(KEY, "doc_id", "size", F.xxhash64("own.line", "alone").alias("line"), "own")
+    )
+    first = sequences.groupBy("line").agg(F.min(F.struct("doc_id", KEY, "size", "own")).alias("first"))
+    pairs = (
+        first.select("first.*")
+        .select(KEY, "doc_id", "size", "own", F.explode("own").alias("x"))
+        .select(KEY, "doc_id", "size", "x", F.explode("own").alias("y"))
+        .where("x.at < y.at and (x.frequent or y.frequent)")
+    )
+    low, high = F.least("x.line", "y.line"), F.greatest("x.line", "y.line")
+    both = F.array(F.xxhash64("x.line", "y.line"), F.xxhash64(F.lit("any order"), low, high))
+    return sequences.drop("own").unionByName(
+        pairs.select(KEY, "doc_id", "size", F.explode(both).alias("line"))
+    )
+
+
 def overlaps(hashed: DataFrame, *, rare: int = RARE, group: int = GROUP) -> DataFrame:
     """Links (later, earlier) that count, from rows (doc_id, KEY, hashes)."""
+    full = F.array_remove("hashes", 0)
     lines = (
-        hashed.select(KEY, "doc_id", F.array_distinct(F.array_remove("hashes", 0)).alias("own"))
+        hashed.select(KEY, "doc_id", F.size(full).alias("all"), F.array_distinct(full).alias("own"))
         .dropDuplicates([KEY])
-        .select(KEY, "doc_id", F.size("own").alias("size"), F.explode("own").alias("line"))
-    )
-    place = F.struct(F.col("doc_id"), F.col(KEY))
-    seen = (
-        lines.groupBy("line")
-        .agg(F.count(F.lit(1)).alias("n"), F.min(place).alias("least"))
-        .where("n > 1")
+        .select(
+            KEY,
+            "doc_id",
+            F.size("own").alias("size"),
+            (F.col("all") > F.size("own")).alias("again"),
+            F.posexplode("own").alias("at", "line"),
+        )
     )
-    shared = join_by_key(lines, seen, ["line"]).withColumn(
-        "part", F.pmod(F.xxhash64(KEY), F.ceil(F.col("n") / group))
+    shared = staged(_shared(lines))
+    counts = (F.col("n") <= rare) | (F.col("line").bitwiseAND(F.lit(1)) == 1)
+    units = shared.drop("at", "again").withColumns({"single": F.lit(1), "counts": counts}).unionByName(
+        _shared(_sequences_and_pairs(shared, rare)).withColumns(
+            {"single": F.lit(0), "counts": F.lit(True)}
+        )
     )
-    order = W.partitionBy("line", "part").orderBy("doc_id", KEY)
+    parted = units.withColumn("part", F.pmod(F.xxhash64(KEY), F.ceil(F.col("n") / group)))
+    order = W.partitionBy("single", "line", "part").orderBy("doc_id", KEY)
     links = (
-        shared.withColumn("earlier", F.coalesce(F.lag(KEY).over(order), F.col(f"least.{KEY}")))
+        parted.withColumn("earlier", F.coalesce(F.lag(KEY).over(order), F.col(f"least.{KEY}")))
         .where(F.col("earlier") != F.col(KEY))
         .groupBy(F.col(KEY).alias("later"), "earlier", "size")
-        .agg(F.count(F.lit(1)).alias("common"), F.min("n").alias("rarest"))
+        .agg(F.sum("single").alias("common"), F.max("counts").alias("counts"))
     )
-    half = F.col("common") * 2 >= F.col("size")
-    copied = F.max(half.cast("int")).over(W.partitionBy("later")) == 1
+    # a line gives a document at most one link, so the sum is over different lines
+    covered = F.sum("common").over(W.partitionBy("later"))
     return (
-        links.withColumn("copied", copied)
-        .where((F.col("rarest") <= rare) | (F.col("common") >= 2) | F.col("copied"))
+        links.withColumn("copied", covered * 2 >= F.col("size"))
+        .where(F.col("counts") | F.col("copied"))
         .select("later", "earlier")
     )
 

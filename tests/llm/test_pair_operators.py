@@ -215,6 +215,40 @@ def test_line_dedup(spark, group):
     assert (rows[87].text, rows[87].n_removed) == ("\n\n", 0)
 
 
+@pytest.mark.parametrize("group", [lines.GROUP, 3])
+def test_frequent_lines_with_different_predecessors(spark, group):
+    own = lambda i, n: [f"own {i} {k}" for k in range(n)]
+    long = "a long line " * 12
+    texts = [
+        text_of("x", "y", "z", "u"),
+        text_of("u", "v", *own(1, 9)),
+        text_of(long, *own(2, 5)),
+        *[text_of(line, *own(f"{line} {i}", 5)) for i in range(9) for line in "xyzuvw"],
+        text_of("x", "y", "z"),  # all of its lines are in document 0
+        text_of("w", "x", "new"),  # half are in earlier ones, none of which has both
+        text_of("u", *own("a", 7), "v", *own("b", 7)),  # two are in document 1
+        text_of("w", *own("c", 7), "z", *own("d", 7)),  # no document has both
+        text_of(*own("e", 9), long),
+        text_of(*own("f", 9), long),
+        text_of("rare", *own("g", 7), "w"),
+        text_of("rare", *own("h", 9)),
+        text_of("w", *own("k", 9)),
+        text_of("rare", *own("i", 7), "w"),  # with its rare line in one, with both in another
+        text_of("v", *own("l", 6), "u"),
+        text_of("u", *own("m", 6), "v", *own("n", 6)),  # in this order in document 59 only
+    ]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    found = lines.remove_common_lines(df.repartition(3), rare=4, group=group).collect()
+    rows = {r.doc_id: r.text.split("\n") if r.text else [] for r in found}
+    for i in range(57):
+        assert rows[i] == texts[i].split("\n")
+    expected = [[], ["new"], own("a", 7) + own("b", 7), texts[60].split("\n"), own("e", 9),
+                own("f", 9), ["rare", *own("g", 7), "w"], own("h", 9), ["w", *own("k", 9)],
+                own("i", 7)]
+    assert [rows[57 + i] for i in range(10)] == expected
+    assert rows[68] == own("m", 6) + own("n", 6)
+
+
 def test_line_dedup_of_odd_documents(spark):
     docs = cases.odd_documents(spark, n_removed="clash")
     found = lines.remove_common_lines(docs)
