@@ -1,13 +1,13 @@
-"""Substring dedup by relative Lempel-Ziv parsing.
+"""Substring dedup by counting anchored window hashes.
 
-A document is factored against reference blocks. The blocks are cut by content: of each
+This replaces a relative Lempel-Ziv parse: there is no greedy longest match, no source position,
+and words are not compared, only 64-bit hashes of windows. The blocks are cut by content: of each
 window of ``window`` words the leftmost of its least hashed 8-word anchors is taken, so equal
 windows have equal anchors wherever they stand, and block a holds, for every place in the
-corpus with anchor a, the windows around it. Each block indexes its windows by hash. A
-document is factored greedily against every block that its anchors name: a factor starts where a
-window is found at another place in the index, and grows by a word as long as the next
-window is found too. At a factor's boundaries the windows that reach over it are looked up
-on their own, so a word is covered exactly if some window over it starts elsewhere as well.
+corpus with anchor a, the windows around it. Each block counts its windows by hash. A factor is
+a run of windows of one anchor (at most ``window - ANCHOR + 1``) that are all counted more than
+once. Every window is counted in the block of its anchor, so a word is covered exactly if some
+window over it starts elsewhere as well.
 
 Blocks of anchors that occur once hold no duplicates and are dropped after counting. A
 block of more than ``block`` places is cut into parts; each part settles the windows that
@@ -133,7 +133,7 @@ def _windows(docs: DataFrame, window: int, anchor: int) -> DataFrame:
 
 
 def _factors(windows: DataFrame, window: int) -> DataFrame:
-    """Parse every run against its block. Rows: (key, start, end) of factors; (key, start,
+    """Count the windows of every block. Rows: (key, start, end) of factors; (key, start,
     end, hash) of windows that are single in a part; (null key, hash) of repeated ones there."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
