@@ -8,7 +8,8 @@ the n-grams of any script are numbers below ``GRAMS``, and the n-grams of a text
 
 Kernel ridge regression, one language against the rest, is fitted on Nyström features of
 a bounded sample: ``per_lang`` texts of each language (at most ``most_rows`` in all), of
-which the first ``landmarks`` of each language are the landmarks. A batch of texts is scored by
+which the first ``landmarks`` of each language are the landmarks; of rows with equal ids one is
+taken, of the least language and then the text with the least hash. A batch of texts is scored by
 two matrix products: bitmaps with the landmarks' bitmaps, and kernel values with the weights.
 
 Null texts and texts without a letter are ``und`` with score 0. Rows without a language are
@@ -91,17 +92,23 @@ def train(
 ) -> Model | None:
     """Fit on rows with a language and a text; see the module for the bounds."""
     order = W.partitionBy("lang").orderBy(F.xxhash64("doc_id"), "doc_id")
+    usable = docs.where("lang is not null and doc_id is not null and text is not null")
     chosen = (
-        docs.where("lang is not null and doc_id is not null and text is not null")
-        .select("doc_id", "lang")
+        usable.groupBy("doc_id")
+        .agg(F.min("lang").alias("lang"))
         .withColumn("rank", F.row_number().over(order))
         .where(F.col("rank") <= per_lang)
         .orderBy("rank", "lang")
         .limit(most_rows)
-        .select("doc_id", "rank")
+        .select("doc_id", "lang", "rank")
+    )
+    # at most most_rows ids are broadcast, and one text of each goes on
+    rows = (
+        usable.select("doc_id", "text", "lang")
+        .join(F.broadcast(chosen), ["doc_id", "lang"])
+        .groupBy("doc_id", "lang", "rank")
+        .agg(F.min_by("text", F.xxhash64("text")).alias("text"))
     )
-    # at most most_rows ids are broadcast
-    rows = docs.select("doc_id", "text", "lang").join(F.broadcast(chosen), "doc_id")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in tx.slices(batches, PIECE):
@@ -125,7 +132,6 @@ def train(
         .where("grams is not null")
         .toPandas()
         .sort_values(["rank", "lang", "doc_id"], ignore_index=True)
-        .drop_duplicates("doc_id", ignore_index=True)
     )
     if not len(sample):
         return None

@@ -12,7 +12,8 @@ averaged. Scoring is a sparse dot product per text, in one narrow pass.
 
 Null and empty texts have no n-grams and get the score of the bias. Rows with a null
 label, or without a document, are not learned from; several labels of one document
-count as their largest. Repeated documents are scored alike. Other columns are left
+count as their largest; of several texts of one document the one with the least hash is
+learned from. Repeated documents are scored alike. Other columns are left
 out. Without labels of both kinds every score is that of untrained weights, 0.5.
 """
 
@@ -119,7 +120,13 @@ def train(
         .orderBy(F.xxhash64("doc_id"), "doc_id")
         .limit(train_rows)
     )
-    rows = docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id")  # at most train_rows ids
+    # at most train_rows ids are broadcast, and one text of each goes on
+    rows = (
+        docs.select("doc_id", "text")
+        .join(F.broadcast(chosen), "doc_id")
+        .groupBy("doc_id", "_y")
+        .agg(F.min_by("text", F.xxhash64("text")).alias("text"))
+    )
 
     def features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in tx.slices(batches, PIECE):

@@ -216,6 +216,22 @@ def test_languages_of_odd_documents(spark):
     assert langid.keep_known(docs, None).count() == 0
 
 
+def test_training_rows_are_bounded_for_repeated_ids(spark, monkeypatch):
+    rows = [(i, f"{cases.prose(i, 20)} {k}", "en") for i in range(12) for k in range(9)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string").repartition(3)
+    taken, kind = [], type(docs)
+    for name in ("toPandas", "collect"):
+        call = getattr(kind, name)
+        monkeypatch.setattr(kind, name, lambda df, f=call: taken.append(f(df)) or taken[-1])
+    assert langid.train(docs, per_lang=5) is not None
+    sample = next(t for t in taken if hasattr(t, "columns"))
+    assert len(sample) == sample.doc_id.nunique() == 5
+    taken.clear()
+    labels = spark.createDataFrame([(i, i % 2) for i in range(12)], "doc_id long, quality int")
+    quality.train(docs, labels, "quality", train_rows=8)
+    assert sum(r.n for t in taken if isinstance(t, list) for r in t) == 8
+
+
 def shingles(text):
     words = [w for w in (text or "").split() if w]
     return {tuple(words[max(0, i - 4) : i + 1]) for i in range(len(words))}
