@@ -35,7 +35,7 @@ from pyspark.sql import DataFrame
 
 from tallyhouse.llm import text as tx
 
-SLICE = 16 << 20  # bytes of text that are encoded together
+SLICE = 4 << 20  # bytes of text that are encoded together; about 100 MB of arrays
 
 
 def byte_characters() -> list[str]:
