@@ -250,12 +250,13 @@ def _normal(points: np.ndarray, offsets: np.ndarray):
     return tx.lower()[points], offsets
 
 
-def encode(column: pa.Array, path: str) -> Encoded:
-    """Encode a column of texts; bounded by the column's size."""
+def encode(column: pa.Array, path: str, special: bool = True) -> Encoded:
+    """Encode a column of texts; bounded by the column's size. Without ``special`` the strings of
+    special tokens are plain text."""
     vocab = vocabulary(path)
     owner, marks = None, None
     pattern = "|".join(map(re.escape, vocab.special))
-    if vocab.special and pc.any(pc.match_substring_regex(column, pattern)).as_py():
+    if special and vocab.special and pc.any(pc.match_substring_regex(column, pattern)).as_py():
         parts, owner, marks = [], [], []
         for row, value in enumerate(column.to_pylist()):
             found = re.split(f"({pattern})", value or "")

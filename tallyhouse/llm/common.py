@@ -58,6 +58,16 @@ def row_key(docs: DataFrame, name: str) -> DataFrame:
     return docs.withColumn(name, F.xxhash64(F.col("doc_id"), F.lit("|"), F.col("text")))
 
 
+def map_kept(df: DataFrame, run, added: str) -> DataFrame:
+    """``mapInArrow`` that keeps all columns in their order, whatever their names, and adds some."""
+    plain = [f"_column_{i}" if set(c) & set(".`") else c for i, c in enumerate(df.columns)]
+    kept = ", ".join(
+        f"`{c}` {f.dataType.simpleString()}" for c, f in zip(plain, df.schema, strict=True)
+    )
+    mapped = df.toDF(*plain).mapInArrow(run, f"{kept}, {added}")
+    return mapped.toDF(*df.columns, *mapped.columns[len(plain) :])
+
+
 def whole_groups(batches: Iterator[pa.RecordBatch], column: str, least: int = 20_000):
     """Tables of about ``least`` rows that hold whole groups, from batches sorted by
     ``column`` (equal values side by side)."""

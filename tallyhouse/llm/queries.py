@@ -5,7 +5,21 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyhouse.llm import bpe, chat, embeddings, fingerprints, jaccard, langid, lines, packing, quality, substrings
+from tallyhouse.llm import (
+    alignment,
+    bpe,
+    chat,
+    embeddings,
+    fingerprints,
+    html,
+    jaccard,
+    langid,
+    lines,
+    packing,
+    quality,
+    repair,
+    substrings,
+)
 from tallyhouse.llm.common import table, tokenizer
 
 
@@ -204,6 +218,42 @@ def op10_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.digests(docs, tokenizer("byte_bpe_50k.json"))
 
 
+def damaged(turns: DataFrame) -> DataFrame:
+    """Turns with planted faults, and how often each stands in its place: by the checksum of conversation and
+    turn modulo 20 a row is dropped, emptied, loses its ends of sentences, is repeated or becomes the user's."""
+    shown = [F.coalesce(F.col(c).cast("string"), F.lit(" ")) for c in ("conv_id", "turn")]
+    fault = F.crc32(F.concat(shown[0], F.lit(":"), shown[1])) % 20
+    text, role = F.coalesce("text", F.lit(" ")), F.coalesce("role", F.lit(" "))
+    return turns.select(
+        "conv_id",
+        "turn",
+        F.when(fault == 4, "user").otherwise(role).alias("role"),
+        F.when(fault == 1, "").when(fault == 2, F.translate(text, ".!?", "")).otherwise(text).alias("text"),
+        F.when(fault == 0, 0).when(fault == 3, 2).otherwise(1).alias("copies"),
+    )
+
+
+def op11_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repair.repair(damaged(table(spark, sf_dir, "conversations")), copies="copies")
+
+
+def op12_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = alignment.linked(
+        table(spark, sf_dir, "documents"),
+        tokenizer("byte_bpe_50k.json"),
+        tokenizer("piece_bpe_32k.model"),
+        hashed=True,
+    )
+    return found.withColumnRenamed("groups", "groups_sha256")
+
+
+def op13_html(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = table(spark, sf_dir, "pages")
+    return html.extract(pages, html.train(pages)).select(
+        "page_id", "url", "text", F.length("text").cast("long").alias("n_chars")
+    )
+
+
 QUERIES = {
     "op1_quality": op1_quality,
     "op2_packing": op2_packing,
@@ -215,6 +265,9 @@ QUERIES = {
     "op8_lines": op8_lines,
     "op9_fingerprints": op9_fingerprints,
     "op10_bpe": op10_bpe,
+    "op11_repair": op11_repair,
+    "op12_alignment": op12_alignment,
+    "op13_html": op13_html,
 }
 
 ORACLE = {"op5_chat": OP5_SQL}
