@@ -186,17 +186,14 @@ def _joined_groups(a_ids, b_ids, groups, a_first, b_first) -> list[str]:
     low, high, b_low, b_high = groups
     of_a = np.repeat(np.arange(len(low)), high - low)
     of_b = np.repeat(np.arange(len(low)), b_high - b_low)
-    parts = np.empty(len(a_ids) + len(b_ids), object)
-    signs = np.empty(len(parts), object)
     a_at = np.arange(len(a_ids)) + b_low[of_a]
     b_at = np.arange(len(b_ids)) + high[of_b]
     top = int(max(a_ids.max(initial=0), b_ids.max(initial=0))) + 1
-    numbers = np.array([str(i) for i in range(top)], object)
-    parts[a_at], parts[b_at] = numbers[a_ids], numbers[b_ids]
-    signs[:] = ","
-    signs[a_at[high - 1]] = "|"
-    signs[b_at[b_high - 1]] = ";"
-    whole = parts + signs
+    # texts of the ids with each sign behind them, shared by all of their places
+    comma, bar, end = (np.array([f"{i}{sign}" for i in range(top)], object) for sign in ",|;")
+    whole = np.empty(len(a_ids) + len(b_ids), object)
+    whole[a_at], whole[b_at] = comma[a_ids], comma[b_ids]
+    whole[a_at[high - 1]], whole[b_at[b_high - 1]] = bar[a_ids[high - 1]], end[b_ids[b_high - 1]]
     bounds = (a_first + b_first).tolist()
     return ["".join(whole[s:e])[:-1] for s, e in zip(bounds[:-1], bounds[1:], strict=True)]
 
