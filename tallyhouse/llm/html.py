@@ -598,10 +598,15 @@ def train(
     pages: DataFrame, *, train_pages: int = TRAIN_PAGES, train_chars: int = TRAIN_CHARS, train_nodes: int = TRAIN_NODES
 ) -> Boosted:
     """Fit on the pages of the least hashes; tasks make the features, and a bounded sample of them comes here."""
-    mixed = F.xxhash64("html")
+    usable = pages.where(F.length("html").between(1, train_chars)).select(
+        F.xxhash64("html").alias("mixed"), "html"
+    )
+    # only hashes are shuffled to find the sample, however often one page is repeated
+    least = usable.groupBy("mixed").agg(F.count(F.lit(1))).orderBy("mixed").limit(train_pages)
+    hashes = [r.mixed for r in least.collect()]
     sample = (
-        pages.where(F.length("html").between(1, train_chars))
-        .groupBy(mixed.alias("mixed"))
+        usable.where(F.col("mixed").isin(hashes))
+        .groupBy("mixed")
         .agg(F.min("html").alias("html"))
         .orderBy("mixed")
         .limit(train_pages)
