@@ -2,7 +2,14 @@
 
 The price in effect is the version whose ``[start, end)`` holds the row's time.
 A plain key join would test every version of a key against every row of that key.
-Here both sides also share a calendar bucket. A version stands in the bucket of its start;
+
+By default the versions of a key are packed: sorted arrays of ``CHUNK`` versions, and at most ``CHUNK`` of these in
+one row. Rows meet that one row by an equi join on the key (its next one where a key has more versions
+than fit) and search the two arrays, so a row is compared with 2 * ``CHUNK`` starts at most. The rows are read once and the
+packed side follows from the versions alone: whatever their dates, nothing is repeated. Spark broadcasts a small
+history and splits a hot key over many tasks.
+
+With a ``bucket`` both sides also share a calendar bucket. A version stands in the bucket of its start;
 each (key, bucket) that occurs among the rows also gets the one version that was in effect
 when the bucket began. So the right side has as many rows as there are versions and
 occurring buckets, however long a version holds, and a row meets only the versions of its
@@ -22,6 +29,7 @@ from tallyhouse.operators.joins import common_type, join_by_key
 from tallyhouse.operators.scd import scd2_intervals
 
 _START, _END, _BUCKET = "_start", "_end", "_bucket"
+CHUNK = 64
 
 
 def _bucket_of(time: Column, width: str) -> Column:
@@ -66,6 +74,48 @@ def versions_by_bucket(rows: DataFrame, versions: DataFrame, on: str, bucket: st
     )
 
 
+def packed_versions(versions: DataFrame, chunk: int = CHUNK) -> DataFrame:
+    """Versions (_key, _start, ...) as rows (_key, _since, _until, _chunks): ``_chunks`` holds at most ``chunk`` structs of a
+    first start and the versions from it on, at most ``chunk`` too, all in the order of their starts."""
+    in_order = Window.partitionBy("_key").orderBy(_START)
+    carried = [F.col(f"`{name}`") for name in versions.columns if name not in ("_key", _START)]
+    place = F.col("_place")
+    chunks = (
+        versions.withColumn("_place", F.row_number().over(in_order) - 1)
+        .groupBy("_key", F.floor(place / chunk**2).alias("_row"), F.floor(place / chunk).alias("_chunk"))
+        .agg(F.sort_array(F.collect_list(F.struct(place, _START, *carried))).alias("_versions"))
+    )
+    packed = chunks.groupBy("_key", "_row").agg(
+        F.sort_array(
+            F.collect_list(F.struct("_chunk", F.col("_versions")[0][_START].alias("_since"), "_versions"))
+        ).alias("_chunks")
+    )
+    since = F.col("_chunks")[0]["_since"]
+    return packed.select(
+        "_key",
+        since.alias("_since"),
+        F.lead(since).over(Window.partitionBy("_key").orderBy("_row")).alias("_until"),
+        "_chunks",
+    )
+
+
+def _latest(items: Column, start: str) -> Column:
+    """Last item of a sorted array that started by the row's time, NULL if none did."""
+    begun = F.filter(items, lambda item: item[start] <= F.col("_at"))
+    return F.try_element_at(begun, F.lit(-1))
+
+
+def _in_force(rows: DataFrame, versions: DataFrame, on: str) -> DataFrame:
+    """``rows``, which have ``_at``, with the version that holds then as ``_version`` (NULL: none)."""
+    within = (F.col("_since") <= F.col("_at")) & (
+        F.col("_until").isNull() | (F.col("_at") < F.col("_until"))
+    )
+    met = join_by_key(rows, packed_versions(versions), {on: "_key"}, "left", within)
+    found = met.withColumn("_version", _latest(_latest(F.col("_chunks"), "_since")["_versions"], _START))
+    holds = F.col(f"_version.{_END}").isNull() | (F.col("_at") < F.col(f"_version.{_END}"))
+    return found.withColumn("_version", F.when(holds, F.col("_version")))
+
+
 def validity_join(
     left: DataFrame,
     intervals: DataFrame,
@@ -74,13 +124,14 @@ def validity_join(
     start: str = "effective_start_date",
     end: str = "effective_end_date",
     how: str = "inner",
-    bucket: str = "month",
+    bucket: str | None = None,
 ) -> DataFrame:
     """Join each left row to the interval row of its key that holds at time ``at``:
     ``start <= at AND (end IS NULL OR at < end)``. Intervals of a key must not overlap,
     as those of ``scd2_intervals`` don't.
 
-    ``how`` is ``inner``, ``left`` (unmatched rows get NULLs) or ``left_anti``.
+    ``how`` is ``inner``, ``left`` (unmatched rows get NULLs) or ``left_anti``. With ``bucket`` (``day``,
+    ``month`` or ``year``) versions are looked up by calendar bucket; rows are then read twice.
     """
     if how not in ("inner", "left", "left_anti"):
         raise ValueError(f"unsupported join type: {how}")
@@ -93,6 +144,17 @@ def validity_join(
     ).select(
         F.col(on).alias("_key"), F.col(start).alias(_START), F.col(end).alias(_END), *carried
     )
+    if bucket is None:
+        known = _in_force(left.withColumn("_at", at), versions, on)
+        if how == "left_anti":
+            return known.where(F.col("_version").isNull()).select(*left.columns)
+        known = known.where(F.col("_version").isNotNull()) if how == "inner" else known
+        return known.select(
+            *left.columns,
+            *[F.col(f"_version.`{name}`").alias(name) for name in carried],
+            F.col(f"_version.{_START}").alias(start),
+            F.col(f"_version.{_END}").alias(end),
+        )
     rows = left.withColumns({"_at": at, _BUCKET: _bucket_of(at, bucket)})
     holds = (F.col(_START) <= F.col("_at")) & (
         F.col(_END).isNull() | (F.col("_at") < F.col(_END))
@@ -115,12 +177,11 @@ def asof_join(
     how: str = "inner",
     strategy: str = "interval",
     key: Sequence[str] | None = None,
-    bucket: str = "month",
+    bucket: str | None = None,
 ) -> DataFrame:
     """Latest right row with ``right_time <= left_time`` per key (inclusive).
 
-    ``interval`` turns the right side into validity intervals, looked up by calendar
-    bucket. ``points`` resolves each distinct (key, left_time) once and joins
+    ``interval`` turns the right side into validity intervals. ``points`` resolves each distinct (key, left_time) once and joins
     the answer back; it pays off when many rows share a key and a day.
 
     ``how`` is ``inner`` (rows without an earlier right row disappear), ``left``

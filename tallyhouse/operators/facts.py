@@ -15,6 +15,7 @@ from tallyhouse.functions.codes import standardise_ids, txn_key
 from tallyhouse.functions.dates import audit_time
 from tallyhouse.functions.fixed_values import DEFAULT_CURRENCY, MISSING_PRICE
 from tallyhouse.operators.asof import asof_join, one_match_per_key
+from tallyhouse.operators.joins import join_by_key
 from tallyhouse.operators.quality import (
     DATE_FLAG,
     ERROR,
@@ -55,6 +56,12 @@ class FactLoad:
     def fact(self) -> DataFrame:
         return self._measure(self._price(self._valid, "inner"))
 
+    @cached_property
+    def lines(self) -> DataFrame:
+        """The transactions that have a fact row, without its price: valid, and with a price at or before
+        the invoice day. Each key's first price decides that."""
+        return self._price(self._valid, "left_semi")
+
     @cached_property
     def errors(self) -> DataFrame:
         return error_rows(self._tagged.filter(F.col(ERROR).isNotNull()), self._as_of)
@@ -91,6 +98,17 @@ def _priced(
     return asof_join(rows, prices, "stock_code", day, "price_date", how, **options)
 
 
+def _with_price(rows: DataFrame, products: DataFrame) -> DataFrame:
+    """Rows whose product has a price at or before their day."""
+    first = (
+        standardise_ids(products.select("stock_code", "price_date"), ["stock_code"])
+        .groupBy("stock_code")
+        .agg(F.min("price_date").alias("_first_price"))
+    )
+    begun = F.col("_first_price") <= F.to_date("invoice_date")
+    return join_by_key(rows, first, ["stock_code"], "left_semi", begun)
+
+
 def _measures(
     priced: DataFrame,
     as_of: dt.datetime | Column | None,
@@ -134,6 +152,8 @@ def build_fact(
     rules = [date_rule(), country_rule(countries)] if rules is None else rules
 
     def price(rows: DataFrame, how: str) -> DataFrame:
+        if how == "left_semi":
+            return _with_price(rows, products)
         priced = _priced(rows, products, how, **asof_options)
         if collapse_on and how == "inner":
             return one_match_per_key(priced, collapse_on, "price_date")

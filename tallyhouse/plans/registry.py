@@ -580,13 +580,13 @@ def top20_quantity(spark, sf_dir):
 
 @query
 def top20_revenue(spark, sf_dir):
-    products = samples.price_history(spark, sf_dir)
-    return reports.top_products(_fact(spark, sf_dir).fact, products, "revenue")
+    priced = _tagged(spark, sf_dir).filter(F.col(quality.ERROR).isNull())
+    return reports.top_products(priced, measure="revenue")
 
 
 @query
 def order_frequency(spark, sf_dir):
-    return reports.order_frequency(_fact(spark, sf_dir).fact, bucket=2)
+    return reports.order_frequency(_fact(spark, sf_dir).lines, bucket=2)
 
 
 @query

@@ -52,23 +52,27 @@ def sales_by_region(fact: DataFrame, level: str = "region_code") -> DataFrame:
 
 
 def top_products(
-    fact: DataFrame, products: DataFrame, measure: str = "quantity", n: int = 20
+    fact: DataFrame, products: DataFrame | None = None, measure: str = "quantity", n: int = 20
 ) -> DataFrame:
     """The ``n`` best products by ``quantity`` or ``revenue``; ties by stock code.
 
     The fact names price versions; ``products`` gives the product of each. Lines are summed per
-    version first, so only versions meet the dimension.
+    version first, so only versions meet the dimension. A fact that still has its ``stock_code``, as
+    ``facts.tag_fact`` gives it, needs no dimension.
     """
     name, column = {
         "quantity": ("total_quantity", F.col("quantity")),
         "revenue": ("revenue", F.col("total_amount").cast("decimal(18,2)")),
     }[measure]
-    versions = fact.groupBy("product_id").agg(F.sum(column).alias("_sum"))
-    product_of = products.select("product_id", "stock_code").distinct()
+    if products is None:
+        summed = fact.select("stock_code", column.alias("_sum"))
+    else:
+        versions = fact.groupBy("product_id").agg(F.sum(column).alias("_sum"))
+        product_of = products.select("product_id", "stock_code").distinct()
+        summed = versions.join(product_of, "product_id")
     total = F.sum("_sum").cast("bigint" if measure == "quantity" else "double")
     return (
-        versions.join(product_of, "product_id")
-        .groupBy("stock_code")
+        summed.groupBy("stock_code")
         .agg(total.alias(name))
         .orderBy(F.desc(name), F.asc("stock_code"))
         .limit(n)
