@@ -50,17 +50,71 @@ def _in_the_middle() -> Column:
     return ((before < low) & (low <= upto)) | ((before < high) & (high <= upto))
 
 
+def value_counts(df: DataFrame, group: str = "stock_code", value: str = "quantity") -> DataFrame:
+    """How often each value stands in each group: the state from which baselines are made. It can be stored and
+    added to, so that a new day never reads the days before it."""
+    return df.groupBy(group, value).agg(F.count(value).alias("_count"))
+
+
+def merge_counts(
+    state: DataFrame, change: DataFrame, sign: int = 1, group: str = "stock_code", value: str = "quantity"
+) -> DataFrame:
+    """``state`` with the counts of ``change`` added, or taken away (``sign=-1``: cases that were opened;
+    when they are resolved, add them). Values that are used up go; a group that lost all of them
+    goes with them."""
+    moved = change.withColumn("_count", F.col("_count") * sign)
+    summed = state.unionByName(moved).groupBy(group, value).agg(F.sum("_count").alias("_count"))
+    return summed.where((F.col("_count") != 0) | F.col(value).isNull())
+
+
+def period_sketches(
+    df: DataFrame, group: str = "stock_code", value: str = "quantity", time: str = "invoice_date",
+    grain: str = "month",
+) -> DataFrame:
+    """One quantile sketch (KLL) of the values per group and period; sketches of other days or drops can be
+    merged in. A sketch of up to 200 values is exact, beyond that a rank is off by about 1.3 %."""
+    period = F.trunc(F.to_date(time), grain).alias("period")
+    return (
+        df.where(F.col(value).isNotNull() & F.col(time).isNotNull())
+        .groupBy(group, period)
+        .agg(F.kll_sketch_agg_bigint(F.col(value).cast("bigint")).alias("sketch"))
+    )
+
+
+def sliding_medians(sketches: DataFrame, periods: int, group: str = "stock_code") -> DataFrame:
+    """Median of each group over the ``periods`` months up to each month for which one of them has values. Each sketch goes to the
+    ``periods`` months it counts for, and is merged there: no value is read again."""
+    ahead = F.explode(F.sequence(F.lit(0), F.lit(periods - 1))).alias("_ahead")
+    merged = (
+        sketches.select(group, "period", "sketch", ahead)
+        .groupBy(group, F.add_months("period", F.col("_ahead")).alias("period"))
+        .agg(F.kll_merge_agg_bigint("sketch").alias("sketch"))
+    )
+    return merged.select(
+        group,
+        "period",
+        F.kll_sketch_get_quantile_bigint("sketch", F.lit(0.5)).alias("median_qty"),
+        F.kll_sketch_get_n_bigint("sketch").alias("n_lines"),
+    )
+
+
 def _counted_baseline(df: DataFrame, group: str, value: str) -> DataFrame:
     """Baseline from the count of each distinct value.
 
     Counting is combined map-side and spread by (group, value), so the window
     below sees the distinct values of a group, not its rows.
     """
+    return counts_baseline(value_counts(df, group, value), group, value)
+
+
+def counts_baseline(
+    counts: DataFrame, group: str = "stock_code", value: str = "quantity"
+) -> DataFrame:
+    """Exact baseline from :func:`value_counts`."""
     v = F.col(value).cast("double")
     # One ordering for all sums, so that a partition is sorted once.
     ordered = Window.partitionBy(group).orderBy(value)
     whole = ordered.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
-    counts = df.groupBy(group, value).agg(F.count(value).alias("_count"))
     placed = counts.select(
         group,
         v.alias("_v"),

@@ -210,11 +210,41 @@ def _tag_priced(
     )
 
 
-def with_line_number(tx: DataFrame) -> DataFrame:
+def line_hash() -> Column:
+    """Hash of the columns that make two lines equal; equal lines share it."""
+    return F.xxhash64(*UNIQUE_COLUMNS[:-1])
+
+
+def with_line_number(tx: DataFrame, before: DataFrame | None = None) -> DataFrame:
     """Add ``line_no``: equal lines of an invoice are counted, so that a key over
-    ``UNIQUE_COLUMNS`` keeps each of them, and gives it the same key in every run."""
-    same = Window.partitionBy(*UNIQUE_COLUMNS[:-1]).orderBy(F.lit(0))
-    return tx.withColumn("line_no", F.row_number().over(same))
+    ``UNIQUE_COLUMNS`` keeps each of them, and gives it the same key in every run.
+
+    Only hashes are counted over all lines. Lines whose hash stands once are done; the others are grouped into
+    distinct rows with a count, so that a line that repeats a million times is one row until it is numbered.
+    ``before`` (_line, n): how many equal lines earlier loads have numbered, by :func:`line_hash`.
+    """
+    lines = tx.withColumn("_line", line_hash())
+    repeated = lines.groupBy("_line").agg(F.count(F.lit(1)).alias("_n")).where("_n > 1").select("_line")
+    once = join_by_key(lines, repeated, ["_line"], "left_anti").withColumn("line_no", F.lit(1))
+    rest = sorted(set(tx.columns) - set(UNIQUE_COLUMNS))
+    in_order = Window.partitionBy(*UNIQUE_COLUMNS[:-1]).orderBy(*rest)
+    upto = F.sum("_n").over(in_order.rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    numbers = F.sequence(F.col("_upto") - F.col("_n") + 1, F.col("_upto"))
+    again = (
+        join_by_key(lines, repeated, ["_line"], "left_semi")
+        .groupBy(*lines.columns)
+        .agg(F.count(F.lit(1)).alias("_n"))
+        .withColumn("_upto", upto)
+        .select(*lines.columns, F.explode(numbers).alias("line_no"))
+        .withColumn("line_no", F.col("line_no").cast("int"))
+    )
+    numbered = once.unionByName(again)
+    if before is not None:
+        held = before.select("_line", F.col("n").alias("_held"))
+        numbered = join_by_key(numbered, held, ["_line"], "left").withColumn(
+            "line_no", F.col("line_no") + F.coalesce("_held", F.lit(0)).cast("int")
+        )
+    return numbered.select(*tx.columns, "line_no")
 
 
 def tag_recover(
@@ -234,6 +264,8 @@ def tag_recover(
     rules = [date_rule(), country_rule(countries)] if rules is None else rules
     retries = F.coalesce(F.col("retry_count"), F.lit(0)) + 1
     again = errors.withColumn("retry_count", retries).withColumnRenamed(ERROR, "_old_error")
+    wanted = standardise_ids(errors.select("stock_code"), ["stock_code"]).distinct()
+    products = join_by_key(products, wanted, ["stock_code"], "left_semi")
     return _tag_priced(
         tag_errors(again, rules), products, as_of, currency, key_style, key_columns,
         ["retry_count"], **asof_options,

@@ -8,6 +8,7 @@ from __future__ import annotations
 import datetime as dt
 from collections.abc import Callable, Sequence
 from dataclasses import dataclass
+from functools import reduce
 from typing import NamedTuple
 
 from pyspark.sql import Column, DataFrame
@@ -19,6 +20,7 @@ from tallyhouse.functions.dates import audit_time
 from tallyhouse.functions.fixed_values import (
     INVALID_DATE,
     MISSING_COUNTRY,
+    MISSING_PRICE,
     MISSING_PRODUCT,
     SENTINEL_DATE,
 )
@@ -161,3 +163,34 @@ def replayed(payloads: DataFrame) -> DataFrame:
         F.col("attempts").alias("retry_count"),
         "ingestion_timestamp",
     )
+
+
+class Fixable(NamedTuple):
+    fixable: DataFrame
+    waiting: DataFrame
+
+
+def split_fixable(
+    errors: DataFrame, new_countries: DataFrame | None, new_prices: DataFrame | None
+) -> Fixable:
+    """Quarantined lines that what has arrived since can have mended, and those that still wait.
+
+    A line without its country is worth another look if that country is among ``new_countries``, one without a
+    price if ``new_prices`` has one for its product from its day or before. Lines with another message have to be
+    corrected themselves and wait. A line whose first fault was mended may then show its next one, so a line that waits
+    for a price is looked at again when its country comes.
+    """
+    tagged, tests = errors, []
+    if new_countries is not None:
+        keys = distinct_keys(new_countries, "country_id").withColumn("_arrived", F.lit(True))
+        tagged = join_by_key(tagged, keys, ["country_id"], "left")
+        tests.append((F.col(ERROR) == MISSING_COUNTRY) & F.col("_arrived").isNotNull())
+    if new_prices is not None:
+        first = new_prices.groupBy("stock_code").agg(F.min("price_date").alias("_since"))
+        tagged = join_by_key(tagged, first, ["stock_code"], "left")
+        tests.append((F.col(ERROR) == MISSING_PRICE) & (F.col("_since") <= F.to_date("invoice_date")))
+    known = reduce(Column.__or__, [F.coalesce(test, F.lit(False)) for test in tests], F.lit(False))
+    tagged = tagged.withColumn("_known", known)
+    return Fixable(
+        tagged.where("_known").select(*errors.columns), tagged.where("NOT _known").select(*errors.columns)
+    )

@@ -130,9 +130,16 @@ def scd2_merge(
     A late version can make its successor redundant, so all versions of a key are
     ordered by time again and only real changes stay. A batch row replaces a
     history row of the same key and day. Running it twice changes nothing.
+
+    Only keys of the batch are sorted. The history is split by them, and with as few of them as Spark broadcasts (it
+    measures them) the versions of all other keys pass without a shuffle.
     """
     columns = [name for name in history.columns if name != version_id]
     usable = batch.filter(F.col(value).isNotNull() & F.col(time).isNotNull())
+    touched = usable.select(F.col(key).alias("_touched")).distinct()
+    same_key = F.col(key).eqNullSafe(F.col("_touched"))
+    others = history.join(touched, same_key, "left_anti").select(*columns)
+    history = history.join(touched, same_key, "left_semi")
     rows = history.select(*columns, F.lit(0).alias("_source")).unionByName(
         usable.select(*columns, F.lit(1).alias("_source"))
     )
@@ -143,7 +150,7 @@ def scd2_merge(
     same = F.col(value).eqNullSafe(F.lag(value).over(by))
     changed = (F.row_number().over(by) == 1) | ~same
     kept = per_day.withColumn("_keep", changed).filter("_keep").select(*columns)
-    return _with_version_id(kept, key, time, version_id)
+    return _with_version_id(kept.unionByName(others), key, time, version_id)
 
 
 def scd2_intervals(

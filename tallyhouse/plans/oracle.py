@@ -381,6 +381,19 @@ _oracle("recover_twice", ("priced",), f"""
     FROM (SELECT *, row_number() OVER (PARTITION BY invoice_no, invoice_date, stock_code,
                         customer_id, quantity, country_id, region_code) AS line_no
           FROM priced)""")
+_oracle("fact_two_drops", ("log_tagged", "prices", "known"), f"""
+    SELECT sha256(concat_ws('-', invoice_no, invoice_date, r.stock_code, customer_id, quantity,
+                            country_id, region_code, line_no)) AS transaction_id,
+           invoice_no, product_id, country_id, region_code, customer_id, quantity,
+           unit_price, quantity * unit_price AS total_amount, '$' AS currency,
+           invoice_date, {AUDIT} AS ingestion_timestamp
+    FROM (SELECT *, row_number() OVER (PARTITION BY invoice_no, invoice_date, stock_code,
+                        customer_id, quantity, country_id, region_code) AS line_no
+          FROM (SELECT * FROM log_tagged WHERE length(value) % 3 < 2
+                UNION ALL SELECT * FROM log_tagged WHERE length(value) % 3 > 0)
+          WHERE reject_reason IS NULL) r
+    ASOF JOIN prices p ON r.stock_code = p.stock_code AND CAST(invoice_date AS DATE) >= p.price_date
+    WHERE NOT is_date_error AND country_id IN (SELECT country_id FROM known)""")
 RECOVERED = f"""
     SELECT concat_ws('-', invoice_no, invoice_date) AS transaction_id,
            invoice_no, product_id, country_id, region_code, customer_id, quantity,
@@ -426,6 +439,21 @@ _oracle("baseline_refresh", ("tx", "records"), """
                        FROM records WHERE z_score >= 2.05)
       USING (invoice_no, stock_code, quantity)
     GROUP BY stock_code""")
+_oracle("baseline_two_days", ("tx", "records"), """
+    SELECT stock_code, median(quantity) AS median_qty,
+           round(stddev_samp(quantity), 6) AS stddev_qty
+    FROM tx ANTI JOIN (SELECT order_id AS invoice_no, stock_code, quantity
+                       FROM records WHERE z_score >= 2.05)
+      USING (invoice_no, stock_code, quantity)
+    GROUP BY stock_code""")
+_oracle("median_by_period", ("tx",), """
+    SELECT m.stock_code, m.period, CAST(quantile_disc(tx.quantity, 0.5) AS BIGINT) AS median_qty,
+           count(*) AS n_lines
+    FROM (SELECT DISTINCT stock_code, CAST(date_trunc('month', invoice_date) + to_months(CAST(r.range AS INTEGER)) AS DATE)
+            AS period FROM tx, range(3) r) m
+    JOIN tx ON tx.stock_code = m.stock_code AND invoice_date >= m.period - INTERVAL 2 MONTH
+      AND invoice_date < m.period + INTERVAL 1 MONTH
+    GROUP BY ALL""")
 _oracle("baseline_of_ids", (), """
     SELECT event_type, round(median(user_id), 6) AS median_qty,
            round(stddev_samp(user_id), 6) AS stddev_qty
@@ -496,6 +524,9 @@ _oracle("top20_revenue", ("fact", "prices"), f"""
 _oracle("order_frequency", ("fact",), """
     SELECT CAST(floor(n / 2) * 2 AS BIGINT) AS orders_from, count(*) AS n_customers
     FROM (SELECT customer_id, count(DISTINCT invoice_no) AS n FROM fact GROUP BY ALL) GROUP BY 1""")
+_oracle("order_frequency_sketch", ("fact",), """
+    SELECT CAST(floor(n / 2) * 2 AS BIGINT) AS orders_from, count(*) AS n_customers
+    FROM (SELECT customer_id, count(DISTINCT invoice_no) AS n FROM fact GROUP BY ALL) GROUP BY 1""")
 _oracle("cross_border", ("nations",), """
     SELECT CAST(o_custkey AS VARCHAR) AS customer_id, count(DISTINCT country_id) AS n_countries
     FROM lineitem JOIN orders ON l_orderkey = o_orderkey
@@ -520,6 +551,22 @@ _oracle("upsert_catalog", ("batch", "history"), f"""
     UNION ALL
     SELECT * FROM (SELECT * FROM history {NEWEST})
     WHERE stock_code NOT IN (SELECT stock_code FROM batch)""")
+DATED = "CAST(year(price_date) AS INTEGER) AS year, CAST(month(price_date) AS INTEGER) AS month"
+_oracle("upsert_partitioned", ("batch", "history"), f"""
+    SELECT *, {DATED} FROM (
+        SELECT * FROM batch {NEWEST}
+        UNION ALL
+        SELECT * FROM (SELECT * FROM history {NEWEST})
+        WHERE stock_code NOT IN (SELECT stock_code FROM batch))""")
+_oracle("replace_partitioned", ("prices",), f"""
+    SELECT * REPLACE (unit_price * 4 AS unit_price), {DATED}
+    FROM prices WHERE year(price_date) < 2000""")
+_oracle("upsert_null_keys", ("bands",), """
+    SELECT * EXCLUDE (source) FROM (
+        SELECT * REPLACE (CASE WHEN CAST(stock_code AS INTEGER) % 5 > 0 THEN stock_code END AS stock_code)
+        FROM bands)
+    QUALIFY row_number() OVER (
+        PARTITION BY stock_code ORDER BY source DESC, price_date DESC, unit_price DESC, product_id DESC) = 1""")
 _oracle("table_or_default_rows", ("batch", "history"), """
     SELECT *, TRUE AS first_load FROM history UNION ALL SELECT *, FALSE FROM batch""")
 _oracle("written_if_any", ("product_tagged",),
@@ -544,6 +591,18 @@ _oracle("fact_by_month", ("fact",), f"""
     SELECT CAST(year(invoice_date) AS INTEGER) AS year,
            CAST(month(invoice_date) AS INTEGER) AS month, count(*) AS n_lines, {MONEY} AS revenue
     FROM fact GROUP BY ALL""")
+_oracle("expired_snapshots", ("history",), """
+    SELECT DATE '2024-05-24' + CAST(range AS INTEGER) AS snapshot_date,
+           (SELECT count(*) FROM history) AS n_rows FROM range(8)""")
+_oracle("recover_changed", ("priced", "tx", "known"), """
+    SELECT invoice_no, product_id, country_id, 'fixed' AS state FROM priced
+    WHERE country_id NOT IN (SELECT country_id FROM known) AND country_id < '9920'
+    UNION ALL
+    SELECT invoice_no, NULL, country_id, 'waiting' FROM (
+        SELECT tx.invoice_no, tx.country_id, p.product_id FROM tx ASOF LEFT JOIN prices p
+          ON tx.stock_code = p.stock_code AND CAST(tx.invoice_date AS DATE) >= p.price_date)
+    WHERE CASE WHEN country_id IN (SELECT country_id FROM known) THEN product_id IS NULL
+               ELSE country_id >= '9920' END""")
 _oracle("retain_recent", (), """
     SELECT event_id, CAST(ts AS DATE) AS day, event_type FROM events
     WHERE CAST(ts AS DATE) >= DATE '2024-01-18'""")

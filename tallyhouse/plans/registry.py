@@ -32,6 +32,7 @@ from tallyhouse.sinks import files, tables
 from tallyhouse.sources import samples
 from tallyhouse.sources.lines import drop_path, read_drop, read_lines
 from tallyhouse.sources.tables import is_bootstrap, register_views, table_or_default
+from tallyhouse.streaming.facts import load_fact_stream
 from tallyhouse.streaming.ingest import ingest_new, new_rows
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -445,6 +446,28 @@ def replay_payloads(spark, sf_dir):
     return _recovery(spark, sf_dir, quality.replayed(payloads)).fixed
 
 
+@query
+def fact_two_drops(spark, sf_dir):
+    """Two drops of log lines, some of them in both, loaded one after the other; the second batch is
+    loaded once more under its number."""
+    root = _scratch(spark, "increments")
+    database = f"tally_{uuid.uuid4().hex}"
+    spark.sql(f"CREATE DATABASE {database} LOCATION '{root}/db'")
+    fact, errors = jobs.create_fact_tables(spark, database)
+    third = F.length("value") % 3
+    sides = (
+        samples.price_history(spark, sf_dir), samples.known_countries(spark, sf_dir), fact, errors,
+        f"{root}/store", samples.audit_literal(),
+    )
+    lines = samples.log_lines(spark, sf_dir)
+    for day, drop in (("2024-05-31", lines.where(third < 2)), ("2024-06-01", lines.where(third > 0))):
+        files.write_lines(drop, drop_path(root, "logs", day))
+        load_fact_stream(spark, f"{root}/logs/*", *sides)
+    again = parse.parse_transactions(lines.where(third > 0), samples.audit_literal()).rows
+    jobs.load_fact_increment(again, 1, *sides)
+    return spark.table(fact).select(*schemas.FACT_TRANSACTIONS.names)
+
+
 # --- anomalies -----------------------------------------------------------------
 
 
@@ -511,6 +534,32 @@ def baseline_refresh(spark, sf_dir):
     return _rounded(anomaly.refresh_baseline(tx, reviewed), "stddev_qty")
 
 
+@query
+def baseline_two_days(spark, sf_dir):
+    """Baselines from stored counts: the orders of one half of the year, then those of the other added without
+    reading the first again, less the cases that are still open."""
+    tx = samples.transactions(spark, sf_dir)
+    early = F.month("invoice_date") <= 6
+    path = _scratch(spark, "counts")
+    anomaly.value_counts(tx.where(early)).write.parquet(path)
+    stored = spark.read.parquet(path)
+    state = anomaly.merge_counts(stored, anomaly.value_counts(tx.where(~early)))
+    records = anomaly.anomaly_records(_flagged(spark, sf_dir), samples.audit_literal())
+    still_open = tx.join(
+        records.where("z_score >= 2.05").select(F.col("order_id").alias("invoice_no"), "stock_code", "quantity").distinct(),
+        ["invoice_no", "stock_code", "quantity"], "left_semi",
+    )
+    state = anomaly.merge_counts(state, anomaly.value_counts(still_open), sign=-1)
+    return _rounded(anomaly.counts_baseline(state), "stddev_qty")
+
+
+@query
+def median_by_period(spark, sf_dir):
+    """Median quantity of a product in the three months up to each month, from one sketch per month."""
+    sketches = anomaly.period_sketches(samples.transactions(spark, sf_dir))
+    return anomaly.sliding_medians(sketches, periods=3)
+
+
 @query
 def anomalies_second_run(spark, sf_dir):
     """Records after a second run: statuses stay, open cases stay out of the baseline."""
@@ -589,6 +638,13 @@ def order_frequency(spark, sf_dir):
     return reports.order_frequency(_fact(spark, sf_dir).lines, bucket=2)
 
 
+@query
+def order_frequency_sketch(spark, sf_dir):
+    """The same histogram from sketches of a customer's orders per month, merged."""
+    sketches = reports.order_sketches(_fact(spark, sf_dir).lines)
+    return reports.order_frequency_of(sketches, bucket=2)
+
+
 @query
 def cross_border(spark, sf_dir):
     return reports.cross_border(samples.supplier_sales(spark, sf_dir))
@@ -705,6 +761,55 @@ def upsert_catalog(spark, sf_dir):
     return spark.table(table)
 
 
+def _dated_table(spark, sf_dir, rows):
+    """A catalog table partitioned by year and month of the price date, with ``rows``."""
+    database = f"tally_{uuid.uuid4().hex}"
+    spark.sql(f"CREATE DATABASE {database} LOCATION '{_scratch(spark, database)}'")
+    tables.create_table(spark, f"{database}.t", _dated(rows).schema, ["year", "month"])
+    tables.append(_dated(rows), f"{database}.t")
+    return f"{database}.t"
+
+
+def _dated(rows):
+    return rows.withColumns({"year": F.year("price_date"), "month": F.month("price_date")})
+
+
+@query
+def upsert_partitioned(spark, sf_dir):
+    """Current prices in month partitions, those of the batch upserted twice: a product moves
+    to the month of its new price, and months without one keep their files."""
+    batch, history = _bands(spark, sf_dir)
+    newest = [F.desc("price_date"), F.desc("unit_price")]
+    table = _dated_table(spark, sf_dir, latest_per_key(history, ["stock_code"], newest))
+    latest = latest_per_key(batch, ["stock_code"], newest)
+    for _ in range(2):
+        tables.upsert_table(_dated(latest), table, ["stock_code"])
+    return spark.table(table)
+
+
+@query
+def replace_partitioned(spark, sf_dir):
+    """A partitioned table replaced twice by rows that are read from it; its last months go."""
+    table = _dated_table(spark, sf_dir, samples.price_history(spark, sf_dir))
+    for year in (2001, 2000):
+        kept = spark.table(table).where(F.col("year") < year)
+        tables.replace_table(kept.withColumn("unit_price", F.col("unit_price") * 2), table)
+    return spark.table(table)
+
+
+@query
+def upsert_null_keys(spark, sf_dir):
+    """Current prices with a NULL key for some products, upserted twice by the batch."""
+    batch, history = _bands(spark, sf_dir)
+    newest = [F.desc("price_date"), F.desc("unit_price"), F.desc("product_id")]
+    key = F.when(F.pmod(F.col("stock_code").cast("int"), F.lit(5)) > 0, F.col("stock_code"))
+    current, found = (rows.withColumn("stock_code", key) for rows in (history, batch))
+    current = latest_per_key(current, ["stock_code"], newest)
+    for _ in range(2):
+        current = upsert(current, found, ["stock_code"], newest)
+    return current
+
+
 @query
 def table_or_default_rows(spark, sf_dir):
     """The default while the table is empty, and its rows once it has some."""
@@ -786,6 +891,31 @@ def fact_by_month(spark, sf_dir):
     )
 
 
+@query
+def expired_snapshots(spark, sf_dir):
+    """Daily snapshots of twelve days after the job that deletes all but the last seven days."""
+    path = _scratch(spark, "retention")
+    history = _bands(spark, sf_dir)[1]
+    for day in range(20, 32):
+        files.snapshot(history, path, f"2024-05-{day}")
+    files.expire_snapshots(spark, path, "2024-05-31")
+    return spark.read.parquet(path).groupBy("snapshot_date").agg(F.count(F.lit(1)).alias("n_rows"))
+
+
+@query
+def recover_changed(spark, sf_dir):
+    """Of the quarantine only the lines that the countries which arrived since can have mended."""
+    errors = _quarantine(_tagged(spark, sf_dir))
+    known = samples.known_countries(spark, sf_dir)
+    arrived = samples.countries(spark, sf_dir).join(known, "country_id", "left_anti")
+    split = quality.split_fixable(errors, arrived.where("country_id < '9920'"), None)
+    fixed = _recovery(spark, sf_dir, split.fixable).fixed
+    return fixed.select("invoice_no", "product_id", "country_id", F.lit("fixed").alias("state")).unionByName(
+        split.waiting.select("invoice_no", F.lit(None).cast("string").alias("product_id"), "country_id",
+                             F.lit("waiting").alias("state"))
+    )
+
+
 @query
 def retain_recent(spark, sf_dir):
     """Events of the seven days before 2024-01-25, and later ones."""

@@ -89,6 +89,23 @@ def order_frequency(fact: DataFrame, bucket: int = 1) -> DataFrame:
     )
 
 
+def order_sketches(fact: DataFrame, grain: str = "month") -> DataFrame:
+    """One sketch (HLL) of a customer's orders per period. It can be stored; a later period only adds its own."""
+    return (
+        _with_period(fact, "invoice_date", grain)
+        .groupBy("customer_id", "period")
+        .agg(F.hll_sketch_agg("invoice_no", 12).alias("orders"))
+    )
+
+
+def order_frequency_of(sketches: DataFrame, bucket: int = 1) -> DataFrame:
+    """:func:`order_frequency` from sketches of any periods. Counts of a few dozen orders are exact, large ones
+    are off by about 1.6 %."""
+    merged = sketches.groupBy("customer_id").agg(F.hll_union_agg("orders").alias("orders"))
+    low = F.floor(F.hll_sketch_estimate("orders") / bucket) * bucket
+    return merged.groupBy(low.cast("long").alias("orders_from")).agg(F.count(F.lit(1)).alias("n_customers"))
+
+
 def cross_border(fact: DataFrame) -> DataFrame:
     """Customers who bought in more than one country."""
     per_customer = fact.groupBy("customer_id").agg(

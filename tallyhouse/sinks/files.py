@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import datetime as dt
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
@@ -65,3 +65,39 @@ def retain_recent(
     today = as_of if isinstance(as_of, Column) else F.lit(str(as_of)).cast("date")
     return df.filter(F.col(day_col) >= F.date_sub(today, days))
 
+
+
+def expire_snapshots(
+    spark: SparkSession, path: str, as_of: dt.date | str, days: int = 7, column: str = "snapshot_date"
+) -> list[str]:
+    """Delete the snapshot folders that are more than ``days`` days old; returns their days.
+
+    A folder is first renamed to a hidden name, one step of the file system after which no reader sees it, and
+    then deleted. A stop between the two leaves a hidden folder, which the next run deletes; a stop
+    anywhere loses no valid day. Only folder names are listed.
+    """
+    last = dt.date.fromisoformat(str(as_of)) - dt.timedelta(days=days)
+    place = spark._jvm.org.apache.hadoop.fs.Path
+    root = place(path)
+    system = root.getFileSystem(spark._jsc.hadoopConfiguration())
+    if not system.exists(root):
+        return []
+    expired = []
+    for status in system.listStatus(root):
+        name = status.getPath().getName()
+        if name.startswith(f"_expired-{column}="):
+            system.delete(status.getPath(), True)
+            continue
+        if not name.startswith(f"{column}="):
+            continue
+        try:
+            day = dt.date.fromisoformat(name.partition("=")[2])
+        except ValueError:  # rows without a day
+            continue
+        if day < last:
+            hidden = place(root, f"_expired-{name}")
+            if not system.rename(status.getPath(), hidden):
+                raise OSError(f"{name} could not be renamed")
+            system.delete(hidden, True)
+            expired.append(day.isoformat())
+    return sorted(expired)

@@ -4,18 +4,25 @@ from __future__ import annotations
 
 import uuid
 from collections.abc import Callable, Sequence
+from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tallyhouse.operators.upsert import upsert
+from tallyhouse.operators.dedup import latest_per_key
+from tallyhouse.operators.upsert import held_partitions, upsert
 
 
-def create_table(spark, table: str, schema: T.StructType) -> None:
-    """Empty Parquet table with ``schema`` unless it exists."""
+def create_table(spark, table: str, schema: T.StructType, partition_by: Sequence[str] = ()) -> None:
+    """Empty Parquet table with ``schema`` unless it exists; the columns of ``partition_by`` come last."""
     if not spark.catalog.tableExists(table):
-        spark.createDataFrame([], schema).write.format("parquet").saveAsTable(table)
+        empty = spark.createDataFrame([], schema).write.format("parquet")
+        (empty.partitionBy(*partition_by) if partition_by else empty).saveAsTable(table)
+
+
+def partition_columns(spark: SparkSession, table: str) -> list[str]:
+    return [column.name for column in spark.catalog.listColumns(table) if column.isPartition]
 
 
 def _in_table_order(df: DataFrame, table: str) -> DataFrame:
@@ -32,6 +39,17 @@ def overwrite(df: DataFrame, table: str) -> None:
     _in_table_order(df, table).write.insertInto(table, overwrite=True)
 
 
+def overwrite_partitions(df: DataFrame, table: str) -> None:
+    """Replace the partitions of ``table`` that ``df`` has rows for; ``df`` must not read ``table``."""
+    spark, mode = df.sparkSession, "spark.sql.sources.partitionOverwriteMode"
+    before = spark.conf.get(mode)
+    spark.conf.set(mode, "dynamic")
+    try:
+        overwrite(df, table)
+    finally:
+        spark.conf.set(mode, before)
+
+
 def _location(spark: SparkSession, table: str) -> str:
     rows = spark.sql(f"DESCRIBE TABLE EXTENDED {table}").where("col_name = 'Location'")
     return rows.first()["data_type"]
@@ -42,29 +60,133 @@ def _delete(spark: SparkSession, path: str) -> None:
     place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)
 
 
+def path_exists(spark: SparkSession, path: str) -> bool:
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return place.getFileSystem(spark._jsc.hadoopConfiguration()).exists(place)
+
+
 def replace_table(df: DataFrame, table: str) -> None:
     """Replace ``table`` by ``df`` even when ``df`` reads it.
 
     The new rows are written beside the old ones and the table is pointed at them in one
-    step of the catalog; then the old files are deleted. Until that step the table is the old
-    one, after it the new one: a stop at any point leaves no more than unused files, and
-    readers always find a table. Nothing passes through the driver.
+    step of the catalog; then the old files are deleted, if as many rows are read back as were written.
+    Until that step the table is the old one, after it the new one: a stop at any point leaves no more than
+    unused files, and readers always find a table. A partitioned table keeps its partitions: its new rows are
+    staged and swapped in, see :func:`finish_swap`. Nothing passes through the driver.
     """
     spark = df.sparkSession
+    parts = partition_columns(spark, table)
+    if parts:
+        finish_swap(spark, table)
+        old = spark.table(table).select(*parts).distinct()
+        _stage_swap(_in_table_order(df, table), table, parts, [row.asDict() for row in old.collect()])
+        finish_swap(spark, table)
+        return
     old = _location(spark, table).rstrip("/")
     fresh = f"{old.partition('__v_')[0]}__v_{uuid.uuid4().hex}"
-    _in_table_order(df, table).write.parquet(fresh)
+    written = Observation()
+    counted = _in_table_order(df, table).observe(written, F.count(F.lit(1)).alias("n"))
+    counted.write.parquet(fresh)
     spark.sql(f"ALTER TABLE {table} SET LOCATION '{fresh}'")
     spark.catalog.refreshTable(table)
+    if spark.table(table).count() != written.get["n"]:
+        raise RuntimeError(f"{table} does not hold what was written; the old files are in {old}")
     _delete(spark, old)
 
 
+def _stage(spark: SparkSession, table: str) -> str:
+    """The folder beside the table in which its next rows wait."""
+    return f"{_location(spark, table).rstrip('/').partition('__v_')[0]}__swap"
+
+
+def _stage_swap(
+    rows: DataFrame, table: str, parts: Sequence[str], touched: Sequence[dict]
+) -> None:
+    """Write all rows of the ``touched`` partitions beside the table, then the list of these that are empty
+    from now on. The list is the last step: with it the swap will be done, without it it never was."""
+    spark = rows.sparkSession
+    stage = _stage(spark, table)
+    gathered = rows.hint("rebalance", *parts)
+    gathered.write.mode("overwrite").partitionBy(*parts).parquet(f"{stage}/rows")
+    filled = spark.read.schema(rows.schema).parquet(f"{stage}/rows").select(*parts).distinct().collect()
+    held = [row.asDict() for row in filled]
+    gone = [p for p in touched if p not in held]
+    schema = rows.select(*parts).schema
+    emptied = spark.createDataFrame([tuple(p[c] for c in parts) for p in gone], schema)
+    emptied.coalesce(1).write.mode("overwrite").parquet(f"{stage}/emptied")
+
+
+def finish_swap(spark: SparkSession, table: str) -> bool:
+    """Do a staged swap of partitions, or the rest of it after a stop; False when there is none.
+
+    Staged partitions replace those of the table one by one (dynamic partition overwrite), those that lost all of
+    their rows are dropped, and the stage is deleted. Doing it again changes nothing, so after a stop anywhere the
+    next call, here or at the next write, completes it. Untouched partitions keep their files.
+    """
+    stage = _stage(spark, table)
+    if not path_exists(spark, f"{stage}/emptied/_SUCCESS"):
+        if path_exists(spark, stage):
+            _delete(spark, stage)
+        return False
+    parts = partition_columns(spark, table)
+    schema = spark.table(table).schema
+    rows = spark.read.schema(schema).parquet(f"{stage}/rows")
+    overwrite_partitions(rows, table)
+    kinds = {f.name: f.dataType for f in schema if f.name in parts}
+    for row in spark.read.schema(T.StructType([schema[c] for c in parts])).parquet(f"{stage}/emptied").collect():
+        spec = ", ".join(f"`{c}` = {_literal(row[c], kinds[c])}" for c in parts)
+        spark.sql(f"ALTER TABLE {table} DROP IF EXISTS PARTITION ({spec})")
+    spark.catalog.refreshTable(table)
+    _delete(spark, stage)
+    return True
+
+
+def _literal(value, kind: T.DataType) -> str:
+    """A partition value as the catalog reads it."""
+    if value is None:
+        return "NULL"
+    if isinstance(kind, (T.NumericType, T.BooleanType)):
+        return str(value)
+    text = str(value).replace("\\", "\\\\").replace("'", "\\'")
+    return f"{'DATE' if isinstance(kind, T.DateType) else ''}'{text}'"
+
+
+def _in_partitions(parts: Sequence[dict]) -> Column:
+    """Whether a row is in one of the partitions, as a test that prunes them."""
+    tests = [
+        reduce(Column.__and__, [F.col(f"`{c}`").eqNullSafe(F.lit(v)) for c, v in p.items()]) for p in parts
+    ]
+    return reduce(Column.__or__, tests, F.lit(False))
+
+
 def upsert_table(df: DataFrame, table: str, keys: Sequence[str]) -> None:
-    """Insert ``df`` into ``table``, replacing rows of the same key; a second run of the
-    same rows changes nothing."""
-    target = df.sparkSession.table(table)
+    """Insert ``df`` into ``table``, replacing rows of the same key (NULLs are equal); a second run of the
+    same rows changes nothing.
+
+    Of a partitioned table only the partitions that hold an updated key, or get one, are read and rewritten.
+    Where a partition column is no key, the keys of the table are read to find them.
+    """
+    spark = df.sparkSession
+    parts = partition_columns(spark, table)
+    target = spark.table(table)
     order = [F.desc(name) for name in sorted(set(target.columns) - set(keys))]
-    replace_table(upsert(target, df, keys, order), table)
+    if not parts:
+        replace_table(upsert(target, df, keys, order), table)
+        return
+    finish_swap(spark, table)
+    target = spark.table(table)
+    # written once: it is read three times, and may read the table
+    path = f"{_stage(spark, table)}/fresh"
+    latest_per_key(df, keys, order).select(*target.columns).write.mode("overwrite").parquet(path)
+    fresh = spark.read.schema(target.schema).parquet(path)
+    touched = fresh.select(*parts).distinct()
+    if not set(parts) <= set(keys):
+        touched = touched.union(held_partitions(target, fresh, keys, parts)).distinct()
+    touched = [row.asDict() for row in touched.collect()]
+    if touched:
+        rows = upsert(target.where(_in_partitions(touched)), fresh, keys, order)
+        _stage_swap(rows, table, parts, touched)
+    finish_swap(spark, table)
 
 
 def write_if_any(df: DataFrame, sink: Callable[[DataFrame], None], stage: str) -> bool:

@@ -5,7 +5,7 @@ import os
 import pytest
 from pyspark.sql import functions as F
 
-from tallyhouse.operators import anomaly, quality
+from tallyhouse.operators import anomaly, quality, scd
 from tallyhouse.operators.asof import asof_join
 from tallyhouse.plans.registry import QUERIES
 
@@ -16,7 +16,9 @@ WRITING = {
     "ingest_twice", "text_round_trip", "outcome_counts", "fact_by_month", "ingest_equal_lines",
     "dated_drop", "catalog_append", "catalog_overwrite", "self_replace", "upsert_catalog",
     "table_or_default_rows", "written_if_any", "snapshot_days", "recover_fixed",
-    "recover_still_broken", "recover_twice", "replay_payloads",
+    "recover_still_broken", "recover_twice", "replay_payloads", "upsert_partitioned",
+    "replace_partitioned", "fact_two_drops", "baseline_two_days", "expired_snapshots",
+    "recover_changed",
 }
 
 
@@ -38,6 +40,35 @@ def test_rank_filter_is_applied_before_the_shuffle(spark):
         assert any("Partial" in line for line in limits) and "Final" in limits[0], name
 
 
+def scans(df, column):
+    """How often a file scan reads ``column``."""
+    return sum("FileScan" in line and column in line for line in plan(df).splitlines())
+
+
+def test_transactions_are_read_once_to_be_priced(spark):
+    # once as transactions and once as the price history
+    assert scans(QUERIES["fact_transactions"](spark, SF_DIR), "l_partkey") == 2
+    assert scans(QUERIES["asof_price"](spark, SF_DIR), "l_partkey") == 2
+    assert "unit_price" not in plan(QUERIES["order_frequency"](spark, SF_DIR))
+
+
+def test_a_merge_shuffles_keys_of_the_batch_only(spark):
+    history = spark.range(100_000).selectExpr(
+        "concat(id, '-1') AS product_id", "cast(id AS string) AS stock_code", "1.0D AS unit_price",
+        "DATE '2024-01-01' AS price_date",
+    )
+    batch = history.where("stock_code IN ('5', '6')").selectExpr(
+        "product_id", "stock_code", "2.0D AS unit_price", "DATE '2024-02-01' AS price_date"
+    )
+    merged = scd.scd2_merge(batch, history)
+    assert merged.count() == 100_002
+    merged.collect()
+    text = plan(merged)
+    passed = text[text.index("Union") :].split("LeftAnti")[0]
+    assert "LeftAnti" in text and "BroadcastHashJoin" in text
+    assert "SortMergeJoin" not in text.split("== Initial Plan ==")[0], passed
+
+
 def test_only_needed_columns_are_read(spark):
     text = plan(QUERIES["cross_border"](spark, SF_DIR))
     assert "l_extendedprice" not in text and "o_totalprice" not in text
