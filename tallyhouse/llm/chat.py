@@ -25,6 +25,7 @@ equal results; null conversations are linked among themselves. Other columns are
 from __future__ import annotations
 
 import json
+import math
 from collections.abc import Iterator, Mapping
 
 import pyarrow as pa
@@ -89,11 +90,11 @@ def faults(value, schema: Mapping, path: str = "$") -> list[str]:
 
 
 def canonical(value) -> str:
-    text = json.dumps(value, sort_keys=True, separators=(",", ":"), ensure_ascii=False)
+    text = json.dumps(value, sort_keys=True, separators=(",", ":"), ensure_ascii=False, allow_nan=False)
     try:
         text.encode()
     except UnicodeEncodeError:  # a lone surrogate is only possible escaped
-        text = json.dumps(value, sort_keys=True, separators=(",", ":"))
+        text = json.dumps(value, sort_keys=True, separators=(",", ":"), allow_nan=False)
     return text
 
 
@@ -116,6 +117,15 @@ def _refuse(constant: str):
     raise ValueError(f"{constant} is not JSON")
 
 
+def _number(text: str) -> float:
+    """A number with a fraction or an exponent, which must be finite. It keeps that kind: 1.0 and 1e0 have one form,
+    the integer 1 has another."""
+    value = float(text)
+    if not math.isfinite(value):
+        raise ValueError(f"{text} is out of range")
+    return value
+
+
 def _format(role, content, calls, call_id, schemas):
     """JSON line, identifiers of the calls, references and faults of one message."""
     line, ids, needs, wrong = {"role": role, "content": content}, [], [], []
@@ -125,7 +135,9 @@ def _format(role, content, calls, call_id, schemas):
         if call is None:
             continue
         try:
-            arguments = json.loads(call["arguments"] or "", parse_constant=_refuse)
+            arguments = json.loads(
+                call["arguments"] or "", parse_constant=_refuse, parse_float=_number
+            )
             needs += _references(arguments)
             if call["name"] in schemas:
                 wrong += faults(arguments, schemas[call["name"]])
