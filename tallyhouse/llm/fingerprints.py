@@ -16,8 +16,11 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from tallyhouse.llm.common import staged
+
 K = 64
 WORDS = 5
+HEAD = 32
 BLANK = r"[ \t\n\x0B\f\r]+"
 
 
@@ -72,45 +75,67 @@ def as_text(sketch: Column | str) -> Column:
     return F.array_join(F.transform(sketch, lambda h: F.lpad(F.hex(h), 16, "0")), "")
 
 
-def with_next(docs: DataFrame, *, rows: int = 2048, most_buckets: int = 65536) -> DataFrame:
-    """Add ``next``: text and sketch of the document with the next larger id (after the
-    last: the first one's), for the result of ``fingerprints``. Rows of equal id follow
-    each other in the order of their texts; null ids come first.
+def _successors(docs: DataFrame, rows: int) -> DataFrame:
+    """(key, next_key) of the distinct documents (doc_id, key, text) in the order of id, text's beginning and key; the
+    last one is followed by the first.
 
-    Ids are cut into buckets of equal width, about ``rows`` documents each where ids are
-    spread evenly, at most ``most_buckets``. The first document of a bucket is also sent to
-    the bucket before it, so every row finds its successor inside one bucket.
+    Only ids, keys and beginnings are sorted. They are dealt by range, about ``rows`` to a bucket whatever the ids
+    are and however often one occurs; the first of each bucket follows the last of the bucket before it.
     """
-    ids = docs.select("doc_id")
-    low, high, n = ids.agg(F.min("doc_id"), F.max("doc_id"), F.count(F.lit(1))).first()
-    low, high = (low or 0), (high or 0)
-    buckets = max(1, min(most_buckets, n // rows))
-    width = max(1, -(-(high - low + 1) // buckets))
-    bucket = F.coalesce(F.floor((F.col("doc_id") - F.lit(low)) / F.lit(width)), F.lit(-1))
-    # one row per bucket, so at most most_buckets + 1
-    edges = (
-        ids.groupBy(bucket.alias("_bucket"))
-        .agg(F.min("doc_id").alias("_first"))
-        .select(
-            "_first",
-            F.lag("_bucket").over(W.orderBy("_bucket")).alias("_before"),
-            F.max("_bucket").over(W.partitionBy()).alias("_last"),
-        )
-        .select("_first", F.coalesce("_before", "_last").alias("_to"))
+    order = ["doc_id", "head", "key"]
+    light = docs.select("doc_id", F.substring("text", 1, HEAD).alias("head"), "key").distinct()
+    buckets = max(1, -(-docs.count() // rows))
+    dealt = staged(
+        light.repartitionByRange(buckets, *order).withColumn("bucket", F.spark_partition_id())
     )
-    sent = docs.join(
-        F.broadcast(edges), F.col("doc_id").eqNullSafe(F.col("_first")), "left"
+    # one row per bucket
+    firsts = dealt.groupBy("bucket").agg(F.min(F.struct(*order)).alias("first"))
+    by = W.partitionBy(F.lit(0)).orderBy("bucket")
+    ahead = firsts.select(
+        F.col("bucket").alias("of"),
+        F.coalesce(
+            F.lead("first.key").over(by),
+            F.first("first.key").over(by.rowsBetween(W.unboundedPreceding, W.unboundedFollowing)),
+        ).alias("beyond"),
     )
-    own = F.struct(bucket.alias("bucket"), F.lit(0).alias("role"))
-    extra = F.struct(F.col("_to").alias("bucket"), F.lit(1).alias("role"))
-    targets = F.when(F.col("_to").isNull(), F.array(own)).otherwise(F.array(own, extra))
-    order = W.partitionBy("bucket").orderBy("role", "doc_id", "text")
+    inside = F.lead("key").over(W.partitionBy("bucket").orderBy(*order))
     return (
-        sent.select("doc_id", "text", "sketch", F.inline(targets))
-        .withColumn("next", F.lead(F.struct("text", "sketch")).over(order))
-        .where("role = 0")
-        .drop("bucket", "role")
+        dealt.withColumn("inside", inside)
+        .join(ahead, F.col("bucket") == F.col("of"))
+        .select("key", F.coalesce("inside", "beyond").alias("next_key"))
+    )
+
+
+def with_next(docs: DataFrame, *, rows: int = 1 << 18, k: int = K) -> DataFrame:
+    """(doc_id, text, sketch, next) of documents (doc_id, text, ...): ``next`` holds text and sketch of the document with the next
+    larger id (after the last: the first one's). Rows of equal id follow each other in the order of the first ``HEAD``
+    characters of their texts, then of a hash; null ids come first. Equal rows follow each other.
+
+    Equal rows are one row with a count on the way. Texts are dealt twice, by their own key and by that of their
+    successor; sketches are made where they are needed.
+    """
+    name = F.concat(F.coalesce(F.col("doc_id").cast("string"), F.lit("")), F.lit("|"), "text")
+    keyed = docs.select("doc_id", "text", F.unhex(F.md5(name)).alias("key"))
+    distinct = keyed.groupBy("key").agg(
+        F.first("doc_id").alias("doc_id"), F.first("text").alias("text"), F.count(F.lit(1)).alias("n")
+    )
+    followed = distinct.join(_successors(keyed, rows), "key")
+    after = distinct.select(F.col("key").alias("next_key"), F.col("text").alias("next_text"))
+    pairs = followed.join(after, "next_key").select(
+        "doc_id",
+        "text",
+        # all but the last of equal rows are followed by one of them
+        F.explode(F.sequence(F.lit(1).cast("long"), "n")).alias("copy"),
+        "n",
+        "next_text",
     )
+    following = F.when(F.col("copy") < F.col("n"), F.col("text")).otherwise(F.col("next_text"))
+    both = with_sketch(
+        with_sketch(pairs.select("doc_id", "text", following.alias("next_text")), "text", "sketch", k=k),
+        "next_text", "next_sketch", k=k,
+    )
+    following = F.struct(F.col("next_text").alias("text"), F.col("next_sketch").alias("sketch"))
+    return both.select("doc_id", "text", "sketch", following.alias("next"))
 
 
 def fingerprints(docs: DataFrame, *, k: int = K) -> DataFrame:
