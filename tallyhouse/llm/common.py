@@ -58,6 +58,11 @@ def row_key(docs: DataFrame, name: str) -> DataFrame:
     return docs.withColumn(name, F.xxhash64(F.col("doc_id"), F.lit("|"), F.col("text")))
 
 
+def plain(docs: DataFrame, *used: str) -> DataFrame:
+    """The documents with all columns but ``used`` named by their place, so that no name can clash or needs quotes."""
+    return docs.toDF(*[c if c in used else f"_kept_{i}" for i, c in enumerate(docs.columns)])
+
+
 def map_kept(df: DataFrame, run, added: str) -> DataFrame:
     """``mapInArrow`` that keeps all columns in their order, whatever their names, and adds some."""
     plain = [f"_column_{i}" if set(c) & set(".`") else c for i, c in enumerate(df.columns)]

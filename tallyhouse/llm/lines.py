@@ -1,10 +1,14 @@
 """Line dedup by pairwise alignment.
 
-Documents that overlap are found through shared lines: for each line hash, every document
-that has it is linked with the one before it (in the order of id) that has it too, so a line
-in n documents gives n - 1 links, not all pairs. A link counts if the line is rare (in at
-most ``rare`` documents) or long (``LONG`` characters), and all links of a document count
-if half of its lines stand in earlier documents, in one or in several.
+Documents with the same lines in the same order are one here: all but the first of them lose all of their lines, and only
+the first is compared with others. Documents that overlap are found through shared rare lines: a line in at most
+``rare`` different documents links each of them with every earlier one, so these alignments are complete. ``rare=None``
+takes every line for rare: the exact mode, in which every two documents that share a line are aligned and nothing below
+applies. Its links grow with the square of the documents of a line, so it is for tables in which no line is in very many.
+
+Of a frequent line every document is linked with the one before it (in the order of id) that has it too, so a line
+in n documents gives n - 1 links. Such a link counts if the line is long (``LONG`` characters), and all links of a document
+count if half of its lines stand in earlier documents, in one or in several.
 
 Other frequent lines count in pairs: a frequent line and any other repeated line of a document
 are linked, as one, with the document before it that has both. So a frequent line is aligned
@@ -39,7 +43,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from tallyhouse.llm.common import row_key, staged
+from tallyhouse.llm.common import plain, row_key, staged
 from tallyhouse.operators.joins import join_by_key
 
 RARE = 16
@@ -182,8 +186,18 @@ def _sequences_and_pairs(shared: DataFrame, rare: int) -> DataFrame:
     )
 
 
-def overlaps(hashed: DataFrame, *, rare: int = RARE, group: int = GROUP) -> DataFrame:
-    """Links (later, earlier) that count, from rows (doc_id, KEY, hashes)."""
+def _all_pairs(shared: DataFrame) -> DataFrame:
+    """Links of each document with every earlier one that has the line."""
+    members = shared.groupBy("line").agg(F.sort_array(F.collect_list(F.struct("doc_id", KEY))).alias("m"))
+    later = members.select("m", F.posexplode("m").alias("at", "own")).where("at > 0")
+    pairs = later.select("own", F.explode(F.slice("m", F.lit(1), F.col("at"))).alias("other"))
+    return pairs.select(
+        F.col(f"own.{KEY}").alias("later"), F.col(f"other.{KEY}").alias("earlier")
+    ).distinct()
+
+
+def overlaps(hashed: DataFrame, *, rare: int | None = RARE, group: int = GROUP) -> DataFrame:
+    """Links (later, earlier) that count, from rows (doc_id, KEY, hashes) of different line sequences."""
     full = F.array_remove("hashes", 0)
     lines = (
         hashed.select(KEY, "doc_id", F.size(full).alias("all"), F.array_distinct(full).alias("own"))
@@ -197,7 +211,10 @@ def overlaps(hashed: DataFrame, *, rare: int = RARE, group: int = GROUP) -> Data
         )
     )
     shared = staged(_shared(lines))
-    counts = (F.col("n") <= rare) | (F.col("line").bitwiseAND(F.lit(1)) == 1)
+    if rare is None:
+        return _all_pairs(shared)
+    complete = _all_pairs(shared.where(F.col("n") <= rare))
+    counts = F.col("line").bitwiseAND(F.lit(1)) == 1
     units = shared.drop("at", "again").withColumns({"single": F.lit(1), "counts": counts}).unionByName(
         _shared(_sequences_and_pairs(shared, rare)).withColumns(
             {"single": F.lit(0), "counts": F.lit(True)}
@@ -213,24 +230,43 @@ def overlaps(hashed: DataFrame, *, rare: int = RARE, group: int = GROUP) -> Data
     )
     # a line gives a document at most one link, so the sum is over different lines
     covered = F.sum("common").over(W.partitionBy("later"))
-    return (
-        links.withColumn("copied", covered * 2 >= F.col("size"))
-        .where(F.col("counts") | F.col("copied"))
-        .select("later", "earlier")
+    counted = links.withColumn("copied", covered * 2 >= F.col("size")).where(
+        F.col("counts") | F.col("copied")
     )
+    return counted.select("later", "earlier").unionByName(complete).distinct()
 
 
-def remove_common_lines(docs: DataFrame, *, rare: int = RARE, group: int = GROUP) -> DataFrame:
+def _first_of_each(hashed: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """The first document of each line sequence, and (KEY, earlier) of the others."""
+    blank = F.size(F.array_remove("hashes", 0)) == 0  # of its own
+    named = hashed.dropDuplicates([KEY]).withColumns(
+        {
+            "one": F.when(blank, F.col(KEY)).otherwise(F.xxhash64("hashes")),
+            "two": F.when(blank, F.lit(0)).otherwise(F.xxhash64(F.lit(1), "hashes")),
+        }
+    )
+    first = named.groupBy("one", "two").agg(F.min(F.struct("doc_id", KEY)).alias("first"))
+    led = staged(
+        join_by_key(named, first, ["one", "two"]).select(
+            "doc_id", KEY, "hashes", F.col(f"first.{KEY}").alias("earlier")
+        )
+    )
+    return led.where(F.col(KEY) == F.col("earlier")).drop("earlier"), led.where(F.col(KEY) != F.col("earlier"))
+
+
+def remove_common_lines(docs: DataFrame, *, rare: int | None = RARE, group: int = GROUP) -> DataFrame:
     """The documents without lines that are aligned with an earlier document. Adds
     ``n_lines`` and ``n_removed``, in place of columns of that name; a text that loses all of
     its lines becomes empty."""
     docs = docs.drop("n_lines", "n_removed")
+    names, docs = docs.columns, plain(docs, "doc_id", "text")
     keyed = row_key(docs, KEY)
     hashed = staged(
         keyed.select("doc_id", KEY, line_hashes(split_lines("text")).alias("hashes"))
     )
-    links = overlaps(hashed, rare=rare, group=group)
-    arrays = hashed.select(F.col(KEY), "hashes").dropDuplicates([KEY])
+    arrays, copies = _first_of_each(hashed)
+    links = overlaps(arrays, rare=rare, group=group)
+    arrays = arrays.select(KEY, "hashes")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -253,10 +289,12 @@ def remove_common_lines(docs: DataFrame, *, rare: int = RARE, group: int = GROUP
         arrays.withColumnRenamed("hashes", "before"),
         {"earlier": KEY},
     )
+    every = F.when(F.size("hashes") > 0, F.sequence(F.lit(0), F.size("hashes") - 1))
     gone = (
         sides.select(KEY, "after", "before")
         .mapInArrow(run, f"{KEY} long, gone array<int>")
         .where(F.size("gone") > 0)
+        .unionByName(copies.select(KEY, every.alias("gone")))
         .groupBy(KEY)
         .agg(F.array_distinct(F.flatten(F.collect_set("gone"))).alias(GONE))
     )
@@ -265,7 +303,7 @@ def remove_common_lines(docs: DataFrame, *, rare: int = RARE, group: int = GROUP
         F.array_join(F.filter(LINES, lambda _, i: ~F.array_contains(F.col(GONE), i)), "\n")
     )
     return joined.select(
-        *[kept.alias("text") if c == "text" else F.col(f"`{c}`") for c in docs.columns],
+        *[kept.alias("text") if c == "text" else c for c in docs.columns],
         F.size(LINES).cast("long").alias("n_lines"),
         F.coalesce(F.size(GONE), F.lit(0)).cast("long").alias("n_removed"),
-    )
+    ).toDF(*names, "n_lines", "n_removed")
