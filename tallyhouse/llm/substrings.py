@@ -1,21 +1,24 @@
-"""Substring dedup by counting anchored window hashes.
+"""Substring dedup by relative Lempel-Ziv parsing against content-cut reference blocks.
 
-This replaces a relative Lempel-Ziv parse: there is no greedy longest match, no source position,
-and words are not compared, only 64-bit hashes of windows. The blocks are cut by content: of each
-window of ``window`` words the leftmost of its least hashed 8-word anchors is taken, so equal
-windows have equal anchors wherever they stand, and block a holds, for every place in the
-corpus with anchor a, the windows around it. Each block counts its windows by hash. A factor is
-a run of windows of one anchor (at most ``window - ANCHOR + 1``) that are all counted more than
-once. Every window is counted in the block of its anchor, so a word is covered exactly if some
-window over it starts elsewhere as well.
+The symbols that are parsed are windows: the 64-bit hash of ``window`` words stands for the window's first word, so a match of
+m symbols is one of m + ``window`` - 1 words, and every match is long enough. The blocks are cut by content: of each
+window the leftmost of its least hashed 8-word anchors is taken, so equal windows have equal anchors wherever they
+stand, and block a holds, for every place in the corpus with anchor a, the windows around it. A document is dealt, run by run, to every block
+that can hold one of its windows.
+
+Each block is indexed: places are refined into classes of equal strings of 1, 2, 3... symbols until no string of that length
+stands twice, which gives each place its longest match elsewhere in the block and where that is. Then all runs are
+parsed greedily against the block: a place with a match becomes a factor (start, length, source, source start) and
+the parse goes on behind it, a place without one is a literal. The window behind a factor crosses its end and is looked up
+itself, so nothing that repeats across a factor's boundary is missed: a word is covered by factors exactly if
+some window over it starts elsewhere as well (up to collisions of 64-bit hashes).
 
 Blocks of anchors that occur once hold no duplicates and are dropped after counting. A
-block of more than ``block`` places is cut into parts; each part settles the windows that
-repeat inside it and passes on single windows and one row per repeated one, which are
-settled in a second round. So no task holds a whole hot block, and nothing is dropped.
+block of more than ``block`` places is cut into parts; each part parses against itself, and passes on the windows that it could not
+match and one row for each that it could, which are settled in a second round. So no task holds a whole hot block, and nothing is dropped.
 
 Words are runs of anything but space and \\t..\\r. Null text has none. Rows with equal id and
-text are places of their own, so both lose their windows. Other columns are kept; the added
+text are places of their own, so both lose their windows. Other columns are kept, whatever their names; the added
 ones are ``n_words`` and ``n_removed``.
 """
 
@@ -29,7 +32,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tallyhouse.llm import text as tx
-from tallyhouse.llm.common import row_key, staged, whole_groups
+from tallyhouse.llm.common import plain, row_key, staged, whole_groups
 from tallyhouse.operators.joins import join_by_key
 
 WINDOW = 35
@@ -132,43 +135,84 @@ def _windows(docs: DataFrame, window: int, anchor: int) -> DataFrame:
     )
 
 
+def longest_matches(symbols: np.ndarray, block: np.ndarray, left: np.ndarray):
+    """For each place the length of the longest string from it that stands elsewhere in its block too (0: none), and
+    one place where it does. ``left``: symbols from the place to the end of its run, itself included."""
+    length = np.zeros(len(symbols), np.int64)
+    source = np.full(len(symbols), -1)
+    at = np.arange(len(symbols))
+    key = tx.mix(block.astype(np.int64).view(np.uint64).copy()) + symbols.view(np.uint64)
+    n = 0
+    while len(at):
+        order = np.argsort(key, kind="stable")
+        at, key = at[order], key[order]
+        first = np.r_[True, key[1:] != key[:-1]]
+        several = ~(first & np.r_[first[1:], True])
+        at, first = at[several], first[several]
+        if not len(at):
+            break
+        n += 1
+        length[at] = n
+        # the place before it in its class, for the first one the place behind it
+        source[at] = np.where(first, np.r_[at[1:], 0], np.r_[0, at[:-1]])
+        kind = np.cumsum(first)
+        more = left[at] > n
+        at, kind = at[more], kind[more]
+        key = tx.mix(kind.astype(np.uint64)) + symbols.view(np.uint64)[at + n]
+    return length, source
+
+
+def parse(length: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """Places at which the factors of a greedy parse begin; all runs are parsed together."""
+    found = []
+    at = starts
+    while len(at):
+        some = length[at]
+        found.append(at[some > 0])
+        at = at + np.maximum(some, 1)
+        live = at < ends
+        at, ends = at[live], ends[live]
+    return np.concatenate(found) if found else np.zeros(0, np.int64)
+
+
 def _factors(windows: DataFrame, window: int) -> DataFrame:
-    """Count the windows of every block. Rows: (key, start, end) of factors; (key, start,
+    """Parse every block. Rows: (key, start, end, source, source_start) of factors in words; (key, start,
     end, hash) of windows that are single in a part; (null key, hash) of repeated ones there."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for table in whole_groups(batches, "anchor_part"):
-            block = table.combine_chunks().to_batches()[0]
-            lists = block.column("hashes")
+            batch = table.combine_chunks().to_batches()[0]
+            lists = batch.column("hashes")
             sizes = np.diff(lists.offsets.to_numpy())
             hashes = lists.flatten().to_numpy()
-            keys, starts, parts = (block.column(c).to_numpy() for c in (KEY, "start", "parts"))
+            keys, starts, parts, blocks = (
+                batch.column(c).to_numpy() for c in (KEY, "start", "parts", "anchor_part")
+            )
             row = np.repeat(np.arange(len(sizes)), sizes)
-            at = tx.ragged(starts, sizes)
-            _, inverse, counts = np.unique(hashes, return_inverse=True, return_counts=True)
-            hit = counts[inverse] > 1
-            # a factor grows while the next window is hit
-            edge = np.ones(len(hit), bool)
-            edge[1:] = (row[1:] != row[:-1]) | (hit[1:] != hit[:-1])
-            begin = np.flatnonzero(edge)
-            length = np.diff(np.r_[begin, len(hit)])
-            begin, length = begin[hit[begin]], length[hit[begin]]
+            ends = np.cumsum(sizes)
+            word = tx.ragged(starts, sizes)
+            length, source = longest_matches(hashes, blocks[row], ends[row] - np.arange(len(row)))
+            begin = parse(length, (ends - sizes)[sizes > 0], ends[sizes > 0])
             open_ = parts[row] > 1
-            single = np.flatnonzero(open_ & ~hit)
-            known = np.unique(hashes[open_ & hit])
-            none = np.zeros(len(known), bool)
-            mask = np.r_[np.ones(len(begin) + len(single), bool), none]
-            first = np.r_[at[begin], at[single], np.zeros(len(known), np.int64)]
-            count = np.r_[length, np.ones(len(single) + len(known), np.int64)]
-            key = np.r_[keys[row[begin]], keys[row[single]], np.zeros(len(known), np.int64)]
-            value = np.r_[np.zeros(len(begin), np.int64), hashes[single], known]
-            final = np.r_[np.ones(len(begin), bool), np.zeros(len(single) + len(known), bool)]
+            single = np.flatnonzero(open_ & (length == 0))
+            known = np.unique(hashes[open_ & (length > 0)])
+            n, m = len(begin), len(single)
+            none = np.zeros(len(known), np.int64)
+            first = np.r_[word[begin], word[single], none]
+            count = np.r_[length[begin], np.ones(m + len(known), np.int64)]
+            is_factor = np.r_[np.ones(n, bool), np.zeros(m + len(known), bool)]
+            has_key = np.r_[np.ones(n + m, bool), none.astype(bool)]
+            rest = np.zeros(m + len(known), np.int64)
             yield pa.RecordBatch.from_pydict(
                 {
-                    KEY: pa.array(key, mask=~mask),
+                    KEY: pa.array(np.r_[keys[row[begin]], keys[row[single]], none], mask=~has_key),
                     "start": pa.array(first),
                     "end": pa.array(first + count + (window - 1)),
-                    "hash": pa.array(value, mask=final),
+                    "hash": pa.array(
+                        np.r_[np.zeros(n, np.int64), hashes[single], known], mask=is_factor
+                    ),
+                    "source": pa.array(np.r_[keys[row[source[begin]]], rest], mask=~is_factor),
+                    "source_start": pa.array(np.r_[word[source[begin]], rest], mask=~is_factor),
                 }
             )
 
@@ -178,14 +222,17 @@ def _factors(windows: DataFrame, window: int) -> DataFrame:
         .repartition("anchor_part")
         .sortWithinPartitions("anchor_part")
         .select("anchor_part", "parts", KEY, "start", "hashes")
-        .mapInArrow(run, f"{KEY} long, start long, end long, hash long")
+        .mapInArrow(
+            run, f"{KEY} long, start long, end long, hash long, source long, source_start long"
+        )
     )
 
 
-def repeated_spans(
+def factors(
     keyed: DataFrame, *, window: int = WINDOW, anchor: int = ANCHOR, block: int = BLOCK
 ) -> DataFrame:
-    """(key, spans) for documents with a ``KEY``: word ranges of windows that start elsewhere too."""
+    """Rows of the parse of documents with a ``KEY``: (key, start, end, source, source_start) of factors, and the
+    windows that parts of large blocks leave open (with a ``hash``)."""
     # The join is on a hash of the anchor, so that Spark deals both sides for it and can split
     # a hot one; it stands for the anchor on the large side.
     mixed = F.xxhash64("anchor").alias("mix")
@@ -203,7 +250,14 @@ def repeated_spans(
         .agg(F.sort_array(F.collect_set(F.struct("anchor", "parts"))).alias("repeated"))
     )
     found = _windows(keyed.select(KEY, "text").join(named, KEY), window, anchor)
-    rows = staged(_factors(found, window))
+    return staged(_factors(found, window))
+
+
+def repeated_spans(
+    keyed: DataFrame, *, window: int = WINDOW, anchor: int = ANCHOR, block: int = BLOCK
+) -> DataFrame:
+    """(key, spans) for documents with a ``KEY``: word ranges of windows that start elsewhere too."""
+    rows = factors(keyed, window=window, anchor=anchor, block=block)
     open_rows = rows.where("hash is not null")
     settled = (
         open_rows.groupBy("hash")
@@ -226,6 +280,7 @@ def remove_repeats(
     """The documents with every word removed that a repeated window covers; kept words are
     joined by one space. Adds ``n_words`` and ``n_removed``, in place of columns of that name."""
     docs = docs.drop("n_words", "n_removed")
+    names, docs = docs.columns, plain(docs, "doc_id", "text")
     keyed = row_key(docs, KEY)
     spans = repeated_spans(keyed, window=window, anchor=anchor, block=block)
     joined = keyed.join(spans.withColumnRenamed("spans", SPANS), KEY, "left")
@@ -247,7 +302,7 @@ def remove_repeats(
                 else:
                     removed.append(0)
                 kept.append(b" ".join(words).decode())
-            out = batch.drop_columns([SPANS, KEY])
+            out = batch.drop_columns([SPANS])
             out = out.set_column(
                 out.schema.get_field_index("text"), "text", pa.array(kept, pa.string())
             )
@@ -255,8 +310,8 @@ def remove_repeats(
                 "n_removed", pa.array(removed, pa.int64())
             )
 
-    columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema)
-    own = [F.col(f"`{c}`") for c in docs.columns]
-    return joined.select(*own, KEY, SPANS).mapInArrow(
+    columns = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in docs.schema)
+    kept = joined.select(*docs.columns, SPANS).mapInArrow(
         run, f"{columns}, n_words long, n_removed long"
     )
+    return kept.toDF(*names, "n_words", "n_removed")
