@@ -31,7 +31,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tallyhouse.llm import text as tx
-from tallyhouse.llm.common import row_key, staged, whole_groups
+from tallyhouse.llm.common import plain, row_key, staged, whole_groups
 from tallyhouse.llm.components import components, spread
 from tallyhouse.operators.joins import join_by_key
 
@@ -383,7 +383,7 @@ def join(
 
 def one_per_class(docs: DataFrame, **options) -> DataFrame:
     """The documents that are first in their class, with all of their columns."""
+    names, docs = docs.columns, plain(docs, "doc_id", "text")
     kept = join(docs, **options).where("kept").select(KEY).distinct()
-    return (
-        row_key(docs, KEY).join(kept, KEY, "left_semi").dropDuplicates([KEY]).select(*docs.columns)
-    )
+    rows = row_key(docs, KEY).join(kept, KEY, "left_semi").dropDuplicates([KEY])
+    return rows.select(*docs.columns).toDF(*names)
