@@ -48,9 +48,20 @@ def shared_dir(spark: SparkSession) -> str:
 def staged(df: DataFrame) -> DataFrame:
     """The rows, written to the shared folder and read again: computed once, and safe
     from the loss of executors."""
+    return staged_at(df)[0]
+
+
+def staged_at(df: DataFrame) -> tuple[DataFrame, str]:
+    """As ``staged``, and the folder, for those who know when it is no longer read."""
     path = shared_dir(df.sparkSession)
     df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path), path
+
+
+def discard(spark: SparkSession, path: str) -> None:
+    """Delete a staged folder."""
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)
 
 
 def row_key(docs: DataFrame, name: str) -> DataFrame:

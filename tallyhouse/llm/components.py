@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tallyhouse.llm.common import staged
+from tallyhouse.llm.common import discard, staged_at
 from tallyhouse.operators.joins import join_by_key
 
 
@@ -32,11 +32,11 @@ def _stars(edges: DataFrame) -> DataFrame:
 def components(edges: DataFrame) -> DataFrame:
     """(node, component) for every node of the edges (u, v): the smallest node that can be
     reached. Rounds of alternating stars until nothing changes; each round is written to the
-    shared folder, and only a count and a checksum come to the driver."""
+    shared folder, where it replaces the one before, and only a count and a checksum come to the driver."""
     ordered = edges.where("u != v").select(
         F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")
     )
-    current, before = staged(ordered.distinct()), None
+    (current, path), before = staged_at(ordered.distinct()), None
     while True:
         seen = current.agg(
             F.count(F.lit(1)), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))
@@ -44,7 +44,9 @@ def components(edges: DataFrame) -> DataFrame:
         if seen == before or not seen[0]:
             break
         before = seen
-        current = staged(_stars(current))
+        used = path
+        current, path = staged_at(_stars(current))
+        discard(edges.sparkSession, used)
     leaves = current.select(F.col("u").alias("node"), F.col("v").alias("component"))
     roots = current.select(F.col("v").alias("node"), F.col("v").alias("component")).distinct()
     return leaves.unionByName(roots)

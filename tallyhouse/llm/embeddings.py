@@ -3,8 +3,9 @@
 Vectors are compared within a label (and a dimension). Equal vectors of a label are one node
 with that many copies. The nodes of a label are dealt over shards of about ``SHARD`` by hash,
 and each shard gets a hierarchical small-world graph, built in one task. Then every node queries
-every shard of its label: nodes in blocks of ``QUERIES`` meet one shard's graph in one task, so
-no task holds a whole label. A query whose beam is full of links is repeated with twice the
+every shard of its label: a shard's graph goes to at most ``COPIES`` tasks, each of which holds that graph
+and lets its part of the queries stream by in blocks of ``QUERIES``, so no task holds a whole label and graphs
+are shuffled in proportion to the vectors. A query whose beam is full of links is repeated with twice the
 beam; a block whose audit (some queries, compared with the whole shard) finds too few of the
 true links is repeated with twice the beam for all, and compared directly if that does
 not help. A link is a pair with a cosine, in double precision, of at least ``threshold``.
@@ -37,6 +38,8 @@ from tallyhouse.operators.joins import join_by_key
 THRESHOLD = 0.98
 SHARD = 8192
 QUERIES = 2048
+COPIES = 64
+TASKS = 16  # per core; a task takes several shards or meetings in turn
 BLOCK = 512
 LINKS = 12  # per node and upper level; twice as many at the bottom
 BUILD_BEAM = 48
@@ -204,10 +207,31 @@ def _matrix(column: pa.ChunkedArray) -> np.ndarray:
     return np.frombuffer(b"".join(values), "<f8").reshape(len(values), -1)
 
 
-def _by_group(df: DataFrame, key: str, groups: int) -> DataFrame:
+def _by_group(df: DataFrame, key: str, groups: int, *order: Column | str) -> DataFrame:
     """Dealt by ``key`` over a fixed number of tasks, since the work is in the rows and not
-    in their bytes."""
-    return df.repartition(max(1, groups), key).sortWithinPartitions(key)
+    in their bytes; sorted by ``key`` and ``order``."""
+    most = TASKS * df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(min(max(1, groups), most), key).sortWithinPartitions(key, *order)
+
+
+def _runs(batches: Iterator[pa.RecordBatch]):
+    """(meeting, whether these are nodes of its graph, rows): the nodes of a meeting, then its queries, in pieces."""
+    for batch in batches:
+        keys, asking = batch.column("meeting").to_numpy(), batch.column("place").to_numpy() < 0
+        change = (keys[1:] != keys[:-1]) | (asking[1:] != asking[:-1])
+        starts = np.flatnonzero(np.r_[batch.num_rows > 0, change]).tolist()
+        for a, b in zip(starts, [*starts[1:], batch.num_rows], strict=True):
+            yield keys[a], not asking[a], batch.slice(a, b - a)
+
+
+def _restored(pieces: list[pa.RecordBatch]) -> tuple[Graph, np.ndarray]:
+    """The graph from its rows in order of place, and the nodes at these places."""
+    rows = pa.Table.from_batches(pieces)
+    links = rows.column("links").to_pylist()
+    graph = Graph(_matrix(rows.column("unit")), np.array([len(x) - 1 for x in links]))
+    graph.links = links
+    graph.entry = int(graph.levels.argmax())
+    return graph, rows.column("node").to_numpy()
 
 
 def _graphs(nodes: DataFrame, groups: int) -> DataFrame:
@@ -238,35 +262,32 @@ def _graphs(nodes: DataFrame, groups: int) -> DataFrame:
 
 
 def _edges(meetings: DataFrame, groups: int, threshold: float) -> DataFrame:
-    """(u, v): a forest of the links between a block's queries and a shard's nodes."""
+    """(u, v): a forest of the links between each block of queries and a shard's nodes."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for table in whole_groups(batches, "meeting", 1):
-            bounds = _bounds(table.column("meeting").to_numpy())
-            for a, b in zip(bounds[:-1].tolist(), bounds[1:].tolist(), strict=True):
-                part = table.slice(a, b - a)
-                place = part.column("place").to_numpy()
-                nodes = part.column("node").to_numpy()
-                units = _matrix(part.column("unit"))
-                held = np.flatnonzero(place >= 0)
-                held = held[np.argsort(place[held])]
-                asked = np.flatnonzero(place < 0)
-                if not len(held) or not len(asked):
-                    continue
-                links = part.column("links").take(pa.array(held)).to_pylist()
-                graph = Graph(units[held], np.array([len(x) - 1 for x in links]))
-                graph.links = links
-                graph.entry = int(graph.levels.argmax())
-                one, two = query(graph, units[asked], threshold)
-                both = np.r_[nodes[asked], nodes[held]]
-                labels = _join_labels(np.arange(len(both)), one, two + len(asked))
+        at, pieces, graph = None, [], None
+        for meeting, holds, rows in _runs(batches):
+            if meeting != at:
+                at, pieces, graph = meeting, [], None
+            if holds:
+                pieces.append(rows)
+                continue
+            if graph is None:
+                graph, places = _restored(pieces)
+            for low in range(0, rows.num_rows, QUERIES):
+                asked = rows.slice(low, QUERIES)
+                one, two = query(graph, _matrix(asked.column("unit")), threshold)
+                both = np.r_[asked.column("node").to_numpy(), places]
+                labels = _join_labels(np.arange(len(both)), one, two + asked.num_rows)
                 linked = np.flatnonzero(both != both[labels])
                 yield pa.RecordBatch.from_pydict(
                     {"u": pa.array(both[linked]), "v": pa.array(both[labels[linked]])}
                 )
 
     columns = meetings.select("meeting", "place", "node", "unit", "links")
-    return _by_group(columns, "meeting", groups).mapInArrow(run, "u long, v long")
+    return _by_group(columns, "meeting", groups, F.col("place") < 0, "place").mapInArrow(
+        run, "u long, v long"
+    )
 
 
 def _counts(members: DataFrame, threshold: float) -> DataFrame:
@@ -301,6 +322,7 @@ def near_duplicates(
     threshold: float = THRESHOLD,
     shard: int = SHARD,
     queries: int = QUERIES,
+    copies: int = COPIES,
     block: int = BLOCK,
 ) -> DataFrame:
     """(vec_id, n_links, component_id, kept): one row per row of ``vectors`` (vec_id,
@@ -320,19 +342,19 @@ def near_duplicates(
     )
     shards = nodes.select("shard").distinct().count()
     graphs = staged(_graphs(nodes, shards))
-    # every block of queries meets every shard of its group
-    places = nodes.select("shard", "group", "shards", F.ceil(F.col("size") / queries).alias("blocks"))
-    places = places.distinct()
+    # every part of the queries meets every shard of its group
+    blocks = F.least(F.ceil(F.col("size") / queries), F.lit(copies).cast("long"))
+    places = nodes.select("shard", blocks.alias("blocks")).distinct()
 
     def numbered(count: str) -> Column:
         return F.explode(F.sequence(F.lit(0).cast("long"), F.col(count) - 1))
 
     held = (
-        join_by_key(graphs, places.select("shard", "blocks"), ["shard"])
+        join_by_key(graphs, places, ["shard"])
         .withColumn("asked_by", numbered("blocks"))
         .select(F.xxhash64("shard", "asked_by").alias("meeting"), "place", "node", "unit", "links")
     )
-    asked_by = F.pmod(F.xxhash64("unit"), F.ceil(F.col("size") / queries))
+    asked_by = F.pmod(F.xxhash64("unit"), blocks)
     asking = (
         nodes.select("node", "unit", "group", asked_by.alias("asked_by"), numbered("shards").alias("i"))
         .select("node", "unit", "asked_by", F.xxhash64("group", "i").alias("shard"))

@@ -9,7 +9,8 @@ the n-grams of any script are numbers below ``GRAMS``, and the n-grams of a text
 Kernel ridge regression, one language against the rest, is fitted on Nyström features of
 a bounded sample: ``per_lang`` texts of each language (at most ``most_rows`` in all), of
 which the first ``landmarks`` of each language are the landmarks; of rows with equal ids one is
-taken, of the least language and then the text with the least hash. A batch of texts is scored by
+taken, of the least language and then the text with the least hash. The landmarks' n-grams and the
+kernel values of the sample come to the driver, other n-grams don't. A batch of texts is scored by
 two matrix products: bitmaps with the landmarks' bitmaps, and kernel values with the weights.
 
 Null texts and texts without a letter are ``und`` with score 0. Rows without a language are
@@ -29,12 +30,15 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from tallyhouse.llm import text as tx
+from tallyhouse.llm.common import staged
+from tallyhouse.operators.joins import join_by_key
 
 SIGNS = 96
 GRAMS = SIGNS**3 + SIGNS**2 + SIGNS
 UNKNOWN = "und"
 PIECE = 2 << 20
 ROWS = 128  # texts in one product
+SPARE = 4
 
 
 def folded(column: pa.Array):
@@ -52,7 +56,8 @@ def folded(column: pa.Array):
     keep[1:] = (padded[1:] != 0) | (padded[:-1] != 0)
     before = tx.offsets_of(keep)
     has = np.diff(tx.offsets_of(letter)[offsets]) > 0
-    return padded[keep].astype(np.int64), before[bounds], has
+    # a text may end in blanks, of which only the first is kept: both bounds lie on the one that is
+    return padded[keep].astype(np.int64), before[bounds + 1] - 1, has
 
 
 def bitmaps(column: pa.Array):
@@ -82,6 +87,32 @@ class Model:
     weights: np.ndarray  # landmarks + bias x languages
 
 
+def _kernels(batch: pa.RecordBatch, columns: np.ndarray, landmarks: np.ndarray, roots: np.ndarray):
+    """(rows, kernel values with the landmarks) of the texts with a letter, ``ROWS`` at a time."""
+    block = np.zeros((min(ROWS, batch.num_rows), len(columns)), np.float32)
+    own = np.ones(len(block))
+    held: list[int] = []
+    for i, (has, bits) in enumerate(bitmaps(batch.column("text"))):
+        if has:
+            block[len(held)] = bits[columns]
+            own[len(held)] = np.count_nonzero(bits)
+            held.append(i)
+        if held and (len(held) == len(block) or i == batch.num_rows - 1):
+            n = len(held)
+            yield held, block[:n] @ landmarks / np.sqrt(own[:n, None]) / roots
+            held = []
+
+
+def _least_hashes(ids: DataFrame, per_lang: int) -> DataFrame:
+    """The rows (doc_id, lang) with the least hashes, about ``SPARE`` times ``per_lang`` of each language: a window
+    over them stays small whatever the number of tasks and rows. Fewer than ``per_lang`` are left
+    only where a language has fewer."""
+    sizes = ids.groupBy("lang").agg(F.count(F.lit(1)).alias("size"))
+    share = F.least(F.lit(1.0), F.lit(float(SPARE * per_lang)) / F.col("size"))
+    least = F.xxhash64("doc_id").cast("double") <= share * F.lit(2.0**64) - F.lit(2.0**63)
+    return join_by_key(ids, sizes, ["lang"]).where(least).select("doc_id", "lang")
+
+
 def train(
     docs: DataFrame,
     *,
@@ -93,9 +124,9 @@ def train(
     """Fit on rows with a language and a text; see the module for the bounds."""
     order = W.partitionBy("lang").orderBy(F.xxhash64("doc_id"), "doc_id")
     usable = docs.where("lang is not null and doc_id is not null and text is not null")
+    ids = usable.groupBy("doc_id").agg(F.min("lang").alias("lang"))
     chosen = (
-        usable.groupBy("doc_id")
-        .agg(F.min("lang").alias("lang"))
+        _least_hashes(ids, per_lang)
         .withColumn("rank", F.row_number().over(order))
         .where(F.col("rank") <= per_lang)
         .orderBy("rank", "lang")
@@ -103,93 +134,83 @@ def train(
         .select("doc_id", "lang", "rank")
     )
     # at most most_rows ids are broadcast, and one text of each goes on
-    rows = (
+    sample = staged(
         usable.select("doc_id", "text", "lang")
         .join(F.broadcast(chosen), ["doc_id", "lang"])
         .groupBy("doc_id", "lang", "rank")
         .agg(F.min_by("text", F.xxhash64("text")).alias("text"))
     )
+    kind = sample.schema["doc_id"].dataType.simpleString()
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def lettered(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in tx.slices(batches, PIECE):
-            found = [
-                np.flatnonzero(bits).astype(np.int32) if has else None
-                for has, bits in bitmaps(batch.column("text"))
-            ]
-            yield pa.RecordBatch.from_pydict(
-                {
-                    "doc_id": batch.column("doc_id"),
-                    "lang": batch.column("lang"),
-                    "rank": batch.column("rank"),
-                    "grams": pa.array(found, pa.list_(pa.int32())),
-                }
-            )
+            has = pa.array(folded(batch.column("text"))[2])
+            yield batch.select(["doc_id", "lang", "rank"]).filter(has)
 
-    kind = rows.schema["doc_id"].dataType.simpleString()
-    # most_rows bitmaps as lists of n-grams; a text has at most GRAMS of them
-    sample = (
-        rows.mapInArrow(run, f"doc_id {kind}, lang string, rank int, grams array<int>")
-        .where("grams is not null")
-        .toPandas()
-        .sort_values(["rank", "lang", "doc_id"], ignore_index=True)
-    )
-    if not len(sample):
+    # lang and rank name a text; at most most_rows of them
+    names = sample.mapInArrow(lettered, f"doc_id {kind}, lang string, rank int").toPandas()
+    names = names.sort_values(["rank", "lang"], ignore_index=True)
+    if not len(names):
         return None
-    languages = sorted(sample.lang.unique())
-    marks = sample[sample.groupby("lang").cumcount() < landmarks]
-    columns = np.unique(np.concatenate(marks.grams.to_list()))
-
-    def matrix(lists) -> np.ndarray:
-        out = np.zeros((len(lists), len(columns)), np.float32)
-        for row, grams in zip(out, lists, strict=True):
-            at = np.searchsorted(columns, grams)
-            at[at == len(columns)] = 0
-            row[at[columns[at] == grams]] = 1
-        return out
-
-    held = matrix(marks.grams.to_list()).T.copy()
-    roots = np.sqrt(marks.grams.map(len).to_numpy(float))
-    kernel = []
-    for low in range(0, len(sample), ROWS):
-        lists = sample.grams.iloc[low : low + ROWS].to_list()
-        own = np.sqrt([len(g) for g in lists])[:, None]
-        kernel.append(matrix(lists) @ held / own / roots)
-    kernel = np.concatenate(kernel).astype(float)
+    languages = sorted(names.lang.unique())
+    marks = names[names.groupby("lang").cumcount() < landmarks]
+    columns, held, roots = _landmarks(sample, marks)
+    shared = docs.sparkSession.sparkContext.broadcast((columns, held, roots))
+
+    def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in tx.slices(batches, PIECE):
+            for at, kernel in _kernels(batch, *shared.value):
+                rows = batch.select(["lang", "rank"]).take(pa.array(at))
+                values = pa.array(list(kernel), pa.list_(pa.float64()))
+                yield pa.RecordBatch.from_arrays([*rows.columns, values], ["lang", "rank", "kernel"])
+
+    found = sample.mapInArrow(compare, "lang string, rank int, kernel array<double>").toPandas()
+    found = found.sort_values(["rank", "lang"], ignore_index=True)
+    kernel = np.stack(found.kernel)
     values, vectors = np.linalg.eigh(kernel[marks.index])
     good = values > 1e-8 * values.max()
     project = vectors[:, good] / np.sqrt(values[good])
     features = np.c_[kernel @ project, np.ones(len(kernel))]
-    target = np.where(sample.lang.to_numpy()[:, None] == np.array(languages), 1.0, -1.0)
+    target = np.where(found.lang.to_numpy()[:, None] == np.array(languages), 1.0, -1.0)
     gram = features.T @ features + ridge * np.eye(features.shape[1])
     beta = np.linalg.solve(gram, features.T @ target)
     weights = np.r_[project @ beta[:-1], beta[-1:]]
     return Model(languages, columns, held, roots, weights)
 
 
+def _landmarks(sample: DataFrame, marks) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The n-grams of the landmarks, their bitmaps as columns, and the roots of their numbers; ``marks`` are the
+    landmarks' (lang, rank), in order."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in tx.slices(batches, PIECE):
+            grams = [np.flatnonzero(bits).astype(np.int32) for _, bits in bitmaps(batch.column("text"))]
+            rows = [batch.column("lang"), batch.column("rank"), pa.array(grams, pa.list_(pa.int32()))]
+            yield pa.RecordBatch.from_arrays(rows, ["lang", "rank", "grams"])
+
+    pairs = [(str(lang), int(rank)) for lang, rank in zip(marks.lang, marks["rank"], strict=True)]
+    wanted = sample.sparkSession.createDataFrame(pairs, "lang string, rank int")
+    lists = (
+        sample.join(F.broadcast(wanted), ["lang", "rank"])
+        .mapInArrow(run, "lang string, rank int, grams array<int>")
+        .toPandas()
+        .sort_values(["rank", "lang"], ignore_index=True)
+        .grams.to_list()
+    )
+    columns = np.unique(np.concatenate(lists))
+    held = np.zeros((len(columns), len(lists)), np.float32)
+    for i, grams in enumerate(lists):
+        held[np.searchsorted(columns, grams), i] = 1
+    return columns, held, np.sqrt([len(grams) for grams in lists])
+
+
 def _classify(batch: pa.RecordBatch, m: Model) -> tuple[np.ndarray, np.ndarray]:
     """Index of each row's language (the number of languages: unknown) and its score."""
-    block = np.zeros((min(ROWS, batch.num_rows), len(m.columns)), np.float32)
-    own = np.ones(len(block))
     best, score = np.full(batch.num_rows, len(m.languages)), np.zeros(batch.num_rows)
-    held: list[int] = []
-
-    def flush():
-        n = len(held)
-        if n:
-            kernel = block[:n] @ m.landmarks / np.sqrt(own[:n, None]) / m.roots
-            values = kernel @ m.weights[:-1] + m.weights[-1]
-            shares = np.exp(4 * (values - values.max(axis=1, keepdims=True)))
-            best[held], score[held] = values.argmax(axis=1), 1 / shares.sum(axis=1)
-            held.clear()
-
-    for i, (has, bits) in enumerate(bitmaps(batch.column("text"))):
-        if has:
-            block[len(held)] = bits[m.columns]
-            own[len(held)] = np.count_nonzero(bits)
-            held.append(i)
-            if len(held) == len(block):
-                flush()
-    flush()
+    for at, kernel in _kernels(batch, m.columns, m.landmarks, m.roots):
+        values = kernel @ m.weights[:-1] + m.weights[-1]
+        shares = np.exp(4 * (values - values.max(axis=1, keepdims=True)))
+        best[at], score[at] = values.argmax(axis=1), 1 / shares.sum(axis=1)
     return best, score
 
 
