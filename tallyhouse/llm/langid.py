@@ -13,7 +13,8 @@ taken, of the least language and then the text with the least hash. The landmark
 kernel values of the sample come to the driver, other n-grams don't. A batch of texts is scored by
 two matrix products: bitmaps with the landmarks' bitmaps, and kernel values with the weights.
 
-Null texts and texts without a letter are ``und`` with score 0. Rows without a language are
+Null texts and texts without a letter are ``und`` with score 0. ``keep_known`` drops them and fills in
+languages that are missing. Rows without a language are
 scored and not learned from. Repeated rows are scored alike, other columns are left out; if
 nothing can be learned from, every text is ``und``.
 """
@@ -25,6 +26,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
@@ -85,6 +87,7 @@ class Model:
     landmarks: np.ndarray  # bitmap columns x landmarks
     roots: np.ndarray  # root of each landmark's number of n-grams
     weights: np.ndarray  # landmarks + bias x languages
+    familiar: float  # least kernel with any landmark of a text that may be named
 
 
 def _kernels(batch: pa.RecordBatch, columns: np.ndarray, landmarks: np.ndarray, roots: np.ndarray):
@@ -175,7 +178,10 @@ def train(
     gram = features.T @ features + ridge * np.eye(features.shape[1])
     beta = np.linalg.solve(gram, features.T @ target)
     weights = np.r_[project @ beta[:-1], beta[-1:]]
-    return Model(languages, columns, held, roots, weights)
+    # half of what all but a hundredth of the sample's other texts reach
+    others = np.delete(kernel, marks.index, axis=0).max(axis=1)
+    familiar = float(np.quantile(others, 0.01)) / 2 if len(others) else 0.0
+    return Model(languages, columns, held, roots, weights, familiar)
 
 
 def _landmarks(sample: DataFrame, marks) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -204,14 +210,18 @@ def _landmarks(sample: DataFrame, marks) -> tuple[np.ndarray, np.ndarray, np.nda
     return columns, held, np.sqrt([len(grams) for grams in lists])
 
 
-def _classify(batch: pa.RecordBatch, m: Model) -> tuple[np.ndarray, np.ndarray]:
-    """Index of each row's language (the number of languages: unknown) and its score."""
+def _classify(batch: pa.RecordBatch, m: Model) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Index of each row's language (the number of languages: unknown), its score, and whether the
+    text is accepted as such: the language's own regression says so (a value above 0; -1 stands for the
+    rest), and some landmark is similar enough."""
     best, score = np.full(batch.num_rows, len(m.languages)), np.zeros(batch.num_rows)
+    accepted = np.zeros(batch.num_rows, bool)
     for at, kernel in _kernels(batch, m.columns, m.landmarks, m.roots):
         values = kernel @ m.weights[:-1] + m.weights[-1]
         shares = np.exp(4 * (values - values.max(axis=1, keepdims=True)))
         best[at], score[at] = values.argmax(axis=1), 1 / shares.sum(axis=1)
-    return best, score
+        accepted[at] = (values.max(axis=1) > 0) & (kernel.max(axis=1) >= m.familiar)
+    return best, score, accepted
 
 
 def predict(docs: DataFrame, model: Model | None) -> DataFrame:
@@ -227,7 +237,7 @@ def predict(docs: DataFrame, model: Model | None) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         names = np.array([*shared.value.languages, UNKNOWN], object)
         for batch in tx.slices(batches, PIECE):
-            best, score = _classify(batch, shared.value)
+            best, score, _ = _classify(batch, shared.value)
             yield pa.RecordBatch.from_pydict(
                 {
                     "doc_id": batch.column("doc_id"),
@@ -241,14 +251,20 @@ def predict(docs: DataFrame, model: Model | None) -> DataFrame:
 
 def keep_known(docs: DataFrame, model: Model | None) -> DataFrame:
     """The documents, with all of their columns, whose text has a language of the model;
-    ``und`` goes. In one narrow pass."""
+    ``und`` goes. A null ``lang`` becomes the predicted language if the text is accepted as
+    such, and stays null otherwise (a script the model has not seen). In one narrow pass."""
     if model is None:
         return docs.limit(0)
     shared = docs.sparkSession.sparkContext.broadcast(model)  # bounded by the landmarks
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        names = np.array([*shared.value.languages, None], object)
         for batch in tx.slices(batches, PIECE):
-            best, _ = _classify(batch, shared.value)
-            yield batch.filter(pa.array(best < len(shared.value.languages)))
+            best, _, accepted = _classify(batch, shared.value)
+            at = batch.schema.get_field_index("lang")
+            field = batch.schema.field(at)
+            named = pa.array(np.where(accepted, names[best], None), field.type)
+            kept = batch.set_column(at, field, pc.coalesce(batch.column(at), named))
+            yield kept.filter(pa.array(best < len(shared.value.languages)))
 
     return docs.mapInArrow(run, docs.schema)

@@ -216,6 +216,21 @@ def test_languages_of_odd_documents(spark):
     assert langid.keep_known(docs, None).count() == 0
 
 
+def test_missing_languages_are_filled_where_a_text_is_accepted(spark):
+    known = spark.read.parquet(f"{SF}/documents.parquet").where("lang is not null")
+    model = langid.train(known.where("doc_id % 2 = 0"))
+    seen = known.where("doc_id % 2 = 1 and length(text) > 200")
+    truth = {r.doc_id: r.lang for r in seen.collect()}
+    odd = [(-1, "日本語 のテキスト こんにちは", None), (-2, "日本語", "ja"), (-3, "12 !", None), (-4, None, None)]
+    texts = seen.select("doc_id", "text", F.lit(None).cast("string").alias("lang"))
+    docs = texts.unionByName(spark.createDataFrame(odd, texts.schema)).repartition(3)
+    found = {r.doc_id: r.lang for r in langid.keep_known(docs, model).collect()}
+    assert found.pop(-1, "") is None and found.pop(-2) == "ja"
+    assert set(found) == {r.doc_id for r in seen.where("text rlike '[a-zA-Z]'").collect()}
+    assert sum(found[i] == truth[i] for i in found) >= 0.95 * len(found)
+    assert sum(found[i] not in (truth[i], None) for i in found) <= 0.02 * len(found)
+
+
 def test_training_rows_are_bounded_for_repeated_ids(spark, monkeypatch):
     rows = [(i, f"{cases.prose(i, 20)} {k}", "en") for i in range(12) for k in range(9)]
     docs = spark.createDataFrame(rows, "doc_id long, text string, lang string").repartition(3)
