@@ -16,8 +16,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from tallyhouse.llm.common import staged
-
 K = 64
 WORDS = 5
 HEAD = 32
@@ -75,35 +73,17 @@ def as_text(sketch: Column | str) -> Column:
     return F.array_join(F.transform(sketch, lambda h: F.lpad(F.hex(h), 16, "0")), "")
 
 
-def _successors(docs: DataFrame, rows: int) -> DataFrame:
-    """(key, next_key) of the distinct documents (doc_id, key, text) in the order of id, text's beginning and key; the
-    last one is followed by the first.
+ORDER = ["o_known", "o_id", "o_head", "o_key"]
 
-    Only ids, keys and beginnings are sorted. They are dealt by range, about ``rows`` to a bucket whatever the ids
-    are and however often one occurs; the first of each bucket follows the last of the bucket before it.
-    """
-    order = ["doc_id", "head", "key"]
-    light = docs.select("doc_id", F.substring("text", 1, HEAD).alias("head"), "key").distinct()
-    buckets = max(1, -(-docs.count() // rows))
-    dealt = staged(
-        light.repartitionByRange(buckets, *order).withColumn("bucket", F.spark_partition_id())
-    )
-    # one row per bucket
-    firsts = dealt.groupBy("bucket").agg(F.min(F.struct(*order)).alias("first"))
-    by = W.partitionBy(F.lit(0)).orderBy("bucket")
-    ahead = firsts.select(
-        F.col("bucket").alias("of"),
-        F.coalesce(
-            F.lead("first.key").over(by),
-            F.first("first.key").over(by.rowsBetween(W.unboundedPreceding, W.unboundedFollowing)),
-        ).alias("beyond"),
-    )
-    inside = F.lead("key").over(W.partitionBy("bucket").orderBy(*order))
-    return (
-        dealt.withColumn("inside", inside)
-        .join(ahead, F.col("bucket") == F.col("of"))
-        .select("key", F.coalesce("inside", "beyond").alias("next_key"))
-    )
+
+def _bucket(bounds: list, lo: int, hi: int) -> Column:
+    """Index of the last of ``bounds[lo..hi]`` that is not above the row's order: log(n) comparisons."""
+    if lo == hi:
+        return F.lit(lo)
+    mid = (lo + hi + 1) // 2
+    types = ["boolean", "long", "string", "binary"]
+    bound = F.struct(*[F.lit(v).cast(t).alias(c) for v, t, c in zip(bounds[mid], types, ORDER, strict=True)])
+    return F.when(F.struct(*ORDER) >= bound, _bucket(bounds, mid, hi)).otherwise(_bucket(bounds, lo, mid - 1))
 
 
 def with_next(docs: DataFrame, *, rows: int = 1 << 18, k: int = K) -> DataFrame:
@@ -111,29 +91,56 @@ def with_next(docs: DataFrame, *, rows: int = 1 << 18, k: int = K) -> DataFrame:
     larger id (after the last: the first one's). Rows of equal id follow each other in the order of the first ``HEAD``
     characters of their texts, then of a hash; null ids come first. Equal rows follow each other.
 
-    Equal rows are one row with a count on the way. Texts are dealt twice, by their own key and by that of their
-    successor; sketches are made where they are needed.
+    The bounds of buckets come from the distinct (id, beginning, hash) by range, at most about ``rows`` to a bucket
+    whatever the ids are and however often one occurs, and reach the rows as a comparison tree. So texts are shuffled once,
+    to their bucket, where each is followed by the next; the last of a bucket by the first of the next bucket, which is
+    looked up once per bucket. Sketches are made where they are needed.
     """
     name = F.concat(F.coalesce(F.col("doc_id").cast("string"), F.lit("")), F.lit("|"), "text")
-    keyed = docs.select("doc_id", "text", F.unhex(F.md5(name)).alias("key"))
-    distinct = keyed.groupBy("key").agg(
-        F.first("doc_id").alias("doc_id"), F.first("text").alias("text"), F.count(F.lit(1)).alias("n")
+    keyed = docs.select(
+        "doc_id",
+        "text",
+        F.col("doc_id").isNotNull().alias("o_known"),
+        F.coalesce("doc_id", F.lit(0)).cast("long").alias("o_id"),
+        F.coalesce(F.substring("text", 1, HEAD), F.lit("")).alias("o_head"),
+        F.coalesce(F.unhex(F.md5(name)), F.unhex(F.lit(""))).alias("o_key"),
+    )
+    spark = docs.sparkSession
+    buckets = max(1, -(-docs.count() // rows), spark.sparkContext.defaultParallelism)
+    light = keyed.select(*ORDER).distinct().repartitionByRange(buckets, *ORDER)
+    # the first of each non-empty bucket, one row per bucket
+    firsts = light.groupBy(F.spark_partition_id().alias("b")).agg(F.min(F.struct(*ORDER)).alias("f"))
+    bounds = [tuple(r.f) for r in sorted(firsts.collect(), key=lambda r: r.b)]
+    if not bounds:
+        bounds = [(False, 0, "", b"")]
+    m = len(bounds)
+    placed = keyed.withColumn("bucket", _bucket(bounds, 0, m - 1))
+    types = ["boolean", "long", "string", "binary", "int"]
+    heads = spark.range(1).select(
+        F.inline(
+            F.array(
+                *[
+                    F.struct(*[F.lit(v).cast(t).alias(c) for v, t, c in zip((*b, (i - 1) % m), types, [*ORDER, "prev"])])
+                    for i, b in enumerate(bounds)
+                ]
+            )
+        )
+    )
+    # the text of each bucket's first row, for the last row of the bucket before it
+    ahead = (
+        placed.join(F.broadcast(heads), ORDER)
+        .groupBy("prev")
+        .agg(F.first("text").alias("ahead"))
     )
-    followed = distinct.join(_successors(keyed, rows), "key")
-    after = distinct.select(F.col("key").alias("next_key"), F.col("text").alias("next_text"))
-    pairs = followed.join(after, "next_key").select(
+    by = W.partitionBy("bucket").orderBy(*ORDER)
+    # a lead of the text itself, so that it is not copied before the shuffle; the marker is never null
+    linked = placed.withColumn("after", F.lead("text").over(by)).withColumn("last", F.lead("o_known").over(by).isNull())
+    pairs = linked.join(F.broadcast(ahead), F.col("bucket") == F.col("prev"), "left").select(
         "doc_id",
         "text",
-        # all but the last of equal rows are followed by one of them
-        F.explode(F.sequence(F.lit(1).cast("long"), "n")).alias("copy"),
-        "n",
-        "next_text",
+        F.when(F.col("last"), F.col("ahead")).otherwise(F.col("after")).alias("next_text"),
     )
-    following = F.when(F.col("copy") < F.col("n"), F.col("text")).otherwise(F.col("next_text"))
-    both = with_sketch(
-        with_sketch(pairs.select("doc_id", "text", following.alias("next_text")), "text", "sketch", k=k),
-        "next_text", "next_sketch", k=k,
-    )
+    both = with_sketch(with_sketch(pairs, "text", "sketch", k=k), "next_text", "next_sketch", k=k)
     following = F.struct(F.col("next_text").alias("text"), F.col("next_sketch").alias("sketch"))
     return both.select("doc_id", "text", "sketch", following.alias("next"))
 

@@ -163,3 +163,32 @@ def test_names_that_clash_or_need_quotes(spark):
         assert found.columns[: len(df.columns)] == df.columns
         for r in found.collect():
             assert [r[c] for c in df.columns[2:]] == df.columns[2:]
+
+
+def _shuffled_bytes(df) -> int:
+    """Bytes that the exchanges of ``df``'s last run wrote, as their dataSize metrics say."""
+    def walk(node):
+        name = node.getClass().getSimpleName()
+        if name == "AdaptiveSparkPlanExec":
+            return walk(node.executedPlan())
+        if name == "ShuffleExchangeExec":
+            return node.metrics().get("dataSize").get().value() + walk(node.child())
+        if name.endswith("QueryStageExec"):
+            return walk(node.plan())
+        children = node.children()
+        return sum(walk(children.apply(i)) for i in range(children.size()))
+
+    return walk(df._jdf.queryExecution().executedPlan())
+
+
+def test_next_documents_shuffle_texts_once(spark, tmp_path):
+    made = spark.range(3000).selectExpr("id AS doc_id", "repeat(concat('w', id, ' '), 400) AS text")
+    made.repartition(4).write.parquet(str(tmp_path / "texts"))
+    texts = spark.read.parquet(str(tmp_path / "texts"))
+    found = fingerprints.with_next(fingerprints.fingerprints(texts))
+    assert found.count() == 3000
+    pairs = found.select("doc_id", "next.text")
+    rows = pairs.collect()
+    assert all(r.text.startswith(f"w{(r.doc_id + 1) % 3000} ") for r in rows)
+    size = texts.selectExpr("sum(length(text))").first()[0]
+    assert 0 < _shuffled_bytes(pairs) < 1.5 * size
