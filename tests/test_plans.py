@@ -121,3 +121,8 @@ def test_a_hot_key_is_split(spark, many_partitions):
         rows = len(df.collect())
         assert "skew=true" in plan(df), name
         assert rows == (0 if name == "anti" else 60_000), name
+
+
+def test_recovered_fact_tags_the_lines_once(spark):
+    # the quarantine is written from stored tagged lines, and the fact reads the same ones
+    assert scans(QUERIES["recover_twice"](spark, SF_DIR), "l_suppkey") == 0
