@@ -8,14 +8,17 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
-def write_lines(df: DataFrame, path: str, n_files: int | None = None) -> None:
+def write_lines(
+    df: DataFrame, path: str, n_files: int | None = None, compression: str | None = None
+) -> None:
     """Text files of the ``value`` column, replacing ``path``.
 
-    ``n_files`` limits the number of files, and with it the number of tasks.
+    ``n_files`` limits the number of files, and with it the number of tasks. ``compression`` is a codec of
+    Spark's text files; a file of most of them is read by one task.
     """
     out = df.select("value")
     out = out.coalesce(n_files) if n_files else out
-    out.write.mode("overwrite").text(path)
+    out.write.mode("overwrite").option("compression", compression or "none").text(path)
 
 
 def write_partitioned(df: DataFrame, ts: str, path: str, mode: str = "overwrite") -> None:

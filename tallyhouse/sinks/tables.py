@@ -10,7 +10,6 @@ from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tallyhouse.operators.dedup import latest_per_key
 from tallyhouse.operators.upsert import held_partitions, upsert
 
 
@@ -60,6 +59,11 @@ def _delete(spark: SparkSession, path: str) -> None:
     place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)
 
 
+def delete_folder(spark: SparkSession, path: str) -> None:
+    """Delete a folder of intermediate rows that are no longer read."""
+    _delete(spark, path)
+
+
 def path_exists(spark: SparkSession, path: str) -> bool:
     place = spark._jvm.org.apache.hadoop.fs.Path(path)
     return place.getFileSystem(spark._jsc.hadoopConfiguration()).exists(place)
@@ -116,13 +120,63 @@ def _stage_swap(
     emptied.coalesce(1).write.mode("overwrite").parquet(f"{stage}/emptied")
 
 
+def _list_partitions(parts: DataFrame, path: str) -> list[dict]:
+    """The distinct ``parts``, written as the last step of a stage of new rows."""
+    found = parts.distinct().collect()
+    listed = parts.sparkSession.createDataFrame([tuple(row) for row in found], parts.schema)
+    listed.coalesce(1).write.mode("overwrite").parquet(path)
+    return [row.asDict() for row in found]
+
+
+def _move_files(spark: SparkSession, source: str, target: str) -> None:
+    """Move the data files of a partitioned folder into the same partitions of another one of its file system. Their
+    names are unique, so after a stop only those that were not moved are still there to be moved."""
+    place = spark._jvm.org.apache.hadoop.fs.Path
+    root = place(source)
+    system = root.getFileSystem(spark._jsc.hadoopConfiguration())
+    root = system.makeQualified(root).toString().rstrip("/") + "/"
+    found, listed = [], system.listFiles(place(source), True)
+    while listed.hasNext():
+        path = listed.next().getPath()
+        if not path.getName().startswith(("_", ".")):
+            found.append((path, place(place(target), path.toString().removeprefix(root))))
+    for folder in {to.getParent().toString() for _, to in found}:
+        system.mkdirs(place(folder))
+    for path, to in found:
+        if not system.rename(path, to):
+            raise OSError(f"{path.toString()} could not be moved")
+
+
+def _spec(row: dict, kinds: dict) -> str:
+    return ", ".join(f"`{c}` = {_literal(row[c], kind)}" for c, kind in kinds.items())
+
+
+def _finish_insert(spark: SparkSession, table: str) -> bool:
+    """Move staged rows that replace none into the table; False when there are none."""
+    stage = _stage(spark, table)
+    if not path_exists(spark, f"{stage}/inserted/_SUCCESS"):
+        return False
+    schema = spark.table(table).schema
+    kinds = {c: schema[c].dataType for c in partition_columns(spark, table)}
+    _move_files(spark, f"{stage}/fresh", _location(spark, table))
+    listed = spark.read.schema(T.StructType([schema[c] for c in kinds])).parquet(f"{stage}/inserted")
+    specs = [f"PARTITION ({_spec(row.asDict(), kinds)})" for row in listed.collect()]
+    spark.sql(f"ALTER TABLE {table} ADD IF NOT EXISTS {' '.join(specs)}")
+    spark.catalog.refreshTable(table)
+    _delete(spark, stage)
+    return True
+
+
 def finish_swap(spark: SparkSession, table: str) -> bool:
-    """Do a staged swap of partitions, or the rest of it after a stop; False when there is none.
+    """Do a staged swap of partitions, or the rest of it after a stop; False when there is none. Staged rows that
+    replace none are moved into their partitions instead.
 
     Staged partitions replace those of the table one by one (dynamic partition overwrite), those that lost all of
     their rows are dropped, and the stage is deleted. Doing it again changes nothing, so after a stop anywhere the
     next call, here or at the next write, completes it. Untouched partitions keep their files.
     """
+    if _finish_insert(spark, table):
+        return True
     stage = _stage(spark, table)
     if not path_exists(spark, f"{stage}/emptied/_SUCCESS"):
         if path_exists(spark, stage):
@@ -132,10 +186,9 @@ def finish_swap(spark: SparkSession, table: str) -> bool:
     schema = spark.table(table).schema
     rows = spark.read.schema(schema).parquet(f"{stage}/rows")
     overwrite_partitions(rows, table)
-    kinds = {f.name: f.dataType for f in schema if f.name in parts}
+    kinds = {c: schema[c].dataType for c in parts}
     for row in spark.read.schema(T.StructType([schema[c] for c in parts])).parquet(f"{stage}/emptied").collect():
-        spec = ", ".join(f"`{c}` = {_literal(row[c], kinds[c])}" for c in parts)
-        spark.sql(f"ALTER TABLE {table} DROP IF EXISTS PARTITION ({spec})")
+        spark.sql(f"ALTER TABLE {table} DROP IF EXISTS PARTITION ({_spec(row.asDict(), kinds)})")
     spark.catalog.refreshTable(table)
     _delete(spark, stage)
     return True
@@ -159,12 +212,26 @@ def _in_partitions(parts: Sequence[dict]) -> Column:
     return reduce(Column.__or__, tests, F.lit(False))
 
 
-def upsert_table(df: DataFrame, table: str, keys: Sequence[str]) -> None:
+def _all_new(fresh: DataFrame, target: DataFrame, keys: Sequence[str]) -> bool:
+    """Whether no key of ``fresh`` is repeated or in ``target``. Hashes of the keys are counted, so unequal keys of
+    one hash may deny it, which costs time only."""
+    key, zero, one = F.xxhash64(*[f"`{c}`" for c in keys]).alias("_key"), F.lit(0), F.lit(1)
+    both = fresh.select(key, one.alias("_new"), zero.alias("_old")).unionByName(
+        target.select(key, zero.alias("_new"), one.alias("_old"))
+    )
+    sums = both.groupBy("_key").agg(F.sum("_new").alias("_new"), F.max("_old").alias("_old"))
+    return sums.where((F.col("_new") > 1) | ((F.col("_new") > 0) & (F.col("_old") > 0))).isEmpty()
+
+
+def upsert_table(df: DataFrame, table: str, keys: Sequence[str], gather: bool = True) -> None:
     """Insert ``df`` into ``table``, replacing rows of the same key (NULLs are equal); a second run of the
     same rows changes nothing.
 
     Of a partitioned table only the partitions that hold an updated key, or get one, are read and rewritten.
-    Where a partition column is no key, the keys of the table are read to find them.
+    Where a partition column is no key, the keys of the table are read to find them. Rows whose keys are all new
+    are written once, beside the table, and their files moved into it: nothing is rewritten.
+    ``gather=False`` keeps the rows in their tasks, for callers that have few large ones; otherwise the rows of a
+    partition are brought together first.
     """
     spark = df.sparkSession
     parts = partition_columns(spark, table)
@@ -175,12 +242,20 @@ def upsert_table(df: DataFrame, table: str, keys: Sequence[str]) -> None:
         return
     finish_swap(spark, table)
     target = spark.table(table)
-    # written once: it is read three times, and may read the table
+    # written once: it is read several times, and may read the table
     path = f"{_stage(spark, table)}/fresh"
-    latest_per_key(df, keys, order).select(*target.columns).write.mode("overwrite").parquet(path)
+    rows = df.select(*target.columns)
+    rows = rows.hint("rebalance", *parts) if gather else rows
+    rows.write.mode("overwrite").option("compression", "zstd").partitionBy(*parts).parquet(path)
     fresh = spark.read.schema(target.schema).parquet(path)
+    filled = [row.asDict() for row in fresh.select(*parts).distinct().collect()]
+    pruned = set(parts) <= set(keys)
+    if filled and _all_new(fresh, target.where(_in_partitions(filled)) if pruned else target, keys):
+        _list_partitions(fresh.select(*parts), f"{_stage(spark, table)}/inserted")
+        finish_swap(spark, table)
+        return
     touched = fresh.select(*parts).distinct()
-    if not set(parts) <= set(keys):
+    if not pruned:
         touched = touched.union(held_partitions(target, fresh, keys, parts)).distinct()
     touched = [row.asDict() for row in touched.collect()]
     if touched:

@@ -110,6 +110,43 @@ def test_a_swap_stopped_at_any_step_is_whole_or_finished_later(spark, monthly, m
     assert rows(spark.table(monthly)) == new
 
 
+def test_new_keys_are_added_without_rewriting(spark, monthly):
+    before = folders(spark, monthly)
+    change = made(spark, ("d", 6, 2), ("e", 7, 4), ("f", 8, None))
+    tables.upsert_table(change, monthly, ["key"])
+    after = folders(spark, monthly)
+    assert all(before[name] <= after[name] for name in before)
+    assert len(after["month=2"]) == len(before["month=2"]) + 1 and len(after["month=4"]) == 1
+    held = [("a", 1, 1), ("b", 2, 2), ("c", 3, 3), (None, 4, 3), ("n", 5, None), ("d", 6, 2), ("e", 7, 4), ("f", 8, None)]
+    assert rows(spark.table(monthly)) == sorted(held, key=repr)
+    # repeated keys of a batch are one row, whatever their partitions
+    tables.upsert_table(made(spark, ("g", 1, 5), ("g", 2, 6), ("g", 2, 6)), monthly, ["key"])
+    assert rows(spark.table(monthly).where("key = 'g'")) == [("g", 2, 6)]
+
+
+@pytest.mark.parametrize("step", ["_list_partitions", "_move_files", "moved", "_delete"])
+def test_an_insert_stopped_at_any_step_is_whole_or_finished_later(spark, monthly, monkeypatch, step):
+    old = rows(spark.table(monthly))
+    change = made(spark, ("d", 6, 2), ("e", 7, 4))
+    name, real = step.replace("moved", "_move_files"), tables._move_files
+
+    def stop(*args):
+        if step == "moved":
+            real(*args)
+        raise Stop
+
+    monkeypatch.setattr(tables, name, stop)
+    with pytest.raises(Stop):
+        tables.upsert_table(change, monthly, ["key"])
+    monkeypatch.undo()
+    assert tables.finish_swap(spark, monthly) == (step != "_list_partitions")
+    new = sorted([*old, ("d", 6, 2), ("e", 7, 4)], key=repr)
+    assert rows(spark.table(monthly)) == (old if step == "_list_partitions" else new)
+    for _ in range(2):
+        tables.upsert_table(change, monthly, ["key"])
+        assert rows(spark.table(monthly)) == new
+
+
 def test_partition_values_of_all_kinds(spark, db):
     kind = "v int, day date, name string, flag boolean"
     data = [(1, dt.date(2024, 1, 2), "it's a/b=c\\d", True), (2, None, "x", False), (3, dt.date(2024, 1, 3), None, None)]
@@ -120,6 +157,16 @@ def test_partition_values_of_all_kinds(spark, db):
     assert rows(spark.table("shelf.k"), "v") == [(3,)]
 
 
+def test_new_keys_in_partitions_of_all_kinds(spark, db):
+    kind = "v int, day date, name string, flag boolean"
+    data = [(1, dt.date(2024, 1, 2), "it's a/b=c\\d 100%", True), (2, None, "x", False), (3, dt.date(2024, 1, 3), None, None)]
+    df = spark.createDataFrame(data, kind)
+    tables.create_table(spark, "shelf.k", df.schema, ["day", "name", "flag"])
+    tables.upsert_table(df, "shelf.k", ["v"])
+    tables.upsert_table(df.withColumn("v", F.col("v") + 3), "shelf.k", ["v"])
+    assert rows(spark.table("shelf.k")) == sorted([*data, *[(v + 3, *rest) for v, *rest in data]], key=repr)
+
+
 def test_null_keys_are_updated(spark):
     target = spark.createDataFrame([(None, 1), ("a", 1)], "key string, n int")
     change = spark.createDataFrame([(None, 2), ("b", 2)], "key string, n int")
