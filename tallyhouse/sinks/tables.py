@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tallyhouse.operators.upsert import held_partitions, upsert
+from tallyhouse.operators.upsert import held_partitions, key_hash, upsert
 
 
 def create_table(spark, table: str, schema: T.StructType, partition_by: Sequence[str] = ()) -> None:
@@ -215,7 +215,7 @@ def _in_partitions(parts: Sequence[dict]) -> Column:
 def _all_new(fresh: DataFrame, target: DataFrame, keys: Sequence[str]) -> bool:
     """Whether no key of ``fresh`` is repeated or in ``target``. Hashes of the keys are counted, so unequal keys of
     one hash may deny it, which costs time only."""
-    key, zero, one = F.xxhash64(*[f"`{c}`" for c in keys]).alias("_key"), F.lit(0), F.lit(1)
+    key, zero, one = key_hash(keys).alias("_key"), F.lit(0), F.lit(1)
     both = fresh.select(key, one.alias("_new"), zero.alias("_old")).unionByName(
         target.select(key, zero.alias("_new"), one.alias("_old"))
     )

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from tallyhouse.operators import anomaly, facts, quality
 from tallyhouse.operators.asof import asof_join, packed_versions
-from tallyhouse.operators.upsert import upsert
+from tallyhouse.operators.upsert import repeated_keys, upsert
 from tallyhouse.plans import jobs, reports
 from tallyhouse.sinks import files, tables
 from tallyhouse.streaming.facts import load_fact_stream
@@ -175,6 +175,38 @@ def test_null_keys_are_updated(spark):
     assert rows(target) == sorted([(None, 2), ("a", 1), ("b", 2)], key=repr)
 
 
+def test_updates_of_single_keys_are_not_ranked(spark):
+    target = spark.createDataFrame([(None, 1), ("a", 1), ("c", 1)], "key string, n int")
+    for data in ([(None, 2), ("b", 2)], [(None, 2), (None, 3), ("b", 2), ("b", 1), ("a", 5)], []):
+        change = spark.createDataFrame(data, target.schema)
+        quick = target
+        for _ in range(2):
+            quick = upsert(quick, change, ["key"], [F.desc("n")], repeated_keys(change, ["key"]))
+        assert rows(quick) == rows(upsert(target, change, ["key"], [F.desc("n")]))
+
+
+def test_fact_rows_come_back_from_their_short_form(spark):
+    day = dt.datetime(2024, 1, 5)
+    names = "invoice_no string, invoice_date timestamp_ntz, stock_code string, customer_id string, quantity int, country_id string, region_code string"
+    lines = spark.createDataFrame(
+        [("i1", day, "s", "c", 2, "11", "1"), ("i1", day, "s", "c", 2, "11", "1"), ("i2", day, "s", None, 3, "99", None),
+         ("i3", None, "s", "c", 1, "11", "1"), ("i4", day, "t", "c", 1, "11", "1")], names
+    )
+    products = spark.createDataFrame([("p", "s", 1.1, dt.date(2024, 1, 1))], "product_id string, stock_code string, unit_price double, price_date date")
+    countries = spark.createDataFrame([("11",)], "country_id string")
+    lines = facts.with_line_number(lines)
+    whole = facts.tag_fact(lines, products, countries, AS_OF, **jobs.UNIQUE_KEYS)
+    stored = []
+    apart = facts.tag_fact(
+        lines, products, countries, AS_OF, apart=True, store=lambda df: stored.append(df) or df.drop("price_date"), **jobs.UNIQUE_KEYS
+    )
+    assert rows(apart) == rows(whole) and not {"transaction_id", "total_amount"} & set(stored[0].columns)
+    fact = whole.where("error_message IS NULL").drop("stock_code", "error_message")
+    short = facts.compact(fact)
+    assert {len(r[0]) for r in short.select("transaction_id").collect()} == {32}
+    assert rows(facts.expanded(short, AS_OF)) == rows(fact) and fact.count() == 2
+
+
 # --- incremental facts --------------------------------------------------------------------
 
 LINE = "{},10001,5,{},51234,{}-3"

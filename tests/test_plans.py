@@ -126,3 +126,10 @@ def test_a_hot_key_is_split(spark, many_partitions):
 def test_recovered_fact_tags_the_lines_once(spark):
     # the quarantine is written from stored tagged lines, and the fact reads the same ones
     assert scans(QUERIES["recover_twice"](spark, SF_DIR), "l_suppkey") == 0
+
+
+def test_recovered_fact_is_shuffled_in_its_short_form(spark):
+    # 32 bytes of the hash, and no columns that follow from others
+    text = plan(QUERIES["recover_twice"](spark, SF_DIR))
+    short = [line for line in text.splitlines() if "unhex(sha2" in line]
+    assert short and not any("total_amount" in line for line in short)
