@@ -13,8 +13,8 @@ taken, of the least language and then the text with the least hash. The landmark
 kernel values of the sample come to the driver, other n-grams don't. A batch of texts is scored by
 two matrix products: bitmaps with the landmarks' bitmaps, and kernel values with the weights.
 
-Null texts and texts without a letter are ``und`` with score 0. ``keep_known`` drops them and fills in
-languages that are missing. Rows without a language are
+Null texts and texts without a letter are ``und`` with score 0. ``keep_known`` drops them, fills in
+languages that are missing and replaces those that the text contradicts. Rows without a language are
 scored and not learned from. Repeated rows are scored alike, other columns are left out; if
 nothing can be learned from, every text is ``und``.
 """
@@ -210,18 +210,19 @@ def _landmarks(sample: DataFrame, marks) -> tuple[np.ndarray, np.ndarray, np.nda
     return columns, held, np.sqrt([len(grams) for grams in lists])
 
 
-def _classify(batch: pa.RecordBatch, m: Model) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Index of each row's language (the number of languages: unknown), its score, and whether the
+def _classify(batch: pa.RecordBatch, m: Model) -> tuple[np.ndarray, ...]:
+    """Index of each row's language (the number of languages: unknown), its score, whether the
     text is accepted as such: the language's own regression says so (a value above 0; -1 stands for the
-    rest), and some landmark is similar enough."""
+    rest), and some landmark is similar enough; and the values of all regressions (-1 without a letter)."""
+    every = np.full((batch.num_rows, len(m.languages)), -1.0)
     best, score = np.full(batch.num_rows, len(m.languages)), np.zeros(batch.num_rows)
     accepted = np.zeros(batch.num_rows, bool)
     for at, kernel in _kernels(batch, m.columns, m.landmarks, m.roots):
-        values = kernel @ m.weights[:-1] + m.weights[-1]
+        values = every[at] = kernel @ m.weights[:-1] + m.weights[-1]
         shares = np.exp(4 * (values - values.max(axis=1, keepdims=True)))
         best[at], score[at] = values.argmax(axis=1), 1 / shares.sum(axis=1)
         accepted[at] = (values.max(axis=1) > 0) & (kernel.max(axis=1) >= m.familiar)
-    return best, score, accepted
+    return best, score, accepted, every
 
 
 def predict(docs: DataFrame, model: Model | None) -> DataFrame:
@@ -237,7 +238,7 @@ def predict(docs: DataFrame, model: Model | None) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         names = np.array([*shared.value.languages, UNKNOWN], object)
         for batch in tx.slices(batches, PIECE):
-            best, score, _ = _classify(batch, shared.value)
+            best, score, _, _ = _classify(batch, shared.value)
             yield pa.RecordBatch.from_pydict(
                 {
                     "doc_id": batch.column("doc_id"),
@@ -251,8 +252,9 @@ def predict(docs: DataFrame, model: Model | None) -> DataFrame:
 
 def keep_known(docs: DataFrame, model: Model | None) -> DataFrame:
     """The documents, with all of their columns, whose text has a language of the model;
-    ``und`` goes. A null ``lang`` becomes the predicted language if the text is accepted as
-    such, and stays null otherwise (a script the model has not seen). In one narrow pass."""
+    ``und`` goes. ``lang`` becomes the predicted language if the text is accepted as such and is not one of the
+    language that ``lang`` names: that is null, unknown to the model, or refused by its own regression.
+    Otherwise it stays (null for a script the model has not seen). In one narrow pass."""
     if model is None:
         return docs.limit(0)
     shared = docs.sparkSession.sparkContext.broadcast(model)  # bounded by the landmarks
@@ -260,11 +262,15 @@ def keep_known(docs: DataFrame, model: Model | None) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         names = np.array([*shared.value.languages, None], object)
         for batch in tx.slices(batches, PIECE):
-            best, _, accepted = _classify(batch, shared.value)
+            best, _, accepted, values = _classify(batch, shared.value)
             at = batch.schema.get_field_index("lang")
             field = batch.schema.field(at)
-            named = pa.array(np.where(accepted, names[best], None), field.type)
-            kept = batch.set_column(at, field, pc.coalesce(batch.column(at), named))
+            given = pc.index_in(batch.column(at), value_set=pa.array(names[:-1], field.type))
+            place = pc.fill_null(given, -1).to_numpy(zero_copy_only=False)
+            refused = (place < 0) | (values[np.arange(len(place)), place] <= 0)
+            named = pa.array(names[best], field.type)
+            lang = pc.if_else(pa.array(accepted & refused), named, batch.column(at))
+            kept = batch.set_column(at, field, lang)
             yield kept.filter(pa.array(best < len(shared.value.languages)))
 
     return docs.mapInArrow(run, docs.schema)

@@ -14,12 +14,13 @@ a shuffle. A retried task packs alike as long as its rows come in the same order
 from files; write a shuffled input first.
 
 Null text counts as empty (one id, ``end_id``), null ids and repeated rows are kept, and
-columns other than the id and the text are left out. No rows give no rows.
+columns other than the id and the text are left out, but for those named in ``keep``, which each piece has
+from its document. No rows give no rows.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
@@ -121,13 +122,15 @@ def pack(
     end_id: int = 1,
     most_open: int = MOST_OPEN,
     id_column: str = "doc_id",
+    keep: Sequence[str] = (),
 ) -> DataFrame:
-    """Pieces (id, start, length, ids, doc_tokens, sequence_id, offset): ``ids`` holds
+    """Pieces (id, start, length, ids, doc_tokens, sequence_id, offset, ``keep``): ``ids`` holds
     the piece as little-endian unsigned 32-bit numbers, ``start`` its place in the
     document, ``offset`` its place in the sequence. Each id of each document is in
     exactly one piece."""
-    source = docs.select(id_column, "text")
+    source = docs.select(id_column, "text", *keep)
     kind = source.schema[id_column].dataType.simpleString()
+    kept_kinds = "".join(f", {name} {source.schema[name].dataType.simpleString()}" for name in keep)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         packer = Packer(window, most_open)
@@ -141,28 +144,31 @@ def pack(
                 [pa.array(c, t) for c, t in zip(columns, types, strict=True)], names
             )
 
-        names = [id_column, "start", "length", "ids", "doc_tokens", "sequence_id", "offset"]
-        types = [None, pa.int64(), pa.int64(), pa.binary()] + [pa.int64()] * 3
+        names = [id_column, "start", "length", "ids", "doc_tokens", "sequence_id", "offset", *keep]
+        types = [None, pa.int64(), pa.int64(), pa.binary()] + [pa.int64()] * 3 + [None] * len(keep)
 
         def emit(windows):
             nonlocal sequence, held
             for pieces in windows:
                 at = 0
-                for (key, total), start, ids in pieces:
-                    rows.append((key, start, len(ids), ids.tobytes(), total, sequence, at))
+                for (key, total, kept), start, ids in pieces:
+                    rows.append((key, start, len(ids), ids.tobytes(), total, sequence, at, *kept))
                     at += len(ids)
                 held += at
                 sequence += 1
 
         for batch in tx.slices(batches, bpe.SLICE):
             types[0] = batch.schema.field(id_column).type
+            types[7:] = [batch.schema.field(name).type for name in keep]
             ids, bounds = bpe.encode(batch.column("text"), path).document_ids()
             keys = batch.column(id_column).to_pylist()
-            for key, a, b in zip(keys, bounds[:-1].tolist(), bounds[1:].tolist(), strict=True):
+            held_over = list(zip(*[batch.column(name).to_pylist() for name in keep], strict=True)) or [()] * len(keys)
+            places = zip(keys, held_over, bounds[:-1].tolist(), bounds[1:].tolist(), strict=True)
+            for key, kept, a, b in places:
                 one = np.empty(b - a + 1, "<u4")
                 one[:-1] = ids[a:b]
                 one[-1] = end_id
-                emit(packer.place((key, len(one)), one))
+                emit(packer.place((key, len(one), kept), one))
                 if held > 1 << 20:
                     yield out()
                     rows.clear()
@@ -174,5 +180,5 @@ def pack(
     return source.mapInArrow(
         run,
         f"{id_column} {kind}, start long, length long, ids binary, doc_tokens long, "
-        "sequence_id long, offset long",
+        f"sequence_id long, offset long{kept_kinds}",
     )

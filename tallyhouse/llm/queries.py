@@ -37,7 +37,7 @@ def op1_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op2_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
-    pieces = packing.pack(docs, tokenizer("word_bpe_49k.json"), window=2048, end_id=1)
+    pieces = packing.pack(docs, tokenizer("word_bpe_49k.json"), window=2048, end_id=1, keep=["lang"])
     return pieces.select(
         "doc_id",
         "start",
@@ -46,6 +46,7 @@ def op2_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_tokens",
         "sequence_id",
         "offset",
+        "lang",
     )
 
 

@@ -231,6 +231,27 @@ def test_missing_languages_are_filled_where_a_text_is_accepted(spark):
     assert sum(found[i] not in (truth[i], None) for i in found) <= 0.02 * len(found)
 
 
+def test_languages_that_the_text_contradicts_are_replaced(spark):
+    known = spark.read.parquet(f"{SF}/documents.parquet").where("lang is not null and length(text) > 200")
+    model = langid.train(known.where("doc_id % 2 = 0"))
+    wrong = known.where("doc_id % 2 = 1 and lang <> 'en'")
+    truth = {r.doc_id: r.lang for r in wrong.collect()}
+    for given in ("en", "xx"):
+        found = {r.doc_id: r.lang for r in langid.keep_known(wrong.withColumn("lang", F.lit(given)), model).collect()}
+        assert set(found) == set(truth)
+        assert sum(found[i] == truth[i] for i in truth) >= 0.95 * len(truth)
+    right = {r.doc_id: r.lang for r in langid.keep_known(known, model).collect()}
+    assert sum(right[r.doc_id] != r.lang for r in known.collect()) <= 0.01 * len(right)
+
+
+def test_pieces_have_the_language_of_their_document(spark):
+    docs = [(i, cases.prose(i, 40 * i), lang) for i, lang in enumerate(["en", None, "de", "fr"])]
+    df = spark.createDataFrame(docs, "doc_id long, text string, lang string")
+    pieces = packing.pack(df, tokenizer(WORD), window=64, keep=["lang"]).collect()
+    assert {(r.doc_id, r.lang) for r in pieces} == {(i, lang) for i, _, lang in docs}
+    check_pieces(pieces, [(i, t) for i, t, _ in docs], 64)
+
+
 def test_training_rows_are_bounded_for_repeated_ids(spark, monkeypatch):
     rows = [(i, f"{cases.prose(i, 20)} {k}", "en") for i in range(12) for k in range(9)]
     docs = spark.createDataFrame(rows, "doc_id long, text string, lang string").repartition(3)
